@@ -1,0 +1,103 @@
+"""FX1 to FX4 as DuckDB CTEs (the text of FIXTURES.md §2) plus the variants."""
+
+FX1 = """
+cust_dim AS (
+  SELECT c_custkey AS k, c_mktsegment AS seg, c_nationkey AS nat, TIMESTAMP '1997-01-01 00:00:00' AS configuration_date,
+         1 AS version, c_custkey % 3 <> 0 AS lastversion, TIMESTAMP '1997-01-01 00:00:00' AS date_from,
+         CASE WHEN c_custkey % 3 = 0 THEN TIMESTAMP '1998-01-01 00:00:00' ELSE TIMESTAMP '2200-01-01 00:00:00' END AS date_to
+  FROM customer WHERE c_custkey % 5 <> 0
+  UNION ALL
+  SELECT c_custkey, 'OLD', c_nationkey, TIMESTAMP '1997-01-01 00:00:00', 2, true,
+         TIMESTAMP '1998-01-01 00:00:00', TIMESTAMP '2200-01-01 00:00:00'
+  FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 3 = 0
+),
+cust_stg AS (
+  SELECT c_custkey AS src_k,
+         CASE WHEN c_custkey % 4 = 0 THEN 'MACHINERY' WHEN c_custkey % 14 = 0 THEN NULL ELSE c_mktsegment END AS src_seg,
+         c_nationkey AS src_nat, TIMESTAMP '1999-06-01 00:00:00' AS crtupd_dt
+  FROM customer WHERE c_custkey % 2 = 0
+  UNION ALL
+  SELECT c_custkey, c_mktsegment, c_nationkey, TIMESTAMP '1999-07-01 00:00:00'
+  FROM customer WHERE c_custkey % 8 = 0 AND c_custkey % 5 <> 0
+)"""
+
+FX1_ONE = FX1 + """,
+cust_stg1 AS (
+  SELECT src_k, src_seg, src_nat, crtupd_dt FROM cust_stg
+  QUALIFY row_number() OVER (PARTITION BY src_k ORDER BY crtupd_dt) = 1
+)"""
+
+FX2 = """
+ord_one AS (
+  SELECT o_custkey, o_orderpriority, o_orderdate, min(o_orderkey) AS o_orderkey
+  FROM orders GROUP BY o_custkey, o_orderpriority, o_orderdate
+),
+ord_log AS (
+  SELECT o.o_custkey AS k1, o.o_orderpriority AS k2, o.o_orderstatus AS st, o.o_totalprice AS amt, o.o_orderdate AS ts
+  FROM orders o JOIN ord_one u ON o.o_orderkey = u.o_orderkey
+),
+ord_dim AS (
+  SELECT k1, k2, st, amt, CAST(row_number() OVER w AS INT) AS version,
+         lead(ts) OVER w IS NULL AS lastversion, ts AS date_from,
+         coalesce(lead(ts) OVER w, TIMESTAMP '2200-01-01 00:00:00') AS date_to
+  FROM ord_log WHERE ts < TIMESTAMP '1999-01-01 00:00:00'
+  WINDOW w AS (PARTITION BY k1, k2 ORDER BY ts)
+),
+ord_stg AS (
+  SELECT k1 AS src_k1, k2 AS src_k2, st AS src_st, amt AS src_amt, ts AS src_created_on
+  FROM ord_log WHERE ts >= TIMESTAMP '1999-01-01 00:00:00'
+)"""
+
+FX2_UPSERT = FX2 + """,
+ord_stg_b AS (
+  SELECT src_k1, src_k2, src_st, src_amt, src_created_on
+  FROM (SELECT *, row_number() OVER (PARTITION BY src_k1, src_k2 ORDER BY src_created_on) AS rn FROM ord_stg) x
+  WHERE rn = 1 OR EXISTS (SELECT 1 FROM ord_dim d WHERE d.k1 = x.src_k1 AND d.k2 = x.src_k2)
+)"""
+
+FX3 = """
+li_log AS (
+  SELECT l_suppkey AS k1, l_partkey % 20 AS k2, l_returnflag AS k3, l_shipdate AS ts,
+         min(l_linestatus) AS ls, max(l_quantity) AS qty
+  FROM lineitem GROUP BY l_suppkey, l_partkey % 20, l_returnflag, l_shipdate
+),
+li_rank AS (
+  SELECT *, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY ts DESC) AS rn FROM li_log
+),
+li_dim AS (
+  SELECT k1, k2, k3, ls, qty, 1 AS version, true AS lastversion, ts AS date_from, TIMESTAMP '2200-01-01 00:00:00' AS date_to
+  FROM li_rank WHERE rn = 2 AND (k1 + k2) % 7 <> 0
+),
+li_stg AS (
+  SELECT k1, k2, k3, ls, qty, ts AS crtupd_dt FROM li_rank WHERE rn = 1
+)"""
+
+FX4 = """
+evt_log AS (
+  SELECT event_type AS kpi_name, CAST(month(ts) AS INT) AS mon, CAST(year(ts) AS INT) AS yr, user_id AS category,
+         CAST(floor(value / 25) AS INT) AS target, ts, event_id
+  FROM events
+),
+evt_rank AS (
+  SELECT *, row_number() OVER (PARTITION BY kpi_name, mon, yr, category ORDER BY ts, event_id) AS rn,
+         row_number() OVER (PARTITION BY kpi_name, mon, yr, category ORDER BY ts DESC, event_id DESC) AS rd
+  FROM evt_log
+),
+evt_dim AS (
+  SELECT kpi_name, mon, yr, category, target, 1 AS version, true AS lastversion, ts AS date_from, TIMESTAMP '2200-01-01 00:00:00' AS date_to
+  FROM evt_rank WHERE rn = 1 AND category % 4 <> 0
+),
+evt_stg AS (
+  SELECT kpi_name AS src_kpi_name, mon AS src_month, yr AS src_year, category AS src_category, target AS src_target, ts AS src_created_on
+  FROM evt_rank WHERE rd = 1 AND category % 3 <> 0
+)"""
+
+# variant → (CTE text, dimension CTE, staging CTE)
+FIXTURE_SQL = {
+    "fx1": (FX1, "cust_dim", "cust_stg"),
+    "fx1_one": (FX1_ONE, "cust_dim", "cust_stg1"),
+    "fx2": (FX2, "ord_dim", "ord_stg"),
+    "fx2_upsert": (FX2_UPSERT, "ord_dim", "ord_stg_b"),
+    "fx3": (FX3, "li_dim", "li_stg"),
+    "fx4": (FX4, "evt_dim", "evt_stg"),
+}

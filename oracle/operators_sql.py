@@ -1,0 +1 @@
+OPERATOR_SQL: dict = {}
