@@ -60,19 +60,44 @@ def _partition(spec: DimSpec) -> str:
     return ", ".join(f"s.{q(stg_name(spec, c))}" for c in spec.partition_cols)
 
 
+def _parse(text: str) -> list[tuple[str, str]]:
+    """Split ``name AS (body),`` CTE text into (name, body) pairs."""
+    out, depth, start, name = [], 0, 0, None
+    i = 0
+    while i < len(text):
+        ch = text[i]
+        if ch == "(":
+            if depth == 0:
+                name = text[start:i].strip().lstrip(",").strip()
+                assert name.endswith(" AS"), name
+                name, body_start = name[:-3].strip(), i + 1
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+            if depth == 0:
+                out.append((name, text[body_start:i].strip()))
+                start = i + 1
+        i += 1
+    return out
+
+
+def next_start_sql(spec: DimSpec, src: str, scope: str) -> str:
+    """LEAD(date_from) over the scope's rows of ``src``."""
+    match = on(spec, src) + (f" AND {src}.{q(DATE_FROM)} = s.{q(spec.ts)}" if scope == "batch" else "")
+    return f"""SELECT {keys_of(spec, src)}, {src}.version,
+         lead({src}.date_from) OVER (PARTITION BY {keys_of(spec, src)} ORDER BY {src}.version, {src}.date_from) AS next_date_from
+  FROM {src} WHERE EXISTS (SELECT 1 FROM s WHERE {match})"""
+
+
 def _redate(spec: DimSpec, src: str, scope: str) -> str:
     """LEAD over the scope's rows, then the UPDATE as a left join."""
-    match = on(spec, src) + (f" AND {src}.{q(DATE_FROM)} = s.{q(spec.ts)}" if scope == "batch" else "")
     return f"""ne AS (
-  SELECT {keys_of(spec, src)}, {src}.version,
-         lead({src}.date_from) OVER (PARTITION BY {keys_of(spec, src)} ORDER BY {src}.version, {src}.date_from) AS next_date_from
-  FROM {src} WHERE EXISTS (SELECT 1 FROM s WHERE {match})
+  {next_start_sql(spec, src, scope)}
 ),
 fin AS (
   SELECT {_rewrite(spec, src, date_to=f"CASE WHEN ne.next_date_from IS NOT NULL THEN ne.next_date_from ELSE {src}.date_to END")}
   FROM {src} LEFT JOIN ne ON {on(spec, src, 'ne', False)} AND {src}.version = ne.version
-)
-SELECT * FROM fin"""
+)"""
 
 
 def upsert_steps(spec: DimSpec, batch_ts: str | None) -> str:
@@ -169,13 +194,27 @@ fin AS (
   SELECT {_rewrite(spec, 'd2', date_to=f"CASE WHEN {hit} THEN up.close_at ELSE d2.date_to END",
                    lastversion=f"CASE WHEN {hit} THEN false ELSE d2.lastversion END")}
   FROM d2 LEFT JOIN up ON {on(spec, 'd2', 'up', False)} AND d2.version = up.version
-)
-SELECT * FROM fin"""
+)"""
 
 
 STEPS = {"upsert": upsert_steps, "append_all": append_steps, "close_previous": close_steps}
 
 
+def steps(spec: DimSpec, batch_ts: str | None) -> list[tuple[str, str]]:
+    """The statement CTEs of a load as (name, body) pairs; the last is ``fin``."""
+    return _parse(STEPS[spec.mode](spec, batch_ts))
+
+
+def with_sql(p: Pipeline, ctes: list[tuple[str, str]], final: str) -> str:
+    body = ",\n".join(f"{n} AS (\n  {b}\n)" for n, b in ctes)
+    return f"WITH {frames_sql(p)}" + (f",\n{body}" if ctes else "") + f"\n{final}"
+
+
+def upto(ctes: list[tuple[str, str]], last: str) -> list[tuple[str, str]]:
+    names = [n for n, _ in ctes]
+    return ctes[: names.index(last) + 1]
+
+
 def frames_sql(p: Pipeline) -> str:
     """Fixture CTEs plus ``d0`` (the dimension) and ``s`` (the staging batch)."""
     fx_text, fdim, fstg = FIXTURE_SQL[p.fixture]
@@ -188,4 +227,4 @@ def frames_sql(p: Pipeline) -> str:
 
 
 def pipeline_sql(p: Pipeline) -> str:
-    return f"WITH {frames_sql(p)},\n{STEPS[p.spec.mode](p.spec, p.batch_ts)}"
+    return with_sql(p, steps(p.spec, p.batch_ts), "SELECT * FROM fin")
