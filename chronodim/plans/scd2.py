@@ -82,11 +82,14 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
     # current version of the key as one struct (version first: deterministic
     # even if a history holds two current rows)
     cur = F.max(F.when(is_cur, F.struct(F.col(VERSION).alias("v"), *[F.col(c) for c in tracked + carry])))
-    u = (u.withColumn(_CURV, cur.over(wk))
-          .withColumn("_has_dim", F.max((~stg).cast("int")).over(wk) == 1)
-          .withColumn("_touched", F.max(stg.cast("int")).over(wk) == 1))
+    per_key = [cur.over(wk).alias(_CURV),
+               (F.max((~stg).cast("int")).over(wk) == 1).alias("_has_dim"),
+               (F.max(stg.cast("int")).over(wk) == 1).alias("_touched")]
     if mode == "append_all":
-        u = u.withColumn("_base", F.coalesce(F.max(F.when(~stg, F.col(VERSION))).over(wk), F.lit(0)))
+        per_key.append(F.coalesce(F.max(F.when(~stg, F.col(VERSION))).over(wk), F.lit(0)).alias("_base"))
+    if mode == "close_previous" and spec.close_at == "staging":
+        per_key.append(F.max(F.col(TS)).over(wk).alias("_close"))
+    u = u.select("*", *per_key)         # one Window node: all per-key aggregates share one sort
 
     has_dim, curv = F.col("_has_dim"), F.col(_CURV)
     if mode == "append_all":
@@ -150,10 +153,10 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         u = u.withColumn("_rt", real & touched)
         rn = F.row_number().over(Window.partitionBy(*K, "_rt").orderBy(
             F.col(VERSION).desc_nulls_last(), F.col(DATE_FROM).desc_nulls_last()))
-        close_at = F.max(F.col(TS)).over(wk) if spec.close_at == "staging" else ts_literal(batch_ts)
+        close_at = F.col("_close") if spec.close_at == "staging" else ts_literal(batch_ts)
         hit = F.col("_rt") & (rn == 2) & due(F.col(DATE_FROM), batch_ts, spec.due)
-        u = (u.withColumn("_hit", F.coalesce(hit, F.lit(False))).withColumn("_close", close_at)
-              .withColumn(DATE_TO, F.when(F.col("_hit"), F.col("_close")).otherwise(F.col(DATE_TO)))
+        u = (u.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+              .withColumn(DATE_TO, F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)))
               .withColumn(CURRENT, F.when(F.col("_hit"), F.lit(False)).otherwise(F.col(CURRENT))))
 
     return u.where(real).select(*spec.dim_cols)

@@ -14,8 +14,11 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..spec import DimSpec
+from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
+
+_BOOK_TYPES = {VERSION: "int", CURRENT: "boolean", DATE_FROM: "timestamp_ntz", DATE_TO: "timestamp_ntz"}
 
 SNAPSHOT = "snapshot="
 _SNAP_RE = re.compile(r"^snapshot=(\d+)$")
@@ -38,8 +41,12 @@ def read_dim(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet") -
     """The full history of the dimension, pruned to the spec's columns.
     ``source`` may be a snapshot root (the newest committed snapshot is read)."""
     if isinstance(source, str) and fmt == "parquet" and snapshots(spark, source):
-        return read_latest(spark, source).select(*spec.dim_cols)
-    return _read(spark, source, fmt).select(*spec.dim_cols)
+        df = read_latest(spark, source)
+    else:
+        df = _read(spark, source, fmt)
+    # a snapshot partitioned by the flag reads it back as a directory value
+    return df.select(*[F.col(c).cast(_BOOK_TYPES[c]).alias(c) if c in _BOOK_TYPES else F.col(c)
+                       for c in spec.dim_cols])
 
 
 def _fs(spark: SparkSession, path: str):
