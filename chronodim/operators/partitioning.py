@@ -1,8 +1,11 @@
 """Size-checked broadcast: broadcast a side only when its row count is proven small.
 
-The check is ``df.limit(bound + 1).count()``: it stops as soon as the bound is
-passed, so a large side costs one partial scan and is then joined by shuffle
-(sort-merge with AQE skew handling) instead of being broadcast.
+The check is an exact ``count()`` of the side (callers pass a narrow
+projection, so the scan reads only those columns; partial counts are summed
+without a shuffle).  A ``limit(n).count()`` would stop earlier per task but
+funnels up to ``n`` rows of every task into one partition, which is worse on
+a wide cluster.  A side over the bound is joined by shuffle instead (sort-merge
+with AQE skew handling).
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ def is_small(df: DataFrame, bound: int | None = None) -> bool:
     bound = broadcast_bound(df) if bound is None else bound
     if bound <= 0:
         return False
-    return df.limit(bound + 1).count() <= bound
+    return df.count() <= bound
 
 
 def broadcast_if_small(df: DataFrame, bound: int | None = None) -> tuple[DataFrame, bool]:

@@ -52,57 +52,74 @@ def _start(spec: DimSpec, batch_ts) -> Column:
     return ts_literal(batch_ts)
 
 
+_TYPES = {VERSION: "int", CURRENT: "boolean", DATE_FROM: "timestamp_ntz", DATE_TO: "timestamp_ntz"}
+
+
 def _bookkeeping_types(df: DataFrame) -> DataFrame:
-    return (df.withColumn(VERSION, F.col(VERSION).cast("int"))
-              .withColumn(CURRENT, F.col(CURRENT).cast("boolean"))
-              .withColumn(DATE_FROM, F.col(DATE_FROM).cast("timestamp_ntz"))
-              .withColumn(DATE_TO, F.col(DATE_TO).cast("timestamp_ntz")))
+    return df.select(*[F.col(c).cast(_TYPES[c]).alias(c) if c in _TYPES else F.col(c) for c in df.columns])
+
+
+def _set(df: DataFrame, **cols: Column) -> DataFrame:
+    """One projection that replaces / adds columns (one analyzer pass, unlike
+    a chain of ``withColumn``)."""
+    keep = [cols.pop(c).alias(c) if c in cols else F.col(c) for c in df.columns]
+    return df.select(*keep, *[e.alias(c) for c, e in cols.items()])
 
 
 def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
-    """Steps 2 of the module doc: versions of touched keys + staged rows with
+    """Step 2 of the module doc: versions of touched keys + staged rows with
     non-NULL keys → the new state of those keys."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     attrs, carry, tracked = list(spec.attr_cols), list(spec.carry_cols), list(spec.tracked_cols)
     body = K + attrs + carry
     mode = spec.mode
 
-    dpart = _bookkeeping_types(d.select(*body, VERSION, CURRENT, DATE_FROM, DATE_TO)).select(
-        *body, VERSION, CURRENT, DATE_FROM, DATE_TO,
-        F.lit(False).alias(_STG), F.lit(None).cast("timestamp_ntz").alias(TS))
+    dpart = d.select(*body, F.col(VERSION).cast("int").alias(VERSION), F.col(CURRENT).cast("boolean").alias(CURRENT),
+                     F.col(DATE_FROM).cast("timestamp_ntz").alias(DATE_FROM),
+                     F.col(DATE_TO).cast("timestamp_ntz").alias(DATE_TO),
+                     F.lit(False).alias(_STG), F.lit(None).cast("timestamp_ntz").alias(TS))
     spart = s.select(
         *body, F.lit(None).cast("int").alias(VERSION), F.lit(None).cast("boolean").alias(CURRENT),
         _start(spec, batch_ts).alias(DATE_FROM), open_end().alias(DATE_TO),
         F.lit(True).alias(_STG), F.col(TS))
+    # the load's only shuffle: every window below partitions by a superset of P
     u = dpart.unionByName(spart).repartition(*P)
 
-    stg = F.col(_STG)
+    stg, ver, cur_flag, start_col = F.col(_STG), F.col(VERSION), F.col(CURRENT), F.col(DATE_FROM)
     wk = Window.partitionBy(*K)
-    is_cur = ~stg & F.coalesce(F.col(CURRENT), F.lit(False))
-    # current version of the key as one struct (version first: deterministic
-    # even if a history holds two current rows)
-    cur = F.max(F.when(is_cur, F.struct(F.col(VERSION).alias("v"), *[F.col(c) for c in tracked + carry])))
-    per_key = [cur.over(wk).alias(_CURV),
-               (F.max((~stg).cast("int")).over(wk) == 1).alias("_has_dim"),
-               (F.max(stg.cast("int")).over(wk) == 1).alias("_touched")]
+
+    # (1) per-key facts, one Window node: the current version as one struct
+    # (version first: deterministic even if a history holds two current rows),
+    # whether the key has history, whether the batch touches it
+    is_cur = ~stg & F.coalesce(cur_flag, F.lit(False))
+    facts = {
+        _CURV: F.max(F.when(is_cur, F.struct(ver.alias("v"), *[F.col(c) for c in tracked + carry]))).over(wk),
+        "_has_dim": F.max((~stg).cast("int")).over(wk) == 1,
+        "_touched": F.max(stg.cast("int")).over(wk) == 1,
+    }
     if mode == "append_all":
-        per_key.append(F.coalesce(F.max(F.when(~stg, F.col(VERSION))).over(wk), F.lit(0)).alias("_base"))
+        facts["_base"] = F.coalesce(F.max(F.when(~stg, ver)).over(wk), F.lit(0))
     if mode == "close_previous" and spec.close_at == "staging":
-        per_key.append(F.max(F.col(TS)).over(wk).alias("_close"))
-    u = u.select("*", *per_key)         # one Window node: all per-key aggregates share one sort
-
-    has_dim, curv = F.col("_has_dim"), F.col(_CURV)
+        facts["_close"] = F.max(F.col(TS)).over(wk)
+    u = _set(u, **facts)
+    if mode == "upsert" and "batch" in (spec.retire, spec.redate):
+        # A version is a batch row when a staged row of its key carries its
+        # date_from; every staged row counts, also the ones that make no version
+        at = F.when(stg, F.col(TS)).otherwise(start_col)
+        u = _set(u, _inb=(F.max(stg.cast("int")).over(Window.partitionBy(*K, at)) == 1) & at.isNotNull())
+
+    # (2) what each staged row becomes: new key, changed, or nothing (SEEN)
+    curv = F.col(_CURV)
     if mode == "append_all":
         kind = F.when(stg, F.lit(CHG)).otherwise(F.lit(DIM))
     else:
         test = changed([(curv[c], F.col(c)) for c in tracked], spec.null_safe)
-        kind = (F.when(~stg, F.lit(DIM))
-                 .when(~has_dim, F.lit(NEW))
-                 .when(curv.isNotNull() & test, F.lit(CHG))
-                 .otherwise(F.lit(SEEN)))
-    u = u.withColumn(_KIND, kind)
+        kind = (F.when(~stg, F.lit(DIM)).when(~F.col("_has_dim"), F.lit(NEW))
+                 .when(curv.isNotNull() & test, F.lit(CHG)).otherwise(F.lit(SEEN)))
+    u = _set(u, **{_KIND: kind})
     kd = F.col(_KIND)
 
+    # (3) number the new versions (W1) and fill the inserted rows
     order = [F.col(TS).asc_nulls_last(), *_nulls_last(spec.tiebreak)]
     rn_part = F.row_number().over(Window.partitionBy(*P, _KIND).orderBy(*order))
     if mode == "append_all":
@@ -111,55 +128,47 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         version = curv["v"] + rn_part
     else:
         version = curv["v"] + F.lit(1)
-    if spec.new_keys == "number":
-        new_version = F.row_number().over(Window.partitionBy(*K, _KIND).orderBy(*order))
-    else:
-        new_version = F.lit(1)
-    u = u.withColumn(VERSION, F.when(kd == DIM, F.col(VERSION))
-                                .when(kd == NEW, new_version)
-                                .when(kd == CHG, version).cast("int"))
-    u = u.withColumn(CURRENT, F.when(kd == DIM, F.col(CURRENT))
-                                .otherwise(F.lit(mode != "append_all")))
+    new_version = (F.row_number().over(Window.partitionBy(*K, _KIND).orderBy(*order))
+                   if spec.new_keys == "number" else F.lit(1))
+    fill = {
+        VERSION: F.when(kd == DIM, ver).when(kd == NEW, new_version).when(kd == CHG, version).cast("int"),
+        CURRENT: F.when(kd == DIM, cur_flag).otherwise(F.lit(mode != "append_all")),
+    }
     for c in carry:                        # P7: carry from the current version
         carried = F.coalesce(curv[c], F.col(c)) if mode == "append_all" else curv[c]
-        u = u.withColumn(c, F.when(kd == CHG, carried).otherwise(F.col(c)))
+        fill[c] = F.when(kd == CHG, carried).otherwise(F.col(c))
+    u = _set(u, **fill).drop(_CURV).where(kd != SEEN)   # SEEN rows have served J4 and the change test
 
-    real = kd != SEEN
-    touched = F.col("_touched")
+    real_touched = F.col("_touched")
     if mode == "append_all":
-        top = F.max(F.when(real, F.col(VERSION))).over(wk)
-        u = u.withColumn(CURRENT, F.when(touched, F.col(VERSION) == top).otherwise(F.col(CURRENT)))
-        scope = real & touched
+        # U1 + U2: a touched key's current version is its highest
+        u = _set(u, **{CURRENT: F.when(real_touched, ver == F.max(ver).over(wk)).otherwise(cur_flag)})
+        scope = real_touched
     elif mode == "upsert":
-        if "batch" in (spec.retire, spec.redate):
-            at = F.when(stg, F.col(TS)).otherwise(F.col(DATE_FROM))
-            u = u.withColumn("_at", at).withColumn(
-                "_inb", (F.max(stg.cast("int")).over(Window.partitionBy(*K, "_at")) == 1) & F.col("_at").isNotNull())
-        inb = F.col("_inb") if spec.retire == "batch" else touched
-        top = F.max(F.when(real & inb, F.col(VERSION))).over(wk)
-        u = u.withColumn("_top", top).withColumn(
-            CURRENT, F.when(real & (F.col(VERSION) < F.col("_top")), F.lit(False)).otherwise(F.col(CURRENT)))
-        scope = real & (F.col("_inb") if spec.redate == "batch" else touched)
+        # Flag off below the highest version in scope (batch rows or touched key)
+        in_scope = F.col("_inb") if spec.retire == "batch" else real_touched
+        top = F.max(F.when(in_scope, ver)).over(wk)
+        u = _set(u, **{CURRENT: F.when(ver < top, F.lit(False)).otherwise(cur_flag)})
+        scope = F.col("_inb") if spec.redate == "batch" else real_touched
     else:
         scope = None
 
     if scope is not None:
-        u = u.withColumn("_scope", scope)
-        nxt = F.lead(DATE_FROM).over(Window.partitionBy(*K, "_scope").orderBy(
-            F.col(VERSION).asc_nulls_last(), F.col(DATE_FROM).asc_nulls_last()))
-        u = u.withColumn("_next", nxt).withColumn(
-            DATE_TO, F.when(F.col("_scope") & F.col("_next").isNotNull(), F.col("_next")).otherwise(F.col(DATE_TO)))
-    else:                                   # close_previous
-        u = u.withColumn("_rt", real & touched)
-        rn = F.row_number().over(Window.partitionBy(*K, "_rt").orderBy(
-            F.col(VERSION).desc_nulls_last(), F.col(DATE_FROM).desc_nulls_last()))
+        # date_to := next version's date_from within the scope
+        nxt = F.lead(DATE_FROM).over(Window.partitionBy(*K, scope).orderBy(
+            ver.asc_nulls_last(), start_col.asc_nulls_last()))
+        u = _set(u, **{DATE_TO: F.when(scope & nxt.isNotNull(), nxt).otherwise(F.col(DATE_TO))})
+    else:
+        # The second-latest version of a touched, due key is closed
+        rn = F.row_number().over(Window.partitionBy(*K, real_touched).orderBy(
+            ver.desc_nulls_last(), start_col.desc_nulls_last()))
+        hit = F.coalesce(real_touched & (rn == 2) & due(start_col, batch_ts, spec.due), F.lit(False))
         close_at = F.col("_close") if spec.close_at == "staging" else ts_literal(batch_ts)
-        hit = F.col("_rt") & (rn == 2) & due(F.col(DATE_FROM), batch_ts, spec.due)
-        u = (u.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-              .withColumn(DATE_TO, F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)))
-              .withColumn(CURRENT, F.when(F.col("_hit"), F.lit(False)).otherwise(F.col(CURRENT))))
+        u = _set(u, _hit=hit)
+        u = _set(u, **{DATE_TO: F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)),
+                       CURRENT: F.when(F.col("_hit"), F.lit(False)).otherwise(cur_flag)})
 
-    return u.where(real).select(*spec.dim_cols)
+    return u.select(*spec.dim_cols)
 
 
 def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
@@ -191,7 +200,9 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
 
     small = False
     if split == "auto":
-        keys, small = broadcast_if_small(s_ok.select(*K).distinct())
+        # the staged keys themselves (no distinct: a semi / anti join only
+        # tests existence, and counting them is one stage without a shuffle)
+        keys, small = broadcast_if_small(s_ok.select(*K))
     if small:
         touched = d.join(keys, K, "left_semi")
         rest = d.join(keys, K, "left_anti")
