@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, key_ok, open_end, ts_literal
-from ..operators.partitioning import broadcast_if_small
+from ..operators.partitioning import broadcast_if_small, checked_broadcast
 from ..operators.versions import TS, map_columns
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
@@ -66,14 +66,10 @@ def _set(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select(*keep, *[e.alias(c) for c, e in cols.items()])
 
 
-def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
-    """Step 2 of the module doc: versions of touched keys + staged rows with
-    non-NULL keys → the new state of those keys."""
-    K, P = list(spec.key_cols), list(spec.partition_cols)
-    attrs, carry, tracked = list(spec.attr_cols), list(spec.carry_cols), list(spec.tracked_cols)
-    body = K + attrs + carry
-    mode = spec.mode
-
+def union_rows(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
+    """Versions of touched keys and staged rows in one layout: dimension
+    columns, ``_stg`` (staged row?) and ``_ts`` (staged timestamp)."""
+    body = list(spec.key_cols + spec.attr_cols + spec.carry_cols)
     dpart = d.select(*body, F.col(VERSION).cast("int").alias(VERSION), F.col(CURRENT).cast("boolean").alias(CURRENT),
                      F.col(DATE_FROM).cast("timestamp_ntz").alias(DATE_FROM),
                      F.col(DATE_TO).cast("timestamp_ntz").alias(DATE_TO),
@@ -82,8 +78,18 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         *body, F.lit(None).cast("int").alias(VERSION), F.lit(None).cast("boolean").alias(CURRENT),
         _start(spec, batch_ts).alias(DATE_FROM), open_end().alias(DATE_TO),
         F.lit(True).alias(_STG), F.col(TS))
+    return dpart.unionByName(spart)
+
+
+def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
+    """Step 2 of the module doc: versions of touched keys + staged rows with
+    non-NULL keys → the new state of those keys."""
+    K, P = list(spec.key_cols), list(spec.partition_cols)
+    carry, tracked = list(spec.carry_cols), list(spec.tracked_cols)
+    mode = spec.mode
+
     # the load's only shuffle: every window below partitions by a superset of P
-    u = dpart.unionByName(spart).repartition(*P)
+    u = union_rows(d, s, spec, batch_ts).repartition(*P)
 
     stg, ver, cur_flag, start_col = F.col(_STG), F.col(VERSION), F.col(CURRENT), F.col(DATE_FROM)
     wk = Window.partitionBy(*K)
@@ -171,11 +177,17 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
     return u.select(*spec.dim_cols)
 
 
-def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
+def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") -> DataFrame:
     """Staged rows with a NULL key component: inserted as new every time (the
-    anti join cannot match them); append-all numbers them like any key."""
+    anti join cannot match them); append-all numbers them like any key, which
+    groups all of them under one NULL key (a hot group when they are many)."""
     order = [F.col(TS).asc_nulls_last(), *_nulls_last(spec.tiebreak)]
-    if spec.mode == "append_all" or spec.new_keys == "number":
+    numbered = spec.mode == "append_all" or spec.new_keys == "number"
+    if numbered and skew != "off" and s.count() > (0 if skew == "all" else hot_key_rows(s)):
+        from ..operators.ordered import rank_within
+        s = rank_within(s, list(spec.partition_cols), order, "_rn")
+        version = F.col("_rn")
+    elif numbered:
         version = F.row_number().over(Window.partitionBy(*spec.partition_cols).orderBy(*order))
     else:
         version = F.lit(1)
@@ -186,12 +198,38 @@ def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
     ).select(*spec.dim_cols)
 
 
+DEFAULT_HOT_KEY_ROWS = 5_000_000
+_HOT_CONF = "chronodim.skew.hotKeyRows"
+
+
+def hot_key_rows(df: DataFrame) -> int:
+    """Rows of one key above which the key leaves the window stage."""
+    conf = df.sparkSession.conf.get(_HOT_CONF, None)
+    return int(conf) if conf else DEFAULT_HOT_KEY_ROWS
+
+
+def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
+    """Keys whose touched versions + staged rows exceed ``hot_key_rows``:
+    ``(keys, small)`` or ``None`` when there are none.  One aggregation over
+    the key columns (partial counts combine before the shuffle)."""
+    K = list(spec.key_cols)
+    if skew == "all":
+        hot = s.select(*K).distinct()
+    else:
+        counts = touched.select(*K).unionByName(s.select(*K)).groupBy(*K).count()
+        hot = counts.where(F.col("count") > hot_key_rows(s)).select(*K)
+    hot, n, small = checked_broadcast(hot)
+    return None if n == 0 else (hot, small)
+
+
 def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
-               split: str = "auto") -> DataFrame:
+               split: str = "auto", skew: str = "auto") -> DataFrame:
     """The next state of ``dim`` after loading ``staging`` (both DataFrames).
 
     ``split``: ``auto`` (broadcast split when the staged keys are proven small),
-    ``never`` (always the single-shuffle path over the whole dimension)."""
+    ``never`` (always the single-shuffle path over the whole dimension).
+    ``skew``: ``auto`` (keys above ``chronodim.skew.hotKeyRows`` rows take the
+    hot-key path), ``off``, ``all`` (every touched key takes it; for tests)."""
     s = map_columns(staging, spec)
     ok = key_ok(spec.key_cols)
     s_ok, s_null = s.where(ok), s.where(~ok)
@@ -209,7 +247,17 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     else:
         touched, rest = d, None
 
-    out = _versioned(touched, s_ok, spec, batch_ts).unionByName(_null_key_rows(s_null, spec, batch_ts))
+    hot = hot_keys(touched, s_ok, spec, skew) if skew != "off" else None
+    if hot is None:
+        out = _versioned(touched, s_ok, spec, batch_ts)
+    else:
+        from .hotkeys import versioned_hot
+        hk, hot_small = hot
+        out = _versioned(touched.join(hk, K, "left_anti"), s_ok.join(hk, K, "left_anti"), spec, batch_ts)
+        heavy = union_rows(touched.join(hk, K, "left_semi"), s_ok.join(hk, K, "left_semi"), spec, batch_ts)
+        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, facts_small=hot_small))
+
+    out = out.unionByName(_null_key_rows(s_null, spec, batch_ts, skew))
     if rest is not None:
         out = out.unionByName(_bookkeeping_types(rest).select(*spec.dim_cols))
     return out

@@ -67,6 +67,7 @@ RUNNERS = {
     "auto": lambda dim, stg, spec: apply_scd2(dim, stg, spec, split="auto"),
     "never": lambda dim, stg, spec: apply_scd2(dim, stg, spec, split="never"),
     "stepwise": lambda dim, stg, spec: apply_stepwise(dim, stg, spec),
+    "hotkeys": lambda dim, stg, spec: apply_scd2(dim, stg, spec, skew="all"),
 }
 
 
