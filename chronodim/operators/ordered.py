@@ -56,12 +56,22 @@ def _slices(seq: DataFrame, group, value: str | None = None) -> DataFrame:
     return sl
 
 
+def _join_slices(seq: DataFrame, sl: DataFrame, group) -> DataFrame:
+    """Attach each row's slice summary; group values may be NULL (null-safe)."""
+    sl = sl.select(*[F.col(g).alias("_sl_" + g) for g in group], F.col(_PID).alias("_sl_pid"),
+                   *[c for c in sl.columns if c not in group and c != _PID])
+    cond = F.col(_PID) == F.col("_sl_pid")
+    for g in group:
+        cond = cond & F.col(g).eqNullSafe(F.col("_sl_" + g))
+    return seq.join(F.broadcast(sl), cond, "inner").drop("_sl_pid", *["_sl_" + g for g in group])
+
+
 def rank_within(df: DataFrame, group, order, name: str) -> DataFrame:
     """``df`` plus ``name`` = ROW_NUMBER() OVER (PARTITION BY group ORDER BY order)."""
     group = list(group)
     seq = sequenced(df, group, order)
     sl = _slices(seq, group).select(*group, _PID, "_first_id", "_before")
-    out = seq.join(F.broadcast(sl), group + [_PID], "inner")
+    out = _join_slices(seq, sl, group)
     out = out.withColumn(name, (F.col("_before") + F.col(_ID) - F.col("_first_id") + 1).cast("int"))
     return out.drop(_PID, _ID, "_first_id", "_before")
 
@@ -78,7 +88,7 @@ def lead_within(df: DataFrame, group, order, value: str, name: str) -> DataFrame
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col("_nx_" + g))
     out = seq.join(nxt, cond, "left")
-    out = out.join(F.broadcast(sl), group + [_PID], "inner")
+    out = _join_slices(out, sl, group)
     out = out.withColumn(name, F.when(F.col(_ID) == F.col("_last_id"), F.col("_next_first"))
                                   .otherwise(F.col("_nx_value")))
     return out.drop(_PID, _ID, "_last_id", "_next_first", "_nx_value", "_nx_id", *["_nx_" + g for g in group])
