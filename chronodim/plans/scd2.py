@@ -107,12 +107,13 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         facts["_base"] = F.coalesce(F.max(F.when(~stg, ver)).over(wk), F.lit(0))
     if mode == "close_previous" and spec.close_at == "staging":
         facts["_close"] = F.max(F.col(TS)).over(wk)
-    u = _set(u, **facts)
     if mode == "upsert" and "batch" in (spec.retire, spec.redate):
         # A version is a batch row when a staged row of its key carries its
-        # date_from; every staged row counts, also the ones that make no version
+        # date_from; every staged row counts, also the ones that make no version.
+        # Sorted by (key, at), this window also serves the per-key window next.
         at = F.when(stg, F.col(TS)).otherwise(start_col)
         u = _set(u, _inb=(F.max(stg.cast("int")).over(Window.partitionBy(*K, at)) == 1) & at.isNotNull())
+    u = _set(u, **facts)
 
     # (2) what each staged row becomes: new key, changed, or nothing (SEEN)
     curv = F.col(_CURV)
@@ -146,25 +147,7 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
     u = _set(u, **fill).drop(_CURV).where(kd != SEEN)   # SEEN rows have served J4 and the change test
 
     real_touched = F.col("_touched")
-    if mode == "append_all":
-        # U1 + U2: a touched key's current version is its highest
-        u = _set(u, **{CURRENT: F.when(real_touched, ver == F.max(ver).over(wk)).otherwise(cur_flag)})
-        scope = real_touched
-    elif mode == "upsert":
-        # Flag off below the highest version in scope (batch rows or touched key)
-        in_scope = F.col("_inb") if spec.retire == "batch" else real_touched
-        top = F.max(F.when(in_scope, ver)).over(wk)
-        u = _set(u, **{CURRENT: F.when(ver < top, F.lit(False)).otherwise(cur_flag)})
-        scope = F.col("_inb") if spec.redate == "batch" else real_touched
-    else:
-        scope = None
-
-    if scope is not None:
-        # date_to := next version's date_from within the scope
-        nxt = F.lead(DATE_FROM).over(Window.partitionBy(*K, scope).orderBy(
-            ver.asc_nulls_last(), start_col.asc_nulls_last()))
-        u = _set(u, **{DATE_TO: F.when(scope & nxt.isNotNull(), nxt).otherwise(F.col(DATE_TO))})
-    else:
+    if mode == "close_previous":
         # The second-latest version of a touched, due key is closed
         rn = F.row_number().over(Window.partitionBy(*K, real_touched).orderBy(
             ver.desc_nulls_last(), start_col.desc_nulls_last()))
@@ -173,6 +156,26 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         u = _set(u, _hit=hit)
         u = _set(u, **{DATE_TO: F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)),
                        CURRENT: F.when(F.col("_hit"), F.lit(False)).otherwise(cur_flag)})
+        return u.select(*spec.dim_cols)
+
+    # date_to := next version's date_from within the scope.
+    # Sorted by (key, scope, version), this window also serves the flag window.
+    if mode == "append_all":
+        scope = real_touched
+    else:
+        scope = F.col("_inb") if spec.redate == "batch" else real_touched
+    nxt = F.lead(DATE_FROM).over(Window.partitionBy(*K, scope).orderBy(
+        ver.asc_nulls_last(), start_col.asc_nulls_last()))
+    u = _set(u, **{DATE_TO: F.when(scope & nxt.isNotNull(), nxt).otherwise(F.col(DATE_TO))})
+
+    if mode == "append_all":
+        # U1 + U2: a touched key's current version is its highest
+        u = _set(u, **{CURRENT: F.when(real_touched, ver == F.max(ver).over(wk)).otherwise(cur_flag)})
+    else:
+        # Flag off below the highest version in scope (batch rows or touched key)
+        in_scope = F.col("_inb") if spec.retire == "batch" else real_touched
+        top = F.max(F.when(in_scope, ver)).over(wk)
+        u = _set(u, **{CURRENT: F.when(ver < top, F.lit(False)).otherwise(cur_flag)})
 
     return u.select(*spec.dim_cols)
 
