@@ -8,7 +8,7 @@
   with one row per key changes nothing.
 * Differential: random histories and batches (late rows, repeated values,
   NULL attributes, timestamps equal to existing starts) through ``apply_scd2``
-  and through the DuckDB statement sequence of ``oracle/sql.py``, for the three
+  and through the DuckDB statement sequence of ``duck_oracle/sql.py``, for the three
   modes.
 """
 
@@ -23,7 +23,7 @@ from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from chronodim import DimSpec, apply_scd2
-from oracle.sql import steps
+from duck_oracle.sql import steps
 
 S = dt.datetime(2200, 1, 1)
 DIM_SCHEMA = T.StructType([
