@@ -75,7 +75,7 @@ def second_latest(d: DataFrame, keys) -> DataFrame:
 
 
 def close_previous(d: DataFrame, s: DataFrame, keys, batch_ts, due: str = "date",
-                   close_at: str = "staging") -> DataFrame:
+                   close_at: str = "staging", reclose: str = "always") -> DataFrame:
     """The second-latest version of each touched key whose ``date_from`` is
     due gets ``date_to`` = the staged timestamp (or the batch clock) and loses
     the current flag.  Per key, as the statement intends (the uncorrelated
@@ -86,6 +86,8 @@ def close_previous(d: DataFrame, s: DataFrame, keys, batch_ts, due: str = "date"
         prev = prev.join(at, list(keys), "inner")
     else:
         prev = prev.withColumn("_close_at", ts_literal(batch_ts))
+    where = due_expr(F.col(DATE_FROM), batch_ts, due)
+    if reclose == "current":            # Q12 option: only a version still flagged current
+        where = where & (F.col(CURRENT) == F.lit(True))
     return update_from(d, prev, list(keys) + [VERSION],
-                       {DATE_TO: F.col("_close_at"), CURRENT: F.lit(False)},
-                       where=due_expr(F.col(DATE_FROM), batch_ts, due))
+                       {DATE_TO: F.col("_close_at"), CURRENT: F.lit(False)}, where=where)

@@ -68,7 +68,8 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = Tru
 
     # (3) numbering: ranks of staged rows within the version partition
     order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
-    if mode in ("append_all", "upsert"):
+    numbered = mode in ("append_all", "upsert") or spec.close_numbering == "row_number"
+    if numbered:
         ranked = rank_within(u.where(kd == CHG), P, order, "_rn")
         u = ranked.unionByName(u.where(kd != CHG).withColumn("_rn", F.lit(None).cast("int")))
     if spec.new_keys == "number":
@@ -79,7 +80,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = Tru
         new_version = F.lit(1)
     if mode == "append_all":
         version = F.col("_base") + F.col("_rn")
-    elif mode == "upsert":
+    elif numbered:
         version = curv["v"] + F.col("_rn")
     else:
         version = curv["v"] + F.lit(1)
@@ -114,7 +115,10 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = Tru
     else:
         ranked = rank_within(u.where(touched), K, [ver.desc_nulls_last(), start_col.desc_nulls_last()], "_rn2")
         u = ranked.unionByName(u.where(~touched).withColumn("_rn2", F.lit(None).cast("int")))
-        hit = F.coalesce((F.col("_rn2") == 2) & due(start_col, batch_ts, spec.due), F.lit(False))
+        hit = (F.col("_rn2") == 2) & due(start_col, batch_ts, spec.due)
+        if spec.reclose == "current":
+            hit = hit & cur_flag
+        hit = F.coalesce(hit, F.lit(False))
         close_at = F.col("_close") if spec.close_at == "staging" else ts_literal(batch_ts)
         u = u.withColumn("_hit", hit)
         u = (u.withColumn(DATE_TO, F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)))

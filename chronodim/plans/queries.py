@@ -20,6 +20,7 @@ from ..spec import DimSpec
 from .pipelines import BATCH_TS, PIPELINES, Pipeline
 from .stepwise import insert_all, insert_changed, insert_new
 
+LONG_HISTORY = 3      # versions per key reported by long_histories
 DUE_TS = "2024-01-03 12:00:00"   # a batch date inside January 2024 where the two F9 forms differ on FX4
 
 FX1_SPEC = DimSpec(name="fx1", keys=(("k", "src_k"),), tracked=(("seg", "src_seg"), ("nat", "src_nat")),
@@ -191,6 +192,12 @@ def _redate(scope):
     return q
 
 
+def q_long_histories(spark, sf_dir):
+    from ..operators.reports import long_histories
+    d, _, spec, _ = _ctx(spark, sf_dir, "fx2")
+    return long_histories(d, spec, LONG_HISTORY)
+
+
 def _close(g):
     def q(spark, sf_dir):
         d2, s, spec, bts = _d2(spark, sf_dir, g)
@@ -235,4 +242,5 @@ OPERATOR_QUERIES = {
     "redate_batch": _redate("batch"),                                   # U4b, F5
     "close_previous_1": _close("fx1_close"),                            # U5, one-column key
     "close_previous_4": _close("fx4_close"),                            # U5, four-column key
+    "long_histories": q_long_histories,                                 # hard part 6: long histories
 }

@@ -131,7 +131,7 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
     rn_part = F.row_number().over(Window.partitionBy(*P, _KIND).orderBy(*order))
     if mode == "append_all":
         version = F.col("_base") + rn_part
-    elif mode == "upsert":
+    elif mode == "upsert" or spec.close_numbering == "row_number":
         version = curv["v"] + rn_part
     else:
         version = curv["v"] + F.lit(1)
@@ -151,7 +151,10 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         # The second-latest version of a touched, due key is closed
         rn = F.row_number().over(Window.partitionBy(*K, real_touched).orderBy(
             ver.desc_nulls_last(), start_col.desc_nulls_last()))
-        hit = F.coalesce(real_touched & (rn == 2) & due(start_col, batch_ts, spec.due), F.lit(False))
+        hit = real_touched & (rn == 2) & due(start_col, batch_ts, spec.due)
+        if spec.reclose == "current":
+            hit = hit & cur_flag
+        hit = F.coalesce(hit, F.lit(False))
         close_at = F.col("_close") if spec.close_at == "staging" else ts_literal(batch_ts)
         u = _set(u, _hit=hit)
         u = _set(u, **{DATE_TO: F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)),
@@ -260,7 +263,8 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
         heavy = union_rows(touched.join(hk, K, "left_semi"), s_ok.join(hk, K, "left_semi"), spec, batch_ts)
         out = out.unionByName(versioned_hot(heavy, spec, batch_ts, facts_small=hot_small))
 
-    out = out.unionByName(_null_key_rows(s_null, spec, batch_ts, skew))
+    if spec.null_keys == "insert":
+        out = out.unionByName(_null_key_rows(s_null, spec, batch_ts, skew))
     if rest is not None:
         out = out.unionByName(_bookkeeping_types(rest).select(*spec.dim_cols))
     return out

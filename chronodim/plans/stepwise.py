@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import key_ok
 from ..operators import flags as fl
 from ..operators import versions as vs
 from ..spec import VERSION, DimSpec
@@ -29,7 +30,7 @@ def insert_new(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts=None) -> Data
 def insert_changed(d1: DataFrame, s: DataFrame, spec: DimSpec, batch_ts=None) -> DataFrame:
     """Step 2: d1 ∪ staged rows that differ from the current version of d1."""
     chg = vs.changed_rows(s, d1, spec)
-    if spec.mode == "close_previous":
+    if spec.mode == "close_previous" and spec.close_numbering == "plus_one":
         chg = vs.next_version_plus_one(chg)
     else:
         chg = vs.number_versions(chg, spec, "cur_version")
@@ -51,6 +52,8 @@ def insert_all(d: DataFrame, s: DataFrame, spec: DimSpec) -> DataFrame:
 
 def apply_stepwise(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None) -> DataFrame:
     s = vs.map_columns(staging, spec)
+    if spec.null_keys == "drop":
+        s = s.where(key_ok(spec.key_cols))
     d = dim.select(*spec.dim_cols)
     K = spec.key_cols
     if spec.mode == "append_all":
@@ -59,6 +62,6 @@ def apply_stepwise(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=N
         return fl.redate(d2, s, K, "touched")
     d2 = insert_changed(insert_new(d, s, spec, batch_ts), s, spec, batch_ts)
     if spec.mode == "close_previous":
-        return fl.close_previous(d2, s, K, batch_ts, spec.due, spec.close_at)
+        return fl.close_previous(d2, s, K, batch_ts, spec.due, spec.close_at, spec.reclose)
     d3 = fl.retire_older(d2, s, K, spec.retire)
     return fl.redate(d3, s, K, spec.redate)

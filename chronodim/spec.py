@@ -52,6 +52,16 @@ class DimSpec:
     close_at
         value written into ``date_to`` by close-previous: ``staging`` (the
         staged timestamp) or ``batch_ts``.
+    reclose
+        close-previous: ``always`` closes the second-latest version of every
+        touched key again (the source's behaviour), ``current`` only while its
+        flag is still true.
+    close_numbering
+        close-previous: ``plus_one`` (every changed row gets ``version + 1``)
+        or ``row_number`` (numbered by timestamp like an upsert).
+    null_keys
+        ``insert`` (a staged row with a NULL key is inserted as new, every
+        load, as the anti join does) or ``drop``.
     carry
         ``(dimension column, staging column)``: taken from the current version
         on a change; a new key takes the staging column.
@@ -73,6 +83,9 @@ class DimSpec:
     new_keys: str = "one"
     due: str = "date"
     close_at: str = "staging"
+    reclose: str = "always"
+    close_numbering: str = "plus_one"
+    null_keys: str = "insert"
     columns: tuple[str, ...] | None = field(default=None)
 
     def __post_init__(self):
@@ -87,6 +100,9 @@ class DimSpec:
             ("new_keys", ("one", "number"), self.new_keys),
             ("due", ("date", "midnight"), self.due),
             ("close_at", ("staging", "batch_ts"), self.close_at),
+            ("reclose", ("always", "current"), self.reclose),
+            ("close_numbering", ("plus_one", "row_number"), self.close_numbering),
+            ("null_keys", ("insert", "drop"), self.null_keys),
         ):
             if value not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}: {value}")

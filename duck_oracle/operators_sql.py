@@ -4,7 +4,7 @@
 
 from __future__ import annotations
 
-from chronodim.plans.queries import DUE_TS, G
+from chronodim.plans.queries import DUE_TS, G, LONG_HISTORY
 from chronodim.plans.pipelines import PIPELINES
 from chronodim.spec import DimSpec
 
@@ -148,6 +148,9 @@ def _build() -> dict[str, str]:
         "redate_batch": _redate_only("batch"),
         "close_previous_1": _w("fx1_close", _steps("fx1_close", "fin"), "SELECT * FROM fin"),
         "close_previous_4": _w("fx4_close", _steps("fx4_close", "fin"), "SELECT * FROM fin"),
+        "long_histories": _w("fx2", [], f"SELECT {keys_of(f2, 'd0')}, count(*) AS versions, "
+                                        f"CAST(max(d0.version) AS INTEGER) AS max_version FROM d0 "
+                                        f"GROUP BY {keys_of(f2, 'd0')} HAVING count(*) >= {LONG_HISTORY}"),
     }
 
 

@@ -170,13 +170,20 @@ def close_steps(spec: DimSpec, batch_ts: str) -> str:
     start = f"TIMESTAMP '{batch_ts}'"
     close_at = f"max(s.{q(spec.ts)})" if spec.close_at == "staging" else start
     hit = f"up.version IS NOT NULL AND {due_sql('d2.date_from', batch_ts, spec.due)}"
+    if spec.reclose == "current":
+        hit += " AND d2.lastversion = true"
+    if spec.close_numbering == "plus_one":
+        version = "CAST(d1.version + 1 AS INTEGER)"
+    else:
+        version = (f"CAST(d1.version + row_number() OVER (PARTITION BY {_partition(spec)} "
+                   f"ORDER BY {_order(spec)}) AS INTEGER)")
     return f"""ins_new AS (
   SELECT {_new_select(spec, '1', 'true', start)}
   FROM s LEFT JOIN d0 ON {on(spec, 'd0')} WHERE d0.{q(k1)} IS NULL
 ),
 d1 AS (SELECT * FROM d0 UNION ALL SELECT * FROM ins_new),
 ins_chg AS (
-  SELECT {_new_select(spec, 'CAST(d1.version + 1 AS INTEGER)', 'true', start)}
+  SELECT {_new_select(spec, version, 'true', start)}
   FROM s LEFT JOIN d1 ON {on(spec, 'd1')}
   WHERE ({_change_test(spec, 'd1')}) AND d1.lastversion = true
 ),
@@ -215,6 +222,13 @@ def upto(ctes: list[tuple[str, str]], last: str) -> list[tuple[str, str]]:
     return ctes[: names.index(last) + 1]
 
 
+def staging_where(spec: DimSpec) -> str:
+    """The staging filter of ``null_keys='drop'`` (empty otherwise)."""
+    if spec.null_keys != "drop":
+        return ""
+    return " WHERE " + " AND ".join(f"{q(sc)} IS NOT NULL" for _, sc in spec.keys)
+
+
 def frames_sql(p: Pipeline) -> str:
     """Fixture CTEs plus ``d0`` (the dimension) and ``s`` (the staging batch)."""
     fx_text, fdim, fstg = FIXTURE_SQL[p.fixture]
@@ -223,7 +237,7 @@ def frames_sql(p: Pipeline) -> str:
     d0 = ", ".join(f"{dim_map[c]} AS {q(c)}" for c in attrs)
     s = ", ".join(f"{e} AS {q(c)}" for c, e in stg_map.items())
     return (f"{fx_text},\nd0 AS (SELECT {d0}, CAST(version AS INTEGER) AS version, lastversion, date_from, date_to "
-            f"FROM {fdim}),\ns AS (SELECT {s} FROM {fstg})")
+            f"FROM {fdim}),\ns AS (SELECT * FROM (SELECT {s} FROM {fstg}) x{staging_where(p.spec)})")
 
 
 def pipeline_sql(p: Pipeline) -> str:

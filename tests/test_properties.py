@@ -23,7 +23,7 @@ from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from chronodim import DimSpec, apply_scd2
-from duck_oracle.sql import steps
+from duck_oracle.sql import staging_where, steps
 
 S = dt.datetime(2200, 1, 1)
 DIM_SCHEMA = T.StructType([
@@ -49,7 +49,7 @@ def day(n):
 
 
 @st.composite
-def histories(draw, late=False, one_staged=False, repeat_new=False):
+def histories(draw, late=False, one_staged=False, repeat_new=False, null_key=False):
     """(dimension rows, staged rows) for keys 1..5."""
     dim, stg = [], []
     for k in range(1, 6):
@@ -66,6 +66,8 @@ def histories(draw, late=False, one_staged=False, repeat_new=False):
             ts = sorted(set(ts))
         for t in ts:
             stg.append((k, draw(value), draw(number), day(t)))
+    if null_key and draw(st.booleans()):
+        stg.append((None, draw(value), draw(number), day(draw(st.integers(0, 60)))))
     return dim, stg
 
 
@@ -120,7 +122,8 @@ def _duck(spec, dim, stg, batch_ts):
     con.register("dim_t", pa.Table.from_pylist([dict(zip(ARROW_DIM.names, r)) for r in dim], schema=ARROW_DIM))
     con.register("stg_t", pa.Table.from_pylist([dict(zip(ARROW_STG.names, r)) for r in stg], schema=ARROW_STG))
     ctes = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in steps(spec, batch_ts))
-    sql = f"WITH d0 AS (SELECT * FROM dim_t), s AS (SELECT * FROM stg_t),\n{ctes}\nSELECT * FROM fin"
+    sql = (f"WITH d0 AS (SELECT * FROM dim_t), s AS (SELECT * FROM stg_t{staging_where(spec)}),\n{ctes}\n"
+           f"SELECT * FROM fin")
     return sorted((tuple(r) for r in con.sql(sql).fetchall()), key=repr)
 
 
@@ -132,11 +135,19 @@ DIFF_CASES = {
     "close_previous": (replace(BASE, mode="close_previous", start="batch"), dict(late=True, one_staged=True)),
     "close_previous_midnight": (replace(BASE, mode="close_previous", start="batch", due="midnight"),
                                 dict(one_staged=True)),
+    "close_previous_options": (replace(BASE, mode="close_previous", start="batch", reclose="current",
+                                       close_numbering="row_number", close_at="batch_ts"), dict(late=True)),
+    "upsert_null_keys": (BASE, dict(late=True, null_key=True)),
+    "upsert_drop_null_keys": (replace(BASE, null_keys="drop"), dict(late=True, null_key=True)),
+    "append_null_keys": (replace(BASE, mode="append_all"), dict(repeat_new=True, null_key=True)),
 }
 
 
-@pytest.mark.parametrize("case", list(DIFF_CASES))
-def test_against_statement_sequence(spark, case):
+HOT_CASES = ["upsert_batch", "append_null_keys", "close_previous_options", "upsert_batch_clock"]
+
+
+@pytest.mark.parametrize("skew,case", [("auto", c) for c in DIFF_CASES] + [("all", c) for c in HOT_CASES])
+def test_against_statement_sequence(spark, skew, case):
     spec, kw = DIFF_CASES[case]
 
     @SETTINGS
@@ -144,7 +155,7 @@ def test_against_statement_sequence(spark, case):
     def check(data):
         dim, stg = data
         want = _duck(spec, dim, stg, BATCH_TS)
-        got = _rows(apply_scd2(*_frames(spark, dim, stg), spec, BATCH_TS, split="auto"))
+        got = _rows(apply_scd2(*_frames(spark, dim, stg), spec, BATCH_TS, split="auto", skew=skew))
         assert got == want
 
     check()
