@@ -97,6 +97,25 @@ def number_versions(rows: DataFrame, spec: DimSpec, base: str = "cur_version") -
     return rows.withColumn(VERSION, (F.coalesce(F.col(base), F.lit(0)) + F.row_number().over(w)).cast("int"))
 
 
+def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:
+    """Q3 option: drop staged rows equal in every tracked column (NULL-safe) to
+    the staged row before them of the same key (by timestamp, then tiebreak).
+    ``hot``: take the previous row with the skew-proof ordered helper instead of
+    a window over the key."""
+    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
+    prev_struct = F.struct(*[F.col(c) for c in spec.tracked_cols])
+    if hot:
+        from .ordered import lead_within
+        desc = [F.col(TS).desc_nulls_first(), *[F.col(c).desc_nulls_first() for c in spec.tiebreak]]
+        s = lead_within(s.withColumn("_cmp", prev_struct), list(spec.key_cols), desc, "_cmp", "_prev").drop("_cmp")
+    else:
+        s = s.withColumn("_prev", F.lag(prev_struct).over(Window.partitionBy(*spec.key_cols).orderBy(*order)))
+    same = F.lit(True)
+    for c in spec.tracked_cols:
+        same = same & F.col("_prev")[c].eqNullSafe(F.col(c))
+    return s.where(F.col("_prev").isNull() | ~same).drop("_prev")
+
+
 def next_version_plus_one(rows: DataFrame) -> DataFrame:
     """P8 (close-previous form): ``version + 1`` for every changed row."""
     return rows.withColumn(VERSION, (F.col("cur_version") + F.lit(1)).cast("int"))

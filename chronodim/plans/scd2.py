@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, key_ok, open_end, ts_literal
 from ..operators.partitioning import broadcast_if_small, checked_broadcast
-from ..operators.versions import TS, map_columns
+from ..operators.versions import TS, dedupe_batch, map_columns
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
 # row kinds inside the load
@@ -253,18 +253,22 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     else:
         touched, rest = d, None
 
+    def dedupe(rows, hot=False):
+        return dedupe_batch(rows, spec, hot) if spec.dedupe else rows
+
     hot = hot_keys(touched, s_ok, spec, skew) if skew != "off" else None
     if hot is None:
-        out = _versioned(touched, s_ok, spec, batch_ts)
+        out = _versioned(touched, dedupe(s_ok), spec, batch_ts)
     else:
         from .hotkeys import versioned_hot
         hk, hot_small = hot
-        out = _versioned(touched.join(hk, K, "left_anti"), s_ok.join(hk, K, "left_anti"), spec, batch_ts)
-        heavy = union_rows(touched.join(hk, K, "left_semi"), s_ok.join(hk, K, "left_semi"), spec, batch_ts)
+        out = _versioned(touched.join(hk, K, "left_anti"), dedupe(s_ok.join(hk, K, "left_anti")), spec, batch_ts)
+        heavy = union_rows(touched.join(hk, K, "left_semi"), dedupe(s_ok.join(hk, K, "left_semi"), hot=True),
+                           spec, batch_ts)
         out = out.unionByName(versioned_hot(heavy, spec, batch_ts, facts_small=hot_small))
 
     if spec.null_keys == "insert":
-        out = out.unionByName(_null_key_rows(s_null, spec, batch_ts, skew))
+        out = out.unionByName(_null_key_rows(dedupe(s_null, hot=skew == "all"), spec, batch_ts, skew))
     if rest is not None:
         out = out.unionByName(_bookkeeping_types(rest).select(*spec.dim_cols))
     return out

@@ -54,6 +54,8 @@ def apply_stepwise(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=N
     s = vs.map_columns(staging, spec)
     if spec.null_keys == "drop":
         s = s.where(key_ok(spec.key_cols))
+    if spec.dedupe:
+        s = vs.dedupe_batch(s, spec)
     d = dim.select(*spec.dim_cols)
     K = spec.key_cols
     if spec.mode == "append_all":

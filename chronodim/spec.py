@@ -59,6 +59,10 @@ class DimSpec:
     close_numbering
         close-previous: ``plus_one`` (every changed row gets ``version + 1``)
         or ``row_number`` (numbered by timestamp like an upsert).
+    dedupe
+        drop a staged row whose tracked values equal (NULL-safe) those of the
+        staged row before it of the same key, before the load ("dedupe the
+        batch first": the same change twice then makes one version).
     null_keys
         ``insert`` (a staged row with a NULL key is inserted as new, every
         load, as the anti join does) or ``drop``.
@@ -86,6 +90,7 @@ class DimSpec:
     reclose: str = "always"
     close_numbering: str = "plus_one"
     null_keys: str = "insert"
+    dedupe: bool = False
     columns: tuple[str, ...] | None = field(default=None)
 
     def __post_init__(self):

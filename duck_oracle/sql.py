@@ -223,10 +223,17 @@ def upto(ctes: list[tuple[str, str]], last: str) -> list[tuple[str, str]]:
 
 
 def staging_where(spec: DimSpec) -> str:
-    """The staging filter of ``null_keys='drop'`` (empty otherwise)."""
-    if spec.null_keys != "drop":
-        return ""
-    return " WHERE " + " AND ".join(f"{q(sc)} IS NOT NULL" for _, sc in spec.keys)
+    """The staging filter of ``null_keys='drop'`` and ``dedupe`` (empty otherwise)."""
+    out = ""
+    if spec.null_keys == "drop":
+        out += " WHERE " + " AND ".join(f"{q(sc)} IS NOT NULL" for _, sc in spec.keys)
+    if spec.dedupe:
+        keys = ", ".join(q(sc) for _, sc in spec.keys)
+        order = ", ".join([q(spec.ts)] + [q(stg_name(spec, c)) for c in spec.tiebreak])
+        w = f"OVER (PARTITION BY {keys} ORDER BY {order})"
+        same = " AND ".join(f"{q(sc)} IS NOT DISTINCT FROM lag({q(sc)}) {w}" for _, sc in spec.tracked)
+        out += f" QUALIFY row_number() {w} = 1 OR NOT ({same})"
+    return out
 
 
 def frames_sql(p: Pipeline) -> str:

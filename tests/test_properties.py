@@ -140,10 +140,12 @@ DIFF_CASES = {
     "upsert_null_keys": (BASE, dict(late=True, null_key=True)),
     "upsert_drop_null_keys": (replace(BASE, null_keys="drop"), dict(late=True, null_key=True)),
     "append_null_keys": (replace(BASE, mode="append_all"), dict(repeat_new=True, null_key=True)),
+    "upsert_dedupe": (replace(BASE, dedupe=True), dict(late=True, null_key=True)),
+    "append_dedupe": (replace(BASE, mode="append_all", dedupe=True), dict(repeat_new=True, null_key=True)),
 }
 
 
-HOT_CASES = ["upsert_batch", "append_null_keys", "close_previous_options", "upsert_batch_clock"]
+HOT_CASES = ["upsert_batch", "append_null_keys", "close_previous_options", "upsert_batch_clock", "upsert_dedupe"]
 
 
 @pytest.mark.parametrize("skew,case", [("auto", c) for c in DIFF_CASES] + [("all", c) for c in HOT_CASES])

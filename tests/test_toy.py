@@ -115,3 +115,12 @@ def test_b_is_idempotent_for_one_row_per_key(spark):
     once = apply_scd2(dim, stg, SPEC_B)
     twice = apply_scd2(spark.createDataFrame(once.collect(), DIM_SCHEMA), stg, SPEC_B)
     assert _rows(once) == _rows(twice)
+
+
+def test_dedupe_same_change_twice(spark):
+    """Q3 option: with dedupe the same change staged twice makes one version."""
+    from dataclasses import replace
+    dim = spark.createDataFrame(T1_DIM, DIM_SCHEMA)
+    stg = spark.createDataFrame([(1, "b", d(2)), (1, "b", d(3))], STG_SCHEMA)
+    got = _rows(apply_scd2(dim, stg, replace(SPEC_B, dedupe=True)))
+    assert got == [(1, "a", 1, False, d(1), S), (1, "b", 2, True, d(2), S)]
