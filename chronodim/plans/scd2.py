@@ -228,12 +228,42 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
     return None if n == 0 else (hot, small)
 
 
+DEFAULT_SPLIT_BUCKETS = 1 << 20
+_BUCKETS_CONF = "chronodim.split.buckets"
+MAX_BUCKET_SHARE = 0.5
+
+
+def _split(d: DataFrame, s: DataFrame, spec: DimSpec):
+    """(versions that may be touched, versions surely untouched or None).
+
+    1. Staged keys within the broadcast bound: broadcast semi / anti join on the key.
+    2. Too many keys: broadcast the set of touched hash buckets of the key
+       (``pmod(xxhash64(key), B)``, at most B ints whatever the batch size).
+       Versions in untouched buckets are surely untouched and skip the shuffle;
+       the others take the load's path, which leaves untouched keys as they are.
+    3. Buckets mostly touched: no split (the whole dimension takes one shuffle)."""
+    K = list(spec.key_cols)
+    keys, small = broadcast_if_small(s.select(*K))   # no distinct: semi / anti joins test existence
+    if small:
+        return d.join(keys, K, "left_semi"), d.join(keys, K, "left_anti")
+    conf = d.sparkSession.conf.get(_BUCKETS_CONF, None)
+    n_buckets = int(conf) if conf else DEFAULT_SPLIT_BUCKETS
+    bucket = F.pmod(F.xxhash64(*K), F.lit(n_buckets)).alias("_bucket")
+    buckets, n, ok = checked_broadcast(s.select(bucket).distinct(), bound=n_buckets)
+    if not ok or n > MAX_BUCKET_SHARE * n_buckets:
+        return d, None
+    db = d.withColumn("_bucket", bucket)
+    return (db.join(buckets, "_bucket", "left_semi").drop("_bucket"),
+            db.join(buckets, "_bucket", "left_anti").drop("_bucket"))
+
+
 def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
                split: str = "auto", skew: str = "auto") -> DataFrame:
     """The next state of ``dim`` after loading ``staging`` (both DataFrames).
 
-    ``split``: ``auto`` (broadcast split when the staged keys are proven small),
-    ``never`` (always the single-shuffle path over the whole dimension).
+    ``split``: ``auto`` (broadcast split on the staged keys when they are
+    proven small, else on their hash buckets; see ``_split``), ``never``
+    (always the single-shuffle path over the whole dimension).
     ``skew``: ``auto`` (keys above ``chronodim.skew.hotKeyRows`` rows take the
     hot-key path), ``off``, ``all`` (every touched key takes it; for tests)."""
     s = map_columns(staging, spec)
@@ -242,16 +272,9 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     d = dim.select(*spec.dim_cols)
     K = list(spec.key_cols)
 
-    small = False
+    touched, rest = d, None
     if split == "auto":
-        # the staged keys themselves (no distinct: a semi / anti join only
-        # tests existence, and counting them is one stage without a shuffle)
-        keys, small = broadcast_if_small(s_ok.select(*K))
-    if small:
-        touched = d.join(keys, K, "left_semi")
-        rest = d.join(keys, K, "left_anti")
-    else:
-        touched, rest = d, None
+        touched, rest = _split(d, s_ok, spec)
 
     def dedupe(rows, hot=False):
         return dedupe_batch(rows, spec, hot) if spec.dedupe else rows

@@ -47,3 +47,18 @@ def test_staging_scan_is_pruned(spark, tmp_path):
     reads = [l for l in plan.splitlines() if l.startswith("ReadSchema")]
     assert reads and all("crtupd_dt" in r or "utid" in r for r in reads)
     assert "PushedFilters: [IsNotNull(utid)]" in plan
+
+
+def test_bucket_split_plan(spark, tmp_path):
+    spark.conf.set("chronodim.broadcast.maxBytes", "64")
+    spark.conf.set("chronodim.split.buckets", "8192")
+    try:
+        out, p = _load(spark, tmp_path, "pipe_merchant", skew="off")
+        plan = _explain(out)
+    finally:
+        spark.conf.unset("chronodim.broadcast.maxBytes")
+        spark.conf.unset("chronodim.split.buckets")
+    assert "xxhash64" in plan and "BroadcastHashJoin LeftAnti" in plan
+    hash_exchanges = [l for l in plan.splitlines() if "Arguments: hashpartitioning" in l]
+    # the load's shuffle plus the distinct of the (bounded) bucket set
+    assert len(hash_exchanges) == 2, hash_exchanges
