@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "chronodim") -> SparkSession:
-    return (
+    """Local mode only: on a cluster the session, and ``spark.checkpoint.dir``
+    (a shared folder), come from the cluster's configuration."""
+    spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -19,3 +23,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+    if not spark.sparkContext.getCheckpointDir():     # set only where unset
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="chronodim-ckpt-"))
+    return spark
