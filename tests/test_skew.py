@@ -49,3 +49,41 @@ def test_ordered_helpers_match_windows(spark):
     want = df.withColumn("rn", F.row_number().over(w)).withColumn("nx", F.lead("v").over(w))
     got = lead_within(rank_within(df, ["g"], ["o"], "rn"), ["g"], ["o"], "v", "nx")
     assert _bag(got.select("g", "o", "v", "rn", "nx")) == _bag(want.select("g", "o", "v", "rn", "nx"))
+
+
+def test_real_skew_event_history(spark):
+    """A dimension keyed by event type: five keys, each about a fifth of all
+    rows.  Auto detection sends every key to the hot path; the rows equal the
+    window path."""
+    from pyspark.sql import Window as W
+
+    from chronodim import DimSpec
+    from chronodim.functions.columns import open_end, ts_literal
+    from chronodim.sources.fixtures import table
+
+    ev = table(spark, SF_SMALL, "events").select(
+        "event_type", "event_id", "ts", F.floor(F.col("value") / 25).cast("int").alias("target"))
+    cut = ts_literal("2024-01-20 00:00:00")
+    w = W.partitionBy("event_type").orderBy("ts", "event_id")
+    nxt = F.lead("ts").over(w)
+    dim = ev.where(F.col("ts") < cut).select(
+        "event_type", "target", "event_id", F.row_number().over(w).cast("int").alias("version"),
+        nxt.isNull().alias("lastversion"), F.col("ts").alias("date_from"),
+        F.coalesce(nxt, open_end()).alias("date_to"))
+    stg = ev.where(F.col("ts") >= cut).select(
+        F.col("event_type").alias("src_type"), F.col("target").alias("src_target"),
+        F.col("event_id").alias("src_event_id"), F.col("ts").alias("src_ts"))
+    spec = DimSpec(name="event_history", keys=(("event_type", "src_type"),),
+                   tracked=(("target", "src_target"),), payload=(("event_id", "src_event_id"),),
+                   ts="src_ts", tiebreak=("event_id",))
+    want = _bag(apply_scd2(dim, stg, spec, skew="off"))
+    spark.conf.set("chronodim.skew.hotKeyRows", "100")
+    try:
+        from chronodim.operators.versions import map_columns
+        s = map_columns(stg, spec)
+        hk, _ = hot_keys(dim, s, spec, "auto")
+        assert hk.count() == 5
+        got = _bag(apply_scd2(dim, stg, spec))
+    finally:
+        spark.conf.unset("chronodim.skew.hotKeyRows")
+    assert got == want
