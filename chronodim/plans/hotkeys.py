@@ -64,6 +64,11 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = Tru
         kind = (F.when(~stg, F.lit(DIM)).when(~F.col("_has_dim"), F.lit(NEW))
                  .when(curv.isNotNull() & test, F.lit(CHG)).otherwise(F.lit(SEEN)))
     u = u.withColumn(_KIND, kind).where(F.col(_KIND) != SEEN)
+    # The rows of hot keys feed several branches below (ranked / not ranked,
+    # flag aggregate, chained / not chained); cut the lineage once so none of
+    # them re-reads the dimension.
+    if u.sparkSession.sparkContext.getCheckpointDir():
+        u = u.checkpoint(eager=True)
     kd = F.col(_KIND)
 
     # (3) numbering: ranks of staged rows within the version partition
