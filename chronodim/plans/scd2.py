@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, key_ok, open_end, ts_literal
-from ..operators.partitioning import broadcast_if_small, checked_broadcast
+from ..operators.partitioning import checked_broadcast
 from ..operators.versions import TS, dedupe_batch, map_columns
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
@@ -222,8 +222,14 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
     if skew == "all":
         hot = s.select(*K).distinct()
     else:
-        counts = touched.select(*K).unionByName(s.select(*K)).groupBy(*K).count()
-        hot = counts.where(F.col("count") > hot_key_rows(s)).select(*K)
+        limit = hot_key_rows(s)
+        rows = touched.select(*K).unionByName(s.select(*K))
+        # exact necessary condition first: no key can pass the limit when all
+        # rows together do not (a one-stage count, no shuffle)
+        if rows.count() <= limit:
+            return None
+        counts = rows.groupBy(*K).count()
+        hot = counts.where(F.col("count") > limit).select(*K)
     hot, n, small = checked_broadcast(hot)
     return None if n == 0 else (hot, small)
 
@@ -243,7 +249,7 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec):
        the others take the load's path, which leaves untouched keys as they are.
     3. Buckets mostly touched: no split (the whole dimension takes one shuffle)."""
     K = list(spec.key_cols)
-    keys, small = broadcast_if_small(s.select(*K))   # no distinct: semi / anti joins test existence
+    keys, _, small = checked_broadcast(s.select(*K))   # no distinct: semi / anti joins test existence
     if small:
         return d.join(keys, K, "left_semi"), d.join(keys, K, "left_anti")
     conf = d.sparkSession.conf.get(_BUCKETS_CONF, None)
