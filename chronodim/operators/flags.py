@@ -53,17 +53,23 @@ def retire_older(d: DataFrame, s: DataFrame, keys, scope: str = "batch") -> Data
                        where=F.col(VERSION) < F.col("max_version"))
 
 
-def next_start(d: DataFrame, s: DataFrame, keys, scope: str = "touched") -> DataFrame:
+def next_start(d: DataFrame, s: DataFrame, keys, scope: str = "touched", skewed: bool = False) -> DataFrame:
     """``LEAD(date_from) OVER (PARTITION BY key ORDER BY version)`` over
-    all versions of touched keys or over the batch's rows."""
+    all versions of touched keys or over the batch's rows.  ``skewed``: chain
+    with range slices and a row-id join instead of a window over the key."""
     src = batch_rows(d, s, keys) if scope == "batch" else touched_rows(d, s, keys)
-    w = Window.partitionBy(*keys).orderBy(F.col(VERSION).asc_nulls_last(), F.col(DATE_FROM).asc_nulls_last())
+    order = [F.col(VERSION).asc_nulls_last(), F.col(DATE_FROM).asc_nulls_last()]
+    if skewed:
+        from .ordered import lead_within
+        return lead_within(src.select(*keys, VERSION, DATE_FROM), list(keys), order, DATE_FROM,
+                           "next_date_from").select(*keys, VERSION, "next_date_from")
+    w = Window.partitionBy(*keys).orderBy(*order)
     return src.select(*keys, VERSION, F.lead(DATE_FROM).over(w).alias("next_date_from"))
 
 
-def redate(d: DataFrame, s: DataFrame, keys, scope: str = "touched") -> DataFrame:
+def redate(d: DataFrame, s: DataFrame, keys, scope: str = "touched", skewed: bool = False) -> DataFrame:
     """``date_to := next version's date_from`` where there is one."""
-    nxt = next_start(d, s, keys, scope).where(F.col("next_date_from").isNotNull())
+    nxt = next_start(d, s, keys, scope, skewed).where(F.col("next_date_from").isNotNull())
     return update_from(d, nxt, list(keys) + [VERSION], {DATE_TO: F.col("next_date_from")})
 
 

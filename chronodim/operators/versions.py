@@ -87,14 +87,22 @@ def with_max_version(s: DataFrame, d: DataFrame, keys) -> DataFrame:
     return s.join(max_version(d, keys), list(keys), "left")
 
 
-def number_versions(rows: DataFrame, spec: DimSpec, base: str = "cur_version") -> DataFrame:
+def number_versions(rows: DataFrame, spec: DimSpec, base: str = "cur_version",
+                    skewed: bool = False) -> DataFrame:
     """``base + ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts)``.
 
     ``base`` is a column (``cur_version`` after ``changed_rows``,
-    ``max_version`` after ``with_max_version``); NULL counts as 0 (P9)."""
-    w = Window.partitionBy(*spec.partition_cols).orderBy(
-        F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak])
-    return rows.withColumn(VERSION, (F.coalesce(F.col(base), F.lit(0)) + F.row_number().over(w)).cast("int"))
+    ``max_version`` after ``with_max_version``); NULL counts as 0 (P9).
+    ``skewed``: number with range slices instead of a window over the key."""
+    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
+    if skewed:
+        from .ordered import rank_within
+        rows = rank_within(rows, list(spec.partition_cols), order, "_rn")
+        rn = F.col("_rn")
+    else:
+        rn = F.row_number().over(Window.partitionBy(*spec.partition_cols).orderBy(*order))
+    out = rows.withColumn(VERSION, (F.coalesce(F.col(base), F.lit(0)) + rn).cast("int"))
+    return out.drop("_rn") if skewed else out
 
 
 def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:

@@ -87,3 +87,18 @@ def test_real_skew_event_history(spark):
     finally:
         spark.conf.unset("chronodim.skew.hotKeyRows")
     assert got == want
+
+
+def test_stepwise_skewed_forms(spark):
+    """number_versions / next_start with skewed=True equal their window forms."""
+    from chronodim.operators import flags as fl
+    from chronodim.operators import versions as vs
+    from chronodim.plans.queries import G
+    p = G["fx2"]
+    dim, stg = p.frames(spark, SF_SMALL)
+    s = vs.map_columns(stg, p.spec)
+    chg = vs.changed_rows(s, dim, p.spec)
+    assert _bag(vs.number_versions(chg, p.spec, skewed=True)) == _bag(vs.number_versions(chg, p.spec))
+    for scope in ("touched", "batch"):
+        assert _bag(fl.next_start(dim, s, p.spec.key_cols, scope, skewed=True)) == \
+            _bag(fl.next_start(dim, s, p.spec.key_cols, scope))
