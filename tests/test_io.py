@@ -51,3 +51,19 @@ def test_load_round_trip_through_snapshots(spark, tmp_path):
     # exactly one current row per key that has history
     per_key = latest.where("lastversion").groupBy("merchant_code").count()
     assert per_key.where("count > 1").count() == 0
+
+
+def test_command_line_load(spark, tmp_path):
+    """python -m chronodim: read the newest snapshot, load, publish the next."""
+    from chronodim.__main__ import main
+    p = PIPELINES["pipe_dc_emi"]
+    dim, stg = p.frames(spark, SF_SMALL)
+    root, stg_path = str(tmp_path / "dc_emi"), str(tmp_path / "stg")
+    publish(dim, root)
+    stg.write.parquet(stg_path)
+    main(["--load", "dc_emi", "--dim", root, "--staging", stg_path])
+    assert snapshots(spark, root) == [1, 2]
+    from chronodim.plans.scd2 import apply_scd2
+    want = apply_scd2(dim, stg, p.spec)
+    got = read_dim(spark, root, p.spec)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
