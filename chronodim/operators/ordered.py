@@ -11,7 +11,8 @@ that holds a large share of the rows (a hot key) these helpers spread it:
    values: a lost executor cannot renumber rows under a later join.
 2. A per-(group, slice) summary (first id, row count, first value) has at most
    #groups + #slices rows; a window over it gives each slice its offset and the
-   first value of the next slice of the same group.  It is broadcast.
+   first value of the next slice of the same group.  It is broadcast when its
+   counted size allows (always for a few hot keys), else joined by shuffle.
 3. ``row_number`` = offset + position in slice; ``lead`` = the row with the
    next id (an equi-join on the id, hash-distributed evenly), or for a slice's
    last row the next slice's first value.
@@ -57,13 +58,17 @@ def _slices(seq: DataFrame, group, value: str | None = None) -> DataFrame:
 
 
 def _join_slices(seq: DataFrame, sl: DataFrame, group) -> DataFrame:
-    """Attach each row's slice summary; group values may be NULL (null-safe)."""
+    """Attach each row's slice summary; group values may be NULL (null-safe).
+    The summary has at most #groups + #slices rows: broadcast after a count
+    (few groups, e.g. hot keys), else joined by shuffle."""
+    from .partitioning import checked_broadcast
     sl = sl.select(*[F.col(g).alias("_sl_" + g) for g in group], F.col(_PID).alias("_sl_pid"),
                    *[c for c in sl.columns if c not in group and c != _PID])
+    sl, _, _ = checked_broadcast(sl)
     cond = F.col(_PID) == F.col("_sl_pid")
     for g in group:
         cond = cond & F.col(g).eqNullSafe(F.col("_sl_" + g))
-    return seq.join(F.broadcast(sl), cond, "inner").drop("_sl_pid", *["_sl_" + g for g in group])
+    return seq.join(sl, cond, "inner").drop("_sl_pid", *["_sl_" + g for g in group])
 
 
 def rank_within(df: DataFrame, group, order, name: str) -> DataFrame:
