@@ -3,8 +3,8 @@ step that gathers one key into one task.
 
 * per-key facts (current version, has history, touched, base, close time,
   highest version in scope) are aggregates — partial aggregation collapses a
-  hot key's rows before the shuffle — joined back by broadcast (the hot keys
-  are few: their count is checked before this path is taken);
+  hot key's rows before the shuffle — joined back by broadcast when the
+  counted hot keys times the facts' row width fit the bound;
 * the batch match of J4 is an equi-join on ``(key, timestamp)``;
 * ``row_number`` and ``lead`` use ``operators.ordered`` (range slices, row ids,
   equi-joins), so a hot key's versions spread over many tasks.
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, ts_literal
 from ..operators.ordered import lead_within, rank_within
+from ..operators.partitioning import broadcast_bound
 from ..operators.versions import TS
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
@@ -24,13 +25,17 @@ DIM, NEW, CHG, SEEN = 0, 1, 2, 3
 _STG, _KIND, _CURV = "_stg", "_kind", "_cur"
 
 
-def _facts_join(u: DataFrame, facts: DataFrame, keys, small: bool) -> DataFrame:
+def _facts_join(u: DataFrame, facts: DataFrame, keys, n_keys: int) -> DataFrame:
+    """Join one-row-per-key facts back; broadcast when ``n_keys`` rows of this
+    width fit the broadcast bound (``n_keys`` is the counted hot-key set)."""
+    small = n_keys <= broadcast_bound(facts)
     return u.join(F.broadcast(facts) if small else facts, list(keys), "left")
 
 
-def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = True) -> DataFrame:
+def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFrame:
     """``u``: touched versions + staged rows of hot keys, in the union layout of
-    ``scd2._versioned`` (body columns, bookkeeping, ``_stg``, ``_ts``)."""
+    ``scd2._versioned`` (body columns, bookkeeping, ``_stg``, ``_ts``);
+    ``n_keys``: the number of hot keys (counted)."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     tracked, carry = list(spec.tracked_cols), list(spec.carry_cols)
     mode = spec.mode
@@ -45,7 +50,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = Tru
         aggs.append(F.coalesce(F.max(F.when(~stg, ver)), F.lit(0)).alias("_base"))
     if mode == "close_previous" and spec.close_at == "staging":
         aggs.append(F.max(F.col(TS)).alias("_close"))
-    u = _facts_join(u, u.groupBy(*K).agg(*aggs), K, facts_small)
+    u = _facts_join(u, u.groupBy(*K).agg(*aggs), K, n_keys)
 
     # J4 batch match: an equi-join on (key, staged timestamp)
     if mode == "upsert" and "batch" in (spec.retire, spec.redate):
@@ -99,13 +104,13 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, facts_small: bool = Tru
     touched = F.col("_touched")
     if mode == "append_all":
         top = u.groupBy(*K).agg(F.max(ver).alias("_top"))
-        u = _facts_join(u, top, K, facts_small)
+        u = _facts_join(u, top, K, n_keys)
         u = u.withColumn(CURRENT, F.when(touched, ver == F.col("_top")).otherwise(cur_flag))
         scope = touched
     elif mode == "upsert":
         in_scope = F.col("_inb") if spec.retire == "batch" else touched
         top = u.groupBy(*K).agg(F.max(F.when(in_scope, ver)).alias("_top"))
-        u = _facts_join(u, top, K, facts_small)
+        u = _facts_join(u, top, K, n_keys)
         u = u.withColumn(CURRENT, F.when(ver < F.col("_top"), F.lit(False)).otherwise(cur_flag))
         scope = F.col("_inb") if spec.redate == "batch" else touched
     else:

@@ -216,7 +216,7 @@ def hot_key_rows(df: DataFrame) -> int:
 
 def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
     """Keys whose touched versions + staged rows exceed ``hot_key_rows``:
-    ``(keys, small)`` or ``None`` when there are none.  One aggregation over
+    ``(keys, count)`` (broadcast when the count allows) or ``None``.  One aggregation over
     the key columns (partial counts combine before the shuffle)."""
     K = list(spec.key_cols)
     if skew == "all":
@@ -230,8 +230,8 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
             return None
         counts = rows.groupBy(*K).count()
         hot = counts.where(F.col("count") > limit).select(*K)
-    hot, n, small = checked_broadcast(hot)
-    return None if n == 0 else (hot, small)
+    hot, n, _ = checked_broadcast(hot)
+    return None if n == 0 else (hot, n)
 
 
 DEFAULT_SPLIT_BUCKETS = 1 << 20
@@ -290,11 +290,11 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
         out = _versioned(touched, dedupe(s_ok), spec, batch_ts)
     else:
         from .hotkeys import versioned_hot
-        hk, hot_small = hot
+        hk, n_hot = hot
         out = _versioned(touched.join(hk, K, "left_anti"), dedupe(s_ok.join(hk, K, "left_anti")), spec, batch_ts)
         heavy = union_rows(touched.join(hk, K, "left_semi"), dedupe(s_ok.join(hk, K, "left_semi"), hot=True),
                            spec, batch_ts)
-        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, facts_small=hot_small))
+        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, n_hot))
 
     if spec.null_keys == "insert":
         out = out.unionByName(_null_key_rows(dedupe(s_null, hot=skew == "all"), spec, batch_ts, skew))
