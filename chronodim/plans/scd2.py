@@ -234,29 +234,34 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
     return None if n == 0 else (hot, n)
 
 
-DEFAULT_SPLIT_BUCKETS = 1 << 20
+DEFAULT_SPLIT_BUCKETS = 1 << 23
 _BUCKETS_CONF = "chronodim.split.buckets"
 MAX_BUCKET_SHARE = 0.5
 
 
-def _split(d: DataFrame, s: DataFrame, spec: DimSpec):
+def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto"):
     """(versions that may be touched, versions surely untouched or None).
 
     1. Staged keys within the broadcast bound: broadcast semi / anti join on the key.
     2. Too many keys: broadcast the set of touched hash buckets of the key
-       (``pmod(xxhash64(key), B)``, at most B ints whatever the batch size).
-       Versions in untouched buckets are surely untouched and skip the shuffle;
-       the others take the load's path, which leaves untouched keys as they are.
-    3. Buckets mostly touched: no split (the whole dimension takes one shuffle)."""
+       (``pmod(xxhash64(key), B)`` as int; at most B values whatever the batch
+       size, and counted against the same byte bound).  Versions in untouched
+       buckets are surely untouched and skip the shuffle; the others take the
+       load's path, which leaves untouched keys as they are.  With B = 2^23
+       and a 64 MiB bound this covers batches of up to about 3.5 million keys
+       while routing at most a third of the history to the shuffle.
+    3. Otherwise (or more than half the buckets touched): no split; the whole
+       dimension takes the load's one shuffle."""
     K = list(spec.key_cols)
-    keys, _, small = checked_broadcast(s.select(*K))   # no distinct: semi / anti joins test existence
-    if small:
-        return d.join(keys, K, "left_semi"), d.join(keys, K, "left_anti")
+    if how == "auto":
+        keys, _, small = checked_broadcast(s.select(*K))   # no distinct: semi / anti joins test existence
+        if small:
+            return d.join(keys, K, "left_semi"), d.join(keys, K, "left_anti")
     conf = d.sparkSession.conf.get(_BUCKETS_CONF, None)
     n_buckets = int(conf) if conf else DEFAULT_SPLIT_BUCKETS
-    bucket = F.pmod(F.xxhash64(*K), F.lit(n_buckets)).alias("_bucket")
-    buckets, n, ok = checked_broadcast(s.select(bucket).distinct(), bound=n_buckets)
-    if not ok or n > MAX_BUCKET_SHARE * n_buckets:
+    bucket = F.pmod(F.xxhash64(*K), F.lit(n_buckets)).cast("int").alias("_bucket")
+    buckets, n, small = checked_broadcast(s.select(bucket).distinct())
+    if not small or n > MAX_BUCKET_SHARE * n_buckets:
         return d, None
     db = d.withColumn("_bucket", bucket)
     return (db.join(buckets, "_bucket", "left_semi").drop("_bucket"),
@@ -268,8 +273,9 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     """The next state of ``dim`` after loading ``staging`` (both DataFrames).
 
     ``split``: ``auto`` (broadcast split on the staged keys when they are
-    proven small, else on their hash buckets; see ``_split``), ``never``
-    (always the single-shuffle path over the whole dimension).
+    proven small, else on their hash buckets; see ``_split``), ``buckets``
+    (the bucket split only), ``never`` (the single-shuffle path over the
+    whole dimension).
     ``skew``: ``auto`` (keys above ``chronodim.skew.hotKeyRows`` rows take the
     hot-key path), ``off``, ``all`` (every touched key takes it; for tests)."""
     s = map_columns(staging, spec)
@@ -279,8 +285,8 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     K = list(spec.key_cols)
 
     touched, rest = d, None
-    if split == "auto":
-        touched, rest = _split(d, s_ok, spec)
+    if split in ("auto", "buckets"):
+        touched, rest = _split(d, s_ok, spec, split)
 
     def dedupe(rows, hot=False):
         return dedupe_batch(rows, spec, hot) if spec.dedupe else rows

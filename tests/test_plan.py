@@ -50,13 +50,11 @@ def test_staging_scan_is_pruned(spark, tmp_path):
 
 
 def test_bucket_split_plan(spark, tmp_path):
-    spark.conf.set("chronodim.broadcast.maxBytes", "64")
     spark.conf.set("chronodim.split.buckets", "8192")
     try:
-        out, p = _load(spark, tmp_path, "pipe_merchant", skew="off")
+        out, p = _load(spark, tmp_path, "pipe_merchant", skew="off", split="buckets")
         plan = _explain(out)
     finally:
-        spark.conf.unset("chronodim.broadcast.maxBytes")
         spark.conf.unset("chronodim.split.buckets")
     assert "xxhash64" in plan and "BroadcastHashJoin LeftAnti" in plan
     hash_exchanges = [l for l in plan.splitlines() if "Arguments: hashpartitioning" in l]
