@@ -1,16 +1,16 @@
 from .flags import (batch_rows, close_previous, flag_off_touched, flag_on_latest, next_start, redate,
                     retire_older, second_latest, staged_keys, touched_rows)
 from .ordered import lead_within, rank_within
-from .partitioning import broadcast_if_small, checked_broadcast, is_small
+from .partitioning import broadcast_bound, checked_broadcast
 from .reports import late_rows, long_histories, null_key_rows
 from .update import update_from
-from .versions import (append_versions, changed_rows, current, map_columns, max_version, new_rows,
+from .versions import (append_versions, changed_rows, current, dedupe_batch, map_columns, max_version, new_rows,
                        next_version_plus_one, number_versions, open_row, with_max_version)
 
 __all__ = [
-    "append_versions", "batch_rows", "broadcast_if_small", "checked_broadcast", "lead_within", "rank_within",
+    "append_versions", "batch_rows", "broadcast_bound", "checked_broadcast", "lead_within", "rank_within",
     "late_rows", "long_histories", "null_key_rows", "changed_rows", "close_previous", "current",
-    "flag_off_touched", "flag_on_latest", "is_small", "map_columns", "max_version", "new_rows", "next_start",
+    "flag_off_touched", "flag_on_latest", "map_columns", "max_version", "new_rows", "next_start",
     "next_version_plus_one", "number_versions", "open_row", "redate", "retire_older", "second_latest",
-    "staged_keys", "touched_rows", "update_from", "with_max_version",
+    "staged_keys", "touched_rows", "update_from", "with_max_version", "dedupe_batch",
 ]

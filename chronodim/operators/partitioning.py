@@ -37,13 +37,6 @@ def broadcast_bound(df: DataFrame) -> int:
     return max(0, max_bytes // _row_bytes(df))
 
 
-def is_small(df: DataFrame, bound: int | None = None) -> bool:
-    bound = broadcast_bound(df) if bound is None else bound
-    if bound <= 0:
-        return False
-    return df.count() <= bound
-
-
 def checked_broadcast(df: DataFrame, bound: int | None = None) -> tuple[DataFrame, int, bool]:
     """Count ``df`` once; return ``(side, rows, small)`` where ``side`` is
     ``F.broadcast(df)`` when ``rows`` is within the bound."""
@@ -51,11 +44,3 @@ def checked_broadcast(df: DataFrame, bound: int | None = None) -> tuple[DataFram
     n = df.count()
     small = 0 < bound and n <= bound
     return (F.broadcast(df) if small else df), n, small
-
-
-def broadcast_if_small(df: DataFrame, bound: int | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(F.broadcast(df), True)`` when ``df`` has at most ``bound`` rows,
-    else ``(df, False)``."""
-    if is_small(df, bound):
-        return F.broadcast(df), True
-    return df, False
