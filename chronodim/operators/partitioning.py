@@ -37,10 +37,12 @@ def broadcast_bound(df: DataFrame) -> int:
     return max(0, max_bytes // _row_bytes(df))
 
 
-def checked_broadcast(df: DataFrame, bound: int | None = None) -> tuple[DataFrame, int, bool]:
-    """Count ``df`` once; return ``(side, rows, small)`` where ``side`` is
-    ``F.broadcast(df)`` when ``rows`` is within the bound."""
+def checked_broadcast(df: DataFrame, bound: int | None = None,
+                      rows: int | None = None) -> tuple[DataFrame, int, bool]:
+    """Count ``df`` once (or take its exact row count ``rows`` when already
+    known); return ``(side, rows, small)`` where ``side`` is ``F.broadcast(df)``
+    when ``rows`` is within the bound."""
     bound = broadcast_bound(df) if bound is None else bound
-    n = df.count()
+    n = df.count() if rows is None else rows
     small = 0 < bound and n <= bound
     return (F.broadcast(df) if small else df), n, small

@@ -214,7 +214,16 @@ def hot_key_rows(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_HOT_KEY_ROWS
 
 
-def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
+def row_counts(d: DataFrame, s: DataFrame) -> tuple[int, int]:
+    """Exact row counts of the dimension and the (non-NULL-key) batch in one
+    job: a global aggregate over a column-less scan (Parquet row counts)."""
+    tagged = d.select(F.lit(0).alias("_t")).unionByName(s.select(F.lit(1).alias("_t")))
+    r = tagged.agg(F.count(F.when(F.col("_t") == 0, 1)).alias("d"),
+                   F.count(F.when(F.col("_t") == 1, 1)).alias("s")).first()
+    return int(r["d"]), int(r["s"])
+
+
+def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total: int | None = None):
     """Keys whose touched versions + staged rows exceed ``hot_key_rows``:
     ``(keys, count)`` (broadcast when the count allows) or ``None``.  One aggregation over
     the key columns (partial counts combine before the shuffle)."""
@@ -223,6 +232,8 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str):
         hot = s.select(*K).distinct()
     else:
         limit = hot_key_rows(s)
+        if total is not None and total <= limit:      # dimension + batch together: no key can pass
+            return None
         rows = touched.select(*K).unionByName(s.select(*K))
         # exact necessary condition first: no key can pass the limit when all
         # rows together do not (a one-stage count, no shuffle)
@@ -239,7 +250,7 @@ _BUCKETS_CONF = "chronodim.split.buckets"
 MAX_BUCKET_SHARE = 0.5
 
 
-def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto"):
+def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_staged: int | None = None):
     """(versions that may be touched, versions surely untouched or None).
 
     1. Staged keys within the broadcast bound: broadcast semi / anti join on the key.
@@ -254,7 +265,8 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto"):
        dimension takes the load's one shuffle."""
     K = list(spec.key_cols)
     if how == "auto":
-        keys, _, small = checked_broadcast(s.select(*K))   # no distinct: semi / anti joins test existence
+        # the staged keys, no distinct: semi / anti joins only test existence
+        keys, _, small = checked_broadcast(s.select(*K), rows=n_staged)
         if small:
             return d.join(keys, K, "left_semi"), d.join(keys, K, "left_anti")
     conf = d.sparkSession.conf.get(_BUCKETS_CONF, None)
@@ -284,14 +296,18 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     d = dim.select(*spec.dim_cols)
     K = list(spec.key_cols)
 
+    n_dim = n_staged = None
+    if split == "auto" or skew == "auto":
+        n_dim, n_staged = row_counts(d, s_ok)
     touched, rest = d, None
     if split in ("auto", "buckets"):
-        touched, rest = _split(d, s_ok, spec, split)
+        touched, rest = _split(d, s_ok, spec, split, n_staged)
 
     def dedupe(rows, hot=False):
         return dedupe_batch(rows, spec, hot) if spec.dedupe else rows
 
-    hot = hot_keys(touched, s_ok, spec, skew) if skew != "off" else None
+    total = None if n_dim is None else n_dim + n_staged
+    hot = hot_keys(touched, s_ok, spec, skew, total) if skew != "off" else None
     if hot is None:
         out = _versioned(touched, dedupe(s_ok), spec, batch_ts)
     else:
