@@ -35,6 +35,8 @@ def _pairs(*items):
 
 
 # ---- specs ---------------------------------------------------------------------------
+# The warehouse's dimension names and its dimension / staging
+# column names (as the loads read and write them), written in their order.
 BANK_TERMINAL = DimSpec(
     name="dw_dim_bank_terminal",
     keys=_pairs("utid<src_utid", "acq_bank_code<src_acq_bank_code", "btid<src_btid",
