@@ -2,26 +2,31 @@
 
 Plan shape (any mode):
 
-1. Split.  The distinct staged keys are counted with a bounded action; when
-   they fit a broadcast, the dimension is split by broadcast semi / anti joins
-   into the versions of touched keys and the untouched rest.  The rest goes to
-   the output without a shuffle.  When the keys are too many to broadcast, no
-   split is made and the whole dimension takes the path of step 2 (one shuffle
-   of dimension + batch instead of several).
-2. One shuffle.  Touched versions and staged rows (mapped to dimension names)
+0. Counts.  One job counts the dimension and the staged rows (a global
+   aggregate over column-less scans).
+1. Split.  When the staged keys fit the broadcast bound, the dimension is
+   split by broadcast semi / anti joins into the versions of touched keys and
+   the untouched rest; above the bound, by the set of touched key-hash buckets
+   (at most B ints).  The rest goes to the output without a shuffle.  Without
+   a split the whole dimension takes step 2.
+2. Hot keys.  Keys above ``chronodim.skew.hotKeyRows`` rows (touched versions
+   + staged rows; found by one aggregate, skipped when all rows together do not
+   pass the limit) leave the window stage for ``hotkeys.versioned_hot``.
+3. One shuffle.  Touched versions and staged rows (mapped to dimension names)
    are unioned and hash-partitioned once on the key (on ``version_partition``
    when the version numbering is coarser than the key).  Every later step is a
    window whose partition columns contain that key, so no further exchange is
-   planned:
-     * the current version of each key is found with ``max(struct)`` over the
-       key, the change test runs against it, new versions are numbered with
-       ``row_number``;
-     * flags move and ``date_to`` is chained with ``max`` and ``lead`` windows.
-3. Staged rows with a NULL key component never match a dimension row; they
+   planned, ordered so that consecutive windows share sorts:
+     * the batch match (J4) and the current version of each key (one
+       ``max(struct)``), the change test against it, ``row_number`` for new
+       versions;
+     * ``date_to`` chained with ``lead``, flags moved with ``max``, or the
+       second-latest version closed with ``row_number`` descending.
+4. Staged rows with a NULL key component never match a dimension row; they
    are appended without entering any window over a real key.
 
 The statement order of the source (inserts, then updates that see them) is
-kept: step 2 computes each statement's effect on the rows the statement
+kept: step 3 computes each statement's effect on the rows the statement
 would see.
 """
 
