@@ -60,15 +60,20 @@ def _start(spec: DimSpec, batch_ts) -> Column:
 _TYPES = {VERSION: "int", CURRENT: "boolean", DATE_FROM: "timestamp_ntz", DATE_TO: "timestamp_ntz"}
 
 
-def _bookkeeping_types(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast(_TYPES[c]).alias(c) if c in _TYPES else F.col(c) for c in df.columns])
+def _bookkeeping_types(df: DataFrame, cols=None) -> DataFrame:
+    cols = df.columns if cols is None else cols
+    return df.select(*[F.col(c).cast(_TYPES[c]).alias(c) if c in _TYPES else F.col(c) for c in cols])
 
 
-def _set(df: DataFrame, **cols: Column) -> DataFrame:
+def _set(df: DataFrame, _keep=None, _drop=(), **cols: Column) -> DataFrame:
     """One projection that replaces / adds columns (one analyzer pass, unlike
-    a chain of ``withColumn``)."""
-    keep = [cols.pop(c).alias(c) if c in cols else F.col(c) for c in df.columns]
-    return df.select(*keep, *[e.alias(c) for c, e in cols.items()])
+    a chain of ``withColumn``); ``_keep`` limits the output to those columns,
+    ``_drop`` removes some."""
+    names = list(_keep) if _keep is not None else [c for c in df.columns if c not in _drop]
+    out = [cols.pop(c).alias(c) if c in cols else F.col(c) for c in names]
+    if _keep is None:
+        out += [e.alias(c) for c, e in cols.items()]
+    return df.select(*out)
 
 
 def union_rows(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
@@ -149,7 +154,7 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
     for c in carry:                        # P7: carry from the current version
         carried = F.coalesce(curv[c], F.col(c)) if mode == "append_all" else curv[c]
         fill[c] = F.when(kd == CHG, carried).otherwise(F.col(c))
-    u = _set(u, **fill).drop(_CURV).where(kd != SEEN)   # SEEN rows have served J4 and the change test
+    u = _set(u, _drop=(_CURV,), **fill).where(kd != SEEN)   # SEEN rows have served J4 and the change test
 
     real_touched = F.col("_touched")
     if mode == "close_previous":
@@ -162,9 +167,9 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         hit = F.coalesce(hit, F.lit(False))
         close_at = F.col("_close") if spec.close_at == "staging" else ts_literal(batch_ts)
         u = _set(u, _hit=hit)
-        u = _set(u, **{DATE_TO: F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)),
+        return _set(u, _keep=spec.dim_cols,
+                    **{DATE_TO: F.when(F.col("_hit"), close_at).otherwise(F.col(DATE_TO)),
                        CURRENT: F.when(F.col("_hit"), F.lit(False)).otherwise(cur_flag)})
-        return u.select(*spec.dim_cols)
 
     # date_to := next version's date_from within the scope.
     # Sorted by (key, scope, version), this window also serves the flag window.
@@ -178,14 +183,12 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
 
     if mode == "append_all":
         # U1 + U2: a touched key's current version is its highest
-        u = _set(u, **{CURRENT: F.when(real_touched, ver == F.max(ver).over(wk)).otherwise(cur_flag)})
+        flag = F.when(real_touched, ver == F.max(ver).over(wk)).otherwise(cur_flag)
     else:
         # Flag off below the highest version in scope (batch rows or touched key)
         in_scope = F.col("_inb") if spec.retire == "batch" else real_touched
-        top = F.max(F.when(in_scope, ver)).over(wk)
-        u = _set(u, **{CURRENT: F.when(ver < top, F.lit(False)).otherwise(cur_flag)})
-
-    return u.select(*spec.dim_cols)
+        flag = F.when(ver < F.max(F.when(in_scope, ver)).over(wk), F.lit(False)).otherwise(cur_flag)
+    return _set(u, _keep=spec.dim_cols, **{CURRENT: flag})
 
 
 def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") -> DataFrame:
@@ -202,11 +205,9 @@ def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") ->
         version = F.row_number().over(Window.partitionBy(*spec.partition_cols).orderBy(*order))
     else:
         version = F.lit(1)
-    return s.select(
-        *spec.key_cols, *spec.attr_cols, *spec.carry_cols,
-        version.cast("int").alias(VERSION), F.lit(spec.mode != "append_all").alias(CURRENT),
-        _start(spec, batch_ts).alias(DATE_FROM), open_end().alias(DATE_TO),
-    ).select(*spec.dim_cols)
+    made = {VERSION: version.cast("int"), CURRENT: F.lit(spec.mode != "append_all"),
+            DATE_FROM: _start(spec, batch_ts), DATE_TO: open_end()}
+    return s.select(*[made[c].alias(c) if c in made else F.col(c) for c in spec.dim_cols])
 
 
 DEFAULT_HOT_KEY_ROWS = 5_000_000
@@ -326,5 +327,5 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     if spec.null_keys == "insert":
         out = out.unionByName(_null_key_rows(dedupe(s_null, hot=skew == "all"), spec, batch_ts, skew))
     if rest is not None:
-        out = out.unionByName(_bookkeeping_types(rest).select(*spec.dim_cols))
+        out = out.unionByName(_bookkeeping_types(rest))
     return out
