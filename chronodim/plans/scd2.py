@@ -238,13 +238,12 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total:
         hot = s.select(*K).distinct()
     else:
         limit = hot_key_rows(s)
-        if total is not None and total <= limit:      # dimension + batch together: no key can pass
-            return None
         rows = touched.select(*K).unionByName(s.select(*K))
         # exact necessary condition first: no key can pass the limit when all
-        # rows together do not (a one-stage count, no shuffle)
-        if rows.count() <= limit:
+        # rows together do not (the load's row counts, or a one-stage count)
+        if (total if total is not None else rows.count()) <= limit:
             return None
+        # one pass over the key columns; partial counts combine before the shuffle
         counts = rows.groupBy(*K).count()
         hot = counts.where(F.col("count") > limit).select(*K)
     hot, n, _ = checked_broadcast(hot)
