@@ -27,14 +27,21 @@ LOADS = {name.removeprefix("pipe_"): p.spec for name, p in PIPELINES.items()}
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="chronodim", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("--load", required=True, choices=sorted(LOADS))
-    ap.add_argument("--dim", required=True)
-    ap.add_argument("--staging", required=True)
+    ap.add_argument("--list", action="store_true", help="print the loads and exit")
+    ap.add_argument("--load", choices=sorted(LOADS))
+    ap.add_argument("--dim")
+    ap.add_argument("--staging")
     ap.add_argument("--out", help="snapshot root to publish to (default: --dim)")
     ap.add_argument("--format", default="parquet", help="parquet (paths) or table (catalog names)")
     ap.add_argument("--batch-ts", help="batch clock for batch-clock loads (default: now, UTC)")
     ap.add_argument("--partition-by", nargs="*", default=["lastversion"])
     a = ap.parse_args(argv)
+    if a.list:
+        for name, spec in sorted(LOADS.items()):
+            print(f"{name:24s} {spec.name:34s} {spec.mode:15s} key={','.join(spec.key_cols)}")
+        return
+    if not (a.load and a.dim and a.staging):
+        ap.error("--load, --dim and --staging are required")
 
     spec = LOADS[a.load]
     spark = SparkSession.builder.appName(f"chronodim-{a.load}").getOrCreate()
