@@ -57,14 +57,55 @@ def main():
             samples[name].append(time.perf_counter() - t0)
     times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     total = round(sum(times.values()), 3)
+    skew = skew_demo(spark, sf_dir, scratch)
     rows = {name: spark.read.parquet(inputs[name][0]).count() + spark.read.parquet(inputs[name][1]).count()
             for name in HEADLINE}
     print(json.dumps({
         "metric": "scd2_loads_total_sec", "value": total, "unit": "sec", "queries": times,
         "headline": {n: times[n] for n in HEADLINE}, "headline_input_rows": rows,
         "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus, "reps": reps,
+        "skew_demo": skew,
     }))
 
 
+def skew_demo(spark, sf_dir, scratch):
+    """Not in the total: an event-history dimension keyed by event type (five
+    keys, each about a fifth of the rows), loaded on the window path and with
+    every key on the hot-key path (threshold below the key size)."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from chronodim import DimSpec
+    from chronodim.functions.columns import open_end, ts_literal
+    from chronodim.sources.fixtures import table
+
+    ev = table(spark, sf_dir, "events").select(
+        "event_type", "event_id", "ts", F.floor(F.col("value") / 25).cast("int").alias("target"))
+    cut = ts_literal("2024-01-20 00:00:00")
+    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
+    nxt = F.lead("ts").over(w)
+    ev.where(F.col("ts") < cut).select(
+        "event_type", "target", "event_id", F.row_number().over(w).cast("int").alias("version"),
+        nxt.isNull().alias("lastversion"), F.col("ts").alias("date_from"),
+        F.coalesce(nxt, open_end()).alias("date_to")).write.parquet(f"{scratch}/skew/dim")
+    ev.where(F.col("ts") >= cut).select(
+        F.col("event_type").alias("src_type"), F.col("target").alias("src_target"),
+        F.col("event_id").alias("src_event_id"), F.col("ts").alias("src_ts")).write.parquet(f"{scratch}/skew/stg")
+    dim, stg = spark.read.parquet(f"{scratch}/skew/dim"), spark.read.parquet(f"{scratch}/skew/stg")
+    spec = DimSpec(name="event_history", keys=(("event_type", "src_type"),),
+                   tracked=(("target", "src_target"),), payload=(("event_id", "src_event_id"),),
+                   ts="src_ts", tiebreak=("event_id",))
+    rows = dim.count() + stg.count()
+    out = {"input_rows": rows, "keys": 5}
+    for label, limit in (("window_path_sec", None), ("hot_path_sec", max(1, rows // 10))):
+        if limit:
+            spark.conf.set("chronodim.skew.hotKeyRows", str(limit))
+        t0 = time.perf_counter()
+        apply_scd2(dim, stg, spec).write.format("noop").mode("overwrite").save()
+        out[label] = round(time.perf_counter() - t0, 3)
+        spark.conf.unset("chronodim.skew.hotKeyRows")
+    return out
+
+
 if __name__ == "__main__":
     main()
