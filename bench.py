@@ -59,10 +59,11 @@ def main():
     total = round(sum(times.values()), 3)
     skew = skew_demo(spark, sf_dir, scratch)
     rows = {name: spark.read.parquet(inputs[name][0]).count() + spark.read.parquet(inputs[name][1]).count()
-            for name in HEADLINE}
+            for name in PIPELINES}
     print(json.dumps({
         "metric": "scd2_loads_total_sec", "value": total, "unit": "sec", "queries": times,
-        "headline": {n: times[n] for n in HEADLINE}, "headline_input_rows": rows,
+        "headline": {n: times[n] for n in HEADLINE}, "headline_input_rows": {n: rows[n] for n in HEADLINE},
+        "input_rows": rows, "rows_per_sec": round(sum(rows.values()) / total) if total else None,
         "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus, "reps": reps,
         "skew_demo": skew,
     }))
