@@ -6,11 +6,11 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 from tools.compare import compare
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(set(entry.queries()) - set(entry.LLM_QUERIES))
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
