@@ -105,7 +105,8 @@ def judged(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
         F.col("_r").alias("n_repeat_words"), failed.alias("base_failed"),
         (~failed & (F.col("_lost") <= F.lit(max_loss) * F.col("_v"))).alias("kept"),
         F.col("_lost").cast("long").alias("lost_chars"), F.col("_clean").alias("clean_text"))
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns], rules.alias("_rules"))
+    # exploding one row keeps a later filter from being pushed below, where it would repeat all this
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(rules)).alias("_rules"))
 
 
 def clean_documents(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:

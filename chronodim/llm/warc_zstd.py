@@ -50,7 +50,7 @@ def dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
     """A trained dictionary, or the samples' own bytes where there are too few to train on."""
     if sum(map(len, samples)) >= 10 * 1024 and len(samples) >= 8:
         try:
-            return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples).as_bytes()
+            return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples, k=200, d=8).as_bytes()
         except zstandard.ZstdError:
             pass
     return b"".join(samples)[:size]
