@@ -5,7 +5,7 @@ dictionary, then one frame per record, compressed with it.  Of equal payloads on
 a response and the others are revisits of it.  Files are written by Spark's own writer and
 commit protocol (each row is the bytes of one frame and the line separator is an empty
 skippable frame, which every decoder passes over), so they can go to any storage that Spark
-reaches and a lost task leaves nothing behind.  Readers stream through the frames.
+reaches and a lost task leaves nothing behind.
 
 The dictionary is trained on a bounded sample: the ``SAMPLE_ROWS`` pages with the smallest
 hash of their id, up to ``SAMPLE_BYTES`` of each.  Every record is archived in full.
@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import binascii
 import hashlib
-import io
 import struct
 from collections.abc import Iterator
 
@@ -139,30 +138,29 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = DEDUP_BYTES, le
 
 def read_frames(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of an archive's bytes."""
-    at, content = 0, b""
-    while len(raw) - at >= 8:                             # skippable frames before the first record
-        magic, size = struct.unpack_from("<II", raw, at)
+    at, plain = 0, zstandard.ZstdDecompressor()
+    while at < len(raw):
+        magic, size = struct.unpack_from("<II", raw, at) if len(raw) - at >= 8 else (0, 0)
         if magic == DICTIONARY_MAGIC:
-            content = raw[at + 8:at + 8 + size]
-        elif not 0x184D2A50 <= magic <= 0x184D2A5F:
-            break
-        at += 8 + size
-    if at >= len(raw):
-        return
-    d = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(content)) if content else zstandard.ZstdDecompressor()
-    with d.stream_reader(memoryview(raw)[at:], read_across_frames=True) as plain:
-        stream = io.BufferedReader(plain, 1 << 20)
-        while line := stream.readline():
-            if line.strip() != b"WARC/1.1":
-                raise ValueError(f"not a record: {line[:40]!r}")
-            head = {}
-            while (line := stream.readline().rstrip(b"\r\n")):
-                k, _, v = line.decode("utf-8", "surrogatepass").partition(": ")
-                head[k] = v
-            block = stream.read(int(head["Content-Length"]))
-            if stream.read(4) != b"\r\n\r\n":
-                raise ValueError("a record's end is missing")
-            yield head, block
+            plain = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw[at + 8:at + 8 + size]))
+        if magic == DICTIONARY_MAGIC or 0x184D2A50 <= magic <= 0x184D2A5F:      # skippable frames
+            at += 8 + size
+            continue
+        frame, parts, step = plain.decompressobj(), [], 8192
+        while not frame.eof:
+            if at >= len(raw):
+                raise ValueError("the archive ends within a record")
+            parts.append(frame.decompress(raw[at:at + step]))
+            at, step = min(at + step, len(raw)), min(2 * step, 1 << 20)
+        at -= len(frame.unused_data)
+        record = b"".join(parts)
+        top, _, rest = record.partition(b"\r\n\r\n")
+        version, *lines = top.decode("utf-8", "surrogatepass").split("\r\n")
+        head = dict(x.partition(": ")[::2] for x in lines)
+        n = int(head["Content-Length"])
+        if version != "WARC/1.1" or rest[n:] != b"\r\n\r\n":
+            raise ValueError(f"not a record: {top[:40]!r}")
+        yield head, rest[:n]
 
 
 def _page(name: str) -> int | None:

@@ -1,0 +1,85 @@
+"""Every operator and stage on nulls, empty and very long texts, ties, repeated rows, clashing
+columns and empty tables."""
+
+import corpus_pipeline
+import pytest
+from chronodim.llm import (line_rules, mixing, norm_topk, packing, quality_rqda, secret_links, sharding, simhash_golay,
+                           toxic_crf, warc_zstd)
+from chronodim.llm.queries import on_workers, tokenizer_path
+from pyspark.sql import functions as F
+
+def every():
+    return F.lit(True)
+
+OPERATORS = {
+    "quality": lambda d, l: quality_rqda.quality(d, l, every()),
+    "shards": lambda d, l: sharding.sharded(d, 3),
+    "secrets": lambda d, l: secret_links.scanned(d),
+    "packing": lambda d, l: packing.packed(d, tokenizer_path()),
+    "toxicity": lambda d, l: toxic_crf.toxicity(d, l, every()),
+    "mixing": lambda d, l: mixing.mix(d),
+    "rules": lambda d, l: line_rules.rule_report(d),
+    "simhash": lambda d, l: simhash_golay.near_duplicates(d),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_odd_documents(spark, odd_documents, some_labels, name):
+    on_workers(spark)
+    rows = OPERATORS[name](odd_documents, some_labels).collect()
+    ids = [r["doc_id"] for r in rows]
+    want = [r["doc_id"] for r in odd_documents.collect()]
+    if name == "packing":
+        assert set(ids) == set(want)
+        for r in rows:
+            assert 0 <= r["offset"] and r["offset"] + r["length"] <= 2048
+        assert sum(r["length"] for r in rows) == sum(
+            n for n in {(r["doc_id"], r["doc_tokens"]): r["doc_tokens"] * (2 if r["doc_id"] == 4 else 1) for r in rows}.values())
+    else:
+        assert sorted(ids, key=str) == sorted(want, key=str)
+    if "score" in rows[0].asDict():
+        assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_no_documents(spark, no_documents, some_labels, name):
+    on_workers(spark)
+    assert OPERATORS[name](no_documents, some_labels).collect() == []
+
+
+@pytest.mark.parametrize("which", ["odd_documents", "no_documents"])
+def test_stages(spark, request, which):
+    on_workers(spark)
+    docs = request.getfixturevalue(which).select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        if which == "no_documents":
+            assert out.count() == 0
+        else:
+            assert out.count() >= 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert (last.count() == 0) == (which == "no_documents")
+
+
+def test_pages(spark):
+    on_workers(spark)
+    long = "<p>" + "y" * 3000
+    rows = [(1, "u", None), (2, None, ""), (3, "u", long), (9, "v", long), (9, "v", long), (None, "w", long), (4, "x\r\nWARC/1.1", "<p>short"),
+            (5, "z", "<p>short"), (6, "é", "é" * 600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("refers_to", F.lit(1)).withColumn("digest", F.lit("?"))
+    got = {(r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc_zstd.archive_round_trip(pages).collect()}
+    assert got == {(1, 0, "response", None), (2, 0, "response", None), (3, 3003, "revisit", 9), (9, 3003, "response", None),
+                   (None, 3003, "revisit", 9), (4, 8, "response", None), (5, 8, "response", None), (6, 1200, "response", None)}
+    assert warc_zstd.archive_round_trip(pages.limit(0)).collect() == []
+
+
+def test_vectors(spark):
+    on_workers(spark)
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.5]), (20, [0.0, 0.0]), (1, None), (2, [nan, 1.0]), (3, [1.0, inf]), (4, [None, 1.0]), (5, [1.0, 0.5]),
+            (6, [1.0, 0.5]), (7, [1.0]), (None, [1.0, 1.0]), (8, []), (6, [1.0, 0.5])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("bucket", F.lit(2))
+    got = [tuple(r) for r in norm_topk.top_k(v, F.col("vec_id") % 20 == 0, k=3).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 5, 5120), (0, 2, 6, 5120), (0, 3, 6, 5120), (20, 1, 0, 0), (20, 2, 5, 0), (20, 3, 6, 0)]
+    assert norm_topk.top_k(v.limit(0), F.col("vec_id") % 20 == 0).collect() == []
