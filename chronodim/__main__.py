@@ -42,6 +42,8 @@ def main(argv=None):
         return
     if not (a.load and a.dim and a.staging):
         ap.error("--load, --dim and --staging are required")
+    if a.format == "table" and not a.out:
+        ap.error("--format table needs --out, the snapshot root to publish to")
 
     spec = LOADS[a.load]
     spark = SparkSession.builder.appName(f"chronodim-{a.load}").getOrCreate()

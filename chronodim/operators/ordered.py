@@ -23,6 +23,8 @@ deterministic.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,20 +35,29 @@ def _order_cols(order) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, so that every later branch reads the same rows.  Without a
+    checkpoint directory a cluster raises; a local session gets a folder of its own."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("hot keys need spark.checkpoint.dir, a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="chronodim-ckpt-"))
+    return df.checkpoint(eager=True)
+
+
 def sequenced(df: DataFrame, group, order) -> DataFrame:
     """Rows of ``df`` range-partitioned and numbered along ``group, order``.
 
     A hash of the whole row is the last sort key, so the order is total up to
-    identical rows: two evaluations of the numbering (e.g. a re-run task when
-    no checkpoint directory is set) give every row the same id."""
+    identical rows.  Range bounds and partition ids may differ between two
+    evaluations, so the numbered rows are always stored: see ``stored``."""
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     cols = [F.col(g) for g in group] + _order_cols(order) + [row_hash]
-    seq = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-             .withColumn(_PID, F.spark_partition_id())
-             .withColumn(_ID, F.monotonically_increasing_id()))
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        seq = seq.checkpoint(eager=True)
-    return seq
+    return stored(df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+                    .withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_ID, F.monotonically_increasing_id()))
 
 
 def _slices(seq: DataFrame, group, value: str | None = None) -> DataFrame:

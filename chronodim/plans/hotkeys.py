@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, ts_literal
-from ..operators.ordered import lead_within, rank_within
+from ..operators.ordered import lead_within, rank_within, stored
 from ..operators.partitioning import broadcast_bound
 from ..operators.versions import TS
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
@@ -35,7 +35,7 @@ def _facts_join(u: DataFrame, facts: DataFrame, keys, n_keys: int) -> DataFrame:
 def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFrame:
     """``u``: touched versions + staged rows of hot keys, in the union layout of
     ``scd2._versioned`` (body columns, bookkeeping, ``_stg``, ``_ts``);
-    ``n_keys``: the number of hot keys (counted)."""
+    ``n_keys``: the number of keys among them (counted)."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     tracked, carry = list(spec.tracked_cols), list(spec.carry_cols)
     mode = spec.mode
@@ -72,8 +72,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
     # The rows of hot keys feed several branches below (ranked / not ranked,
     # flag aggregate, chained / not chained); cut the lineage once so none of
     # them re-reads the dimension.
-    if u.sparkSession.sparkContext.getCheckpointDir():
-        u = u.checkpoint(eager=True)
+    u = stored(u)
     kd = F.col(_KIND)
 
     # (3) numbering: ranks of staged rows within the version partition

@@ -230,24 +230,29 @@ def row_counts(d: DataFrame, s: DataFrame) -> tuple[int, int]:
 
 
 def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total: int | None = None):
-    """Keys whose touched versions + staged rows exceed ``hot_key_rows``:
-    ``(keys, count)`` (broadcast when the count allows) or ``None``.  One aggregation over
-    the key columns (partial counts combine before the shuffle)."""
-    K = list(spec.key_cols)
+    """Version partitions (the key itself, or the columns that numbering runs over) whose
+    touched versions + staged rows exceed ``hot_key_rows``: ``(values of partition_cols, number
+    of keys in them)`` (broadcast when their count allows) or ``None``.  A partition is never
+    divided between the two paths.  One aggregation over the key columns (partial counts
+    combine before the shuffle)."""
+    K, P = list(spec.key_cols), list(spec.partition_cols)
+    rows = touched.select(*K).unionByName(s.select(*K))
     if skew == "all":
-        hot = s.select(*K).distinct()
+        hot = s.select(*P).distinct()
     else:
         limit = hot_key_rows(s)
-        rows = touched.select(*K).unionByName(s.select(*K))
         # exact necessary condition first: no key can pass the limit when all
         # rows together do not (the load's row counts, or a one-stage count)
         if (total if total is not None else rows.count()) <= limit:
             return None
         # one pass over the key columns; partial counts combine before the shuffle
-        counts = rows.groupBy(*K).count()
-        hot = counts.where(F.col("count") > limit).select(*K)
+        hot = rows.groupBy(*P).count().where(F.col("count") > limit).select(*P)
     hot, n, _ = checked_broadcast(hot)
-    return None if n == 0 else (hot, n)
+    if n == 0:
+        return None
+    if P != K:
+        n = rows.join(hot, P, "left_semi").distinct().count()
+    return hot, n
 
 
 DEFAULT_SPLIT_BUCKETS = 1 << 23
@@ -299,7 +304,6 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     ok = key_ok(spec.key_cols)
     s_ok, s_null = s.where(ok), s.where(~ok)
     d = dim.select(*spec.dim_cols)
-    K = list(spec.key_cols)
 
     n_dim = n_staged = None
     if split == "auto" or skew == "auto":
@@ -318,8 +322,9 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     else:
         from .hotkeys import versioned_hot
         hk, n_hot = hot
-        out = _versioned(touched.join(hk, K, "left_anti"), dedupe(s_ok.join(hk, K, "left_anti")), spec, batch_ts)
-        heavy = union_rows(touched.join(hk, K, "left_semi"), dedupe(s_ok.join(hk, K, "left_semi"), hot=True),
+        P = list(spec.partition_cols)
+        out = _versioned(touched.join(hk, P, "left_anti"), dedupe(s_ok.join(hk, P, "left_anti")), spec, batch_ts)
+        heavy = union_rows(touched.join(hk, P, "left_semi"), dedupe(s_ok.join(hk, P, "left_semi"), hot=True),
                            spec, batch_ts)
         out = out.unionByName(versioned_hot(heavy, spec, batch_ts, n_hot))
 

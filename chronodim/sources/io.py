@@ -76,6 +76,30 @@ def _all_ids(spark: SparkSession, root: str) -> list[int]:
                   if (m := _SNAP_RE.match(st.getPath().getName())))
 
 
+def next_id(spark: SparkSession, root: str) -> int:
+    """One past every id present, committed or not."""
+    ids = _all_ids(spark, root)
+    return (ids[-1] + 1) if ids else 1
+
+
+def _epoch_name(stream: str, epoch: int) -> str:
+    return f"_stream-{stream}-{epoch:012d}-"
+
+
+def record_epoch(spark: SparkSession, root: str, stream: str, epoch: int, snap_id: int) -> None:
+    """Note, before the snapshot is written, that it holds this epoch of this stream."""
+    fs, p = _fs(spark, root)
+    fs.create(p.suffix(f"/{_epoch_name(stream, epoch)}{snap_id:012d}"), True).close()
+
+
+def epoch_snapshots(spark: SparkSession, root: str, stream: str, epoch: int) -> list[int]:
+    """Snapshots noted for an epoch of a stream; it is loaded if one of them is committed."""
+    fs, p = _fs(spark, root)
+    name = _epoch_name(stream, epoch)
+    return [int(f[len(name):]) for st in (fs.listStatus(p) if fs.exists(p) else ())
+            if (f := st.getPath().getName()).startswith(name)]
+
+
 def snapshot_path(root: str, snap_id: int) -> str:
     return f"{root.rstrip('/')}/{SNAPSHOT}{snap_id:012d}"
 
@@ -89,8 +113,7 @@ def publish(df: DataFrame, root: str, snap_id: int | None = None,
     (e.g. ``["lastversion"]``) lets current-version scans prune files."""
     spark = df.sparkSession
     if snap_id is None:
-        ids = _all_ids(spark, root)
-        snap_id = (ids[-1] + 1) if ids else 1
+        snap_id = next_id(spark, root)
     path = snapshot_path(root, snap_id)
     writer = df.write.mode("errorifexists")
     if partition_by:

@@ -1,11 +1,11 @@
 """Run dimension loads from a stream of staging batches.
 
 Each micro-batch of the staging stream is one load: ``apply_scd2`` against the
-newest committed snapshot, published as the next snapshot.  ``foreachBatch``
-gives the exactly-once contract: the snapshot id is derived from the epoch id,
-so a re-delivered epoch (after a driver or executor failure) finds its
-snapshot already committed and is skipped, and a half-written one is never
-read (see ``sources.io``).
+newest committed snapshot, published under the next free id.  Before a snapshot is
+written, the stream (the id that its checkpoint gives it) and the epoch are noted with the
+snapshot's id.  A re-delivered epoch (after a driver or executor failure) is skipped only if
+a snapshot noted for it is committed; after a half-written one it is loaded again
+under a new id.  A new stream starts with epoch 0 of its own.
 """
 
 from __future__ import annotations
@@ -17,21 +17,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.scd2 import apply_scd2
-from ..sources.io import publish, read_dim, snapshots
+from ..sources.io import epoch_snapshots, next_id, publish, read_dim, record_epoch, snapshots
 from ..spec import DimSpec
 
-FIRST_EPOCH_SNAPSHOT = 2        # snapshot 1 is the initial dimension
+QUERY_ID = "sql.streaming.queryId"      # set by Spark within a micro-batch
 
 
 def load_batch(batch: DataFrame, epoch_id: int, dim_root: str, spec: DimSpec,
                batch_ts: Callable[[int], object] | None = None, partition_by=None) -> str | None:
     """One micro-batch → one snapshot (skipped when already committed)."""
     spark = batch.sparkSession
-    snap_id = FIRST_EPOCH_SNAPSHOT + epoch_id
-    if snap_id in snapshots(spark, dim_root):
+    stream = spark.sparkContext.getLocalProperty(QUERY_ID) or "manual"
+    if set(epoch_snapshots(spark, dim_root, stream, epoch_id)) & set(snapshots(spark, dim_root)):
         return None
+    snap_id = next_id(spark, dim_root)
     ts = batch_ts(epoch_id) if batch_ts else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     nxt = apply_scd2(read_dim(spark, dim_root, spec), batch.select(*spec.staging_cols), spec, ts)
+    record_epoch(spark, dim_root, stream, epoch_id, snap_id)
     return publish(nxt, dim_root, snap_id, partition_by=partition_by)
 
 

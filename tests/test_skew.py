@@ -102,3 +102,25 @@ def test_stepwise_skewed_forms(spark):
     for scope in ("touched", "batch"):
         assert _bag(fl.next_start(dim, s, p.spec.key_cols, scope, skewed=True)) == \
             _bag(fl.next_start(dim, s, p.spec.key_cols, scope))
+
+
+@pytest.mark.parametrize("limit", [3, 5, 8])
+def test_a_numbering_group_is_never_divided(spark, limit):
+    """Numbering over a part of the key: its groups go to one path or the other whole."""
+    p = PIPELINES["pipe_merchant_chain"]
+    dim, stg = p.frames(spark, SF_SMALL)
+    want = _bag(apply_scd2(dim, stg, p.spec, p.batch_ts, skew="off"))
+    spark.conf.set("chronodim.skew.hotKeyRows", str(limit))
+    try:
+        assert _bag(apply_scd2(dim, stg, p.spec, p.batch_ts)) == want
+    finally:
+        spark.conf.unset("chronodim.skew.hotKeyRows")
+
+
+def test_ordered_helpers_without_a_checkpoint_directory(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
+    n = 200_000
+    df = spark.range(n, numPartitions=16).select(F.lit(1).alias("g"), ((F.col("id") * 7919) % n).alias("o"))
+    bad = rank_within(df, ["g"], ["o"], "rn").where("rn <> o + 1").count()
+    got = lead_within(df, ["g"], ["o"], "o", "nx").where(f"nx <> o + 1 or (nx is null) <> (o = {n - 1})").count()
+    assert (bad, got) == (0, 0)
