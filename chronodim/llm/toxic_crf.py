@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .quality_rqda import _logistic
 from .tokens import blocks
 
-MAX_TOXIC, MAX_CLEAN = 2_500, 7_500
-FIT_TOXIC, FIT_CLEAN = 1_500, 1_500     # of those, documents for the gradient steps
+MAX_TOXIC, MAX_CLEAN = 2_000, 5_000
+FIT_TOXIC, FIT_CLEAN = 800, 800         # of those, documents for the gradient steps
 TABLE = 1 << 18
 PREFIXES = (4, 5, 6)
 LEAST_DOCUMENTS = 5                     # toxic documents with a word or prefix
@@ -133,14 +133,30 @@ def any_toxic(p: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.clip(np.log(np.expm1(np.clip(none, 1e-12, 30))), -10, 10)
 
 
-def toxic_stems(texts: list[list[str]], y: np.ndarray) -> set[str]:
-    """Cores and prefixes that mark toxic documents; ``texts``: the distinct cores of each."""
-    count = [Counter(), Counter()]
+class Documents:
+    """The distinct cores of one document after the other."""
+
+    def __init__(self, docs: list[np.ndarray], cores: list[str]):
+        self.docs, self.cores = docs, cores
+
+    def __iter__(self) -> Iterator[list[str]]:
+        return ([self.cores[i] for i in np.unique(d).tolist()] for d in self.docs)
+
+
+def toxic_stems(texts: "Documents", y: np.ndarray) -> set[str]:
+    """Cores and prefixes that mark toxic documents; ``texts`` gives the distinct cores of each,
+    once for every pass."""
+    toxic: Counter = Counter()
+    for cores, label in zip(texts, y.tolist()):
+        if label:
+            toxic.update({s for c in cores for s in stems(c)})
+    toxic = Counter({s: k for s, k in toxic.items() if k >= LEAST_DOCUMENTS})
+    clean: Counter = Counter()              # only of what may mark toxic documents
     for cores, label in zip(texts, y.tolist()):
-        count[label].update({s for c in cores for s in stems(c)})
+        if not label:
+            clean.update({s for c in cores for s in stems(c) if s in toxic})
     n = np.bincount(y, minlength=2)
-    return {s for s, k in count[1].items() if k >= LEAST_DOCUMENTS
-            and k / n[1] >= LEAST_RATIO * (count[0][s] + 0.5) / max(n[0], 1)}
+    return {s for s, k in toxic.items() if k / n[1] >= LEAST_RATIO * (clean[s] + 0.5) / max(n[0], 1)}
 
 
 def fit(texts: list[str], labels: list[int]) -> Field | None:
@@ -149,9 +165,10 @@ def fit(texts: list[str], labels: list[int]) -> Field | None:
     if not y.any():
         return None
     ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(core(w), len(ids)) for w in (t or "").split()], dtype=np.int64) for t in texts]
+    docs = [np.array([ids.setdefault(core(w), len(ids)) for w in (t or "").split()], dtype=np.int32) for t in texts]
+    del texts
     cores = list(ids)
-    marked = toxic_stems([[cores[i] for i in np.unique(d)] for d in docs], y)
+    marked = toxic_stems(Documents(docs, cores), y)
     hot = np.array([any(s in marked for s in stems(c)) if c else False for c in cores], dtype=bool)
     places = np.cumsum(y) * y, np.cumsum(1 - y) * (1 - y)
     chosen = [i for i in range(len(docs)) if len(docs[i]) and (places[0][i] <= FIT_TOXIC if y[i] else places[1][i] <= FIT_CLEAN)]
