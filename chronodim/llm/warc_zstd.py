@@ -75,7 +75,7 @@ def _record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def with_references(pages: DataFrame, min_bytes: int = DEDUP_BYTES) -> DataFrame:
+def with_references(pages: DataFrame, partitions: int, min_bytes: int = DEDUP_BYTES) -> DataFrame:
     """page_id, url, html, refers_to (the response's id for revisits, else null).
 
     Copies are counted by digest first; only ids of revisits are joined back to the pages.
@@ -92,12 +92,12 @@ def with_references(pages: DataFrame, min_bytes: int = DEDUP_BYTES) -> DataFrame
                    .select(*same, "last")
     revisits = d.join(groups, same).where(F.col("last").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("last")))) \
         .groupBy("page_id", "digest", "n_bytes", "check").agg(F.max("last").alias("refers_to")).alias("r")
-    p = p.withColumns({"digest": F.when(F.octet_length("html") >= min_bytes, F.sha1(raw)), "n_bytes": F.octet_length("html"),
-                       "check": F.xxhash64("html")}).alias("p")
-    on = F.col("p.page_id").eqNullSafe(F.col("r.page_id"))
-    for c in same:
-        on &= F.col(f"p.{c}") == F.col(f"r.{c}")
-    return p.join(revisits, on, "left").select("p.page_id", "p.url", "p.html", "r.refers_to")
+    # dealt out once, by the join's own keys: the pages are written as they lie here
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("key")
+    r = revisits.select(key, *same, "refers_to")
+    p = p.select("page_id", "url", "html", key, F.when(F.octet_length("html") >= min_bytes, F.sha1(raw)).alias("digest"),
+                 F.octet_length("html").alias("n_bytes"), F.xxhash64("html").alias("check"))
+    return p.repartition(partitions, "key", *same).join(r, ["key", *same], "left").select("page_id", "url", "html", "refers_to")
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = DEDUP_BYTES, level: int = LEVEL,
@@ -124,7 +124,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = DEDUP_BYTES, le
                     out.append(frames.compress(_record(page_id, url, payload, refers_to, refers_to is not None)))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    rows = with_references(pages, min_bytes).repartition(max(1, -(-total // file_bytes) * 2), F.xxhash64("page_id", "url"))
+    rows = with_references(pages, max(2, 2 * -(-total // file_bytes)), min_bytes)
     frames = rows.mapInArrow(compress, "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("lineSep", EMPTY_FRAME.decode("latin-1")).text(path)
     jvm = spark.sparkContext._jvm
