@@ -65,3 +65,11 @@ def words(text: Column) -> Column:
 def id_crc32(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text; null ids count as 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0).cast("long"))
+
+
+def hashed_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
+    """The ``n`` rows with the smallest hashes of ``key``.  Hashes are cut first, so that a
+    task gives the driver its share of the sample and not ``n`` whole rows."""
+    h = F.xxhash64(*key)
+    last = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return (df.limit(0) if last is None else df.where(h <= last)).orderBy(h).limit(n)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import hashed_sample, written
 
 SHRINK_POOLED = 0.2
 SHRINK_IDENTITY = 0.02
@@ -191,7 +191,7 @@ def fit(labelled: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Model:
         factors.append(_inverse_of_lower(factor))
         dets.append(2 * float(np.log(np.diag(factor)).sum()))
     model = Model(means, np.stack(factors), np.array(dets))
-    some = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows).select("x", "y").collect()
+    some = hashed_sample(labelled, calibration_rows, "doc_id", "x").select("x", "y").collect()
     x, y = np.array([r["x"] for r in some], float).reshape(-1, p), np.array([r["y"] for r in some], float)
     model.slope, model.offset = _logistic(np.arcsinh(model.difference(x)), y)
     return model

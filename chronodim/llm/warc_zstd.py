@@ -8,7 +8,7 @@ skippable frame, which every decoder passes over), so they can go to any storage
 reaches and a lost task leaves nothing behind.
 
 The dictionary is trained on a bounded sample: the ``SAMPLE_ROWS`` pages with the smallest
-hash of their id, up to ``SAMPLE_BYTES`` of each.  Every record is archived in full.
+hash of id and html, up to ``SAMPLE_BYTES`` of each.  Every record is archived in full.
 
 Defined cases: a null html is an empty payload; of equal payloads of ``DEDUP_BYTES`` or more
 all rows with the largest page_id are responses (also repeated rows), a null id is less than
@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder
+from .common import hashed_sample, new_folder
 
 DEDUP_BYTES = 1000
 SAMPLE_ROWS = 1000
@@ -105,9 +105,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = DEDUP_BYTES, le
     """Write ``pages`` (page_id, url, html) to ``path`` as part-*.warc.zst files."""
     spark = pages.sparkSession
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    sample = (pages.where(F.octet_length("html") > 0)
-              .select(F.xxhash64("page_id").alias("h"), F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("x"))
-              .orderBy("h", "x").limit(SAMPLE_ROWS).collect())       # bounded: rows and bytes of each
+    sample = hashed_sample(pages.where(F.octet_length("html") > 0), SAMPLE_ROWS, "page_id", "html") \
+        .select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("x")).collect()
     content = dictionary([bytes(r["x"]) for r in sample])
     shipped = spark.sparkContext.broadcast(content)
 
