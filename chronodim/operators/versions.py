@@ -94,7 +94,8 @@ def number_versions(rows: DataFrame, spec: DimSpec, base: str = "cur_version",
     ``base`` is a column (``cur_version`` after ``changed_rows``,
     ``max_version`` after ``with_max_version``); NULL counts as 0 (P9).
     ``skewed``: number with range slices instead of a window over the key."""
-    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
+    ties = spec.tiebreak + (spec.carry_cols if base == "cur_version" else ())
+    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
     if skewed:
         from .ordered import rank_within
         rows = rank_within(rows, list(spec.partition_cols), order, "_rn")

@@ -74,12 +74,22 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
     # them re-reads the dimension.
     u = stored(u)
     kd = F.col(_KIND)
+    repeats = mode != "append_all" and spec.new_keys == "one"
+    if repeats:
+        # step 2 sees step 1's rows (Q4): an equi-join of the new keys' staged rows
+        new = u.where(kd == NEW)
+        each = F.struct(F.lit(1).alias("v"), *[F.col(c) for c in tracked + carry])
+        seen = new.select(*K, each.alias("_seen"))
+        again = new.join(seen, K).where(changed([(F.col("_seen")[c], F.col(c)) for c in tracked], spec.null_safe))
+        again = again.withColumn(_CURV, F.col("_seen")).withColumn(_KIND, F.lit(CHG)).select(*u.columns)
+        u = stored(u.unionByName(again))
 
     # (3) numbering: ranks of staged rows within the version partition
     order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
+    by_carry = [curv[c].asc_nulls_last() for c in carry] if repeats else []
     numbered = mode in ("append_all", "upsert") or spec.close_numbering == "row_number"
     if numbered:
-        ranked = rank_within(u.where(kd == CHG), P, order, "_rn")
+        ranked = rank_within(u.where(kd == CHG), P, order + by_carry, "_rn")
         u = ranked.unionByName(u.where(kd != CHG).withColumn("_rn", F.lit(None).cast("int")))
     if spec.new_keys == "number":
         ranked = rank_within(u.where(kd == NEW), K, order, "_rn_new")
@@ -120,11 +130,18 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
         chained = lead_within(u.where(F.col("_scope")), K, [ver.asc_nulls_last(), start_col.asc_nulls_last()],
                               DATE_FROM, "_next")
         u = chained.unionByName(u.where(~F.col("_scope")).withColumn("_next", F.lit(None).cast("timestamp_ntz")))
+        if repeats:            # rows of a new key share version 1, by which the update matches
+            first = u.where(kd == NEW).groupBy(*K).agg(F.min("_next").alias("_first"))
+            u = _facts_join(u, first, K, n_keys)
+            u = u.withColumn("_next", F.when(kd == NEW, F.col("_first")).otherwise(F.col("_next")))
         u = u.withColumn(DATE_TO, F.when(F.col("_next").isNotNull(), F.col("_next")).otherwise(F.col(DATE_TO)))
     else:
         ranked = rank_within(u.where(touched), K, [ver.desc_nulls_last(), start_col.desc_nulls_last()], "_rn2")
         u = ranked.unionByName(u.where(~touched).withColumn("_rn2", F.lit(None).cast("int")))
-        hit = (F.col("_rn2") == 2) & due(start_col, batch_ts, spec.due)
+        # every row with the version number of the second row (Q13)
+        second = u.where(F.col("_rn2") == 2).groupBy(*K).agg(F.max(ver).alias("_second"))
+        u = _facts_join(u, second, K, n_keys)
+        hit = touched & (ver == F.col("_second")) & due(start_col, batch_ts, spec.due)
         if spec.reclose == "current":
             hit = hit & cur_flag
         hit = F.coalesce(hit, F.lit(False))

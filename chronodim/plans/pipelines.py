@@ -174,7 +174,7 @@ SHAPES = {
                                    "CAST({target} AS STRING) || '/'")),
 }
 # fixture variant → (builder, shape)
-VARIANTS = {"fx1": "fx1", "fx1_one": "fx1", "fx2": "fx2", "fx2_upsert": "fx2", "fx3": "fx3", "fx4": "fx4"}
+VARIANTS = {"fx1": "fx1", "fx2": "fx2", "fx3": "fx3", "fx4": "fx4"}
 
 
 @dataclass(frozen=True)
@@ -232,14 +232,14 @@ PIPELINES = {p.query: p for p in (
     Pipeline("pipe_store_append", STORE_APPEND, "fx1"),
     Pipeline("pipe_store_upsert", STORE_UPSERT, "fx1"),
     Pipeline("pipe_utid", UTID, "fx1"),
-    Pipeline("pipe_pan_info", PAN_INFO, "fx2_upsert"),
+    Pipeline("pipe_pan_info", PAN_INFO, "fx2"),
     Pipeline("pipe_acquiring_bank", ACQUIRING_BANK, "fx1"),
     Pipeline("pipe_btid", BTID, "fx3"),
-    Pipeline("pipe_owner_close", OWNER_CLOSE, "fx1_one", batch_ts=BATCH_TS),
-    Pipeline("pipe_owner_upsert", OWNER_UPSERT, "fx1_one", batch_ts=BATCH_TS),
-    Pipeline("pipe_dc_emi", DC_EMI, "fx2_upsert"),
+    Pipeline("pipe_owner_close", OWNER_CLOSE, "fx1", batch_ts=BATCH_TS),
+    Pipeline("pipe_owner_upsert", OWNER_UPSERT, "fx1", batch_ts=BATCH_TS),
+    Pipeline("pipe_dc_emi", DC_EMI, "fx2"),
     Pipeline("pipe_classification_append", CLASSIFICATION_APPEND, "fx2"),
-    Pipeline("pipe_merchant_chain", MERCHANT_CHAIN, "fx2_upsert"),
+    Pipeline("pipe_merchant_chain", MERCHANT_CHAIN, "fx2"),
     Pipeline("pipe_kpi_close", KPI_CLOSE, "fx4", batch_ts=BATCH_TS),
     Pipeline("pipe_kpi_upsert", KPI_UPSERT, "fx4", batch_ts=BATCH_TS),
 )}

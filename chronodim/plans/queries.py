@@ -44,11 +44,11 @@ G = {
     "fx1_touched": Pipeline("g_fx1_touched", replace(FX1_SPEC, retire="touched", redate="touched"), "fx1",
                             overrides=_ID1),
     "fx1_close": Pipeline("g_fx1_close", replace(FX1_SPEC, carry=(), mode="close_previous", start="batch"),
-                          "fx1_one", batch_ts=BATCH_TS, overrides=_ID1),
+                          "fx1", batch_ts=BATCH_TS, overrides=_ID1),
     "fx2": Pipeline("g_fx2", FX2_SPEC, "fx2", overrides=_ID2),
     "fx2_append": Pipeline("g_fx2_append", replace(FX2_SPEC, mode="append_all"), "fx2", overrides=_ID2),
     "fx2_narrow": Pipeline("g_fx2_narrow", replace(FX2_SPEC, version_partition=("k1",), tiebreak=("k2",)),
-                           "fx2_upsert", overrides=_ID2),
+                           "fx2", overrides=_ID2),
     "fx3": Pipeline("g_fx3", FX3_SPEC, "fx3", overrides=_ID3),
     "fx4": Pipeline("g_fx4", FX4_SPEC, "fx4", overrides=_ID4),
     "fx4_close": Pipeline("g_fx4_close", replace(FX4_SPEC, mode="close_previous", start="batch", due="midnight"),

@@ -135,10 +135,23 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
                  .when(curv.isNotNull() & test, F.lit(CHG)).otherwise(F.lit(SEEN)))
     u = _set(u, **{_KIND: kind})
     kd = F.col(_KIND)
+    repeats = mode != "append_all" and spec.new_keys == "one"
+    if repeats:
+        # step 2 sees step 1's rows (Q4): a new key staged more than once gives a changed
+        # row for each of its new versions that a staged row differs from
+        each = F.struct(F.lit(1).alias("v"), *[F.col(c) for c in tracked + carry])
+        u = _set(u, _news=F.collect_list(F.when(kd == NEW, each)).over(wk))
+        differs = F.filter("_news", lambda r: changed([(r[c], F.col(c)) for c in tracked], spec.null_safe))
+        again = F.transform(differs, lambda r: F.struct(F.lit(CHG).alias("kind"), r.alias("cur")))
+        own = F.array(F.struct(kd.alias("kind"), curv.alias("cur")))
+        u = _set(u, _drop=("_news",), _row=F.explode(F.when((kd == NEW) & (F.size("_news") > 1), F.concat(own, again))
+                                                     .otherwise(own)))
+        u = _set(u, _drop=("_row",), **{_KIND: F.col("_row.kind"), _CURV: F.col("_row.cur")})
 
     # (3) number the new versions (W1) and fill the inserted rows
     order = [F.col(TS).asc_nulls_last(), *_nulls_last(spec.tiebreak)]
-    rn_part = F.row_number().over(Window.partitionBy(*P, _KIND).orderBy(*order))
+    by_carry = [curv[c].asc_nulls_last() for c in carry] if repeats else []
+    rn_part = F.row_number().over(Window.partitionBy(*P, _KIND).orderBy(*order, *by_carry))
     if mode == "append_all":
         version = F.col("_base") + rn_part
     elif mode == "upsert" or spec.close_numbering == "row_number":
@@ -158,10 +171,13 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
 
     real_touched = F.col("_touched")
     if mode == "close_previous":
-        # The second-latest version of a touched, due key is closed
+        # The second-latest version of a touched, due key is closed: every row
+        # with the version number of the second row (Q13: there may be several)
         rn = F.row_number().over(Window.partitionBy(*K, real_touched).orderBy(
             ver.desc_nulls_last(), start_col.desc_nulls_last()))
-        hit = real_touched & (rn == 2) & due(start_col, batch_ts, spec.due)
+        u = _set(u, _rn=rn)
+        second = F.max(F.when(F.col("_rn") == 2, ver)).over(Window.partitionBy(*K, real_touched))
+        hit = real_touched & (ver == second) & due(start_col, batch_ts, spec.due)
         if spec.reclose == "current":
             hit = hit & cur_flag
         hit = F.coalesce(hit, F.lit(False))
@@ -179,7 +195,12 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         scope = F.col("_inb") if spec.redate == "batch" else real_touched
     nxt = F.lead(DATE_FROM).over(Window.partitionBy(*K, scope).orderBy(
         ver.asc_nulls_last(), start_col.asc_nulls_last()))
-    u = _set(u, **{DATE_TO: F.when(scope & nxt.isNotNull(), nxt).otherwise(F.col(DATE_TO))})
+    u = _set(u, _nxt=F.when(scope, nxt))
+    nxt = F.col("_nxt")
+    if repeats:
+        # rows of a new key share version 1, by which the update matches: all take the earliest
+        nxt = F.when(kd == NEW, F.min(F.when(kd == NEW, nxt)).over(wk)).otherwise(nxt)
+    date_to = F.coalesce(nxt, F.col(DATE_TO))
 
     if mode == "append_all":
         # U1 + U2: a touched key's current version is its highest
@@ -188,7 +209,7 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         # Flag off below the highest version in scope (batch rows or touched key)
         in_scope = F.col("_inb") if spec.retire == "batch" else real_touched
         flag = F.when(ver < F.max(F.when(in_scope, ver)).over(wk), F.lit(False)).otherwise(cur_flag)
-    return _set(u, _keep=spec.dim_cols, **{CURRENT: flag})
+    return _set(u, _keep=spec.dim_cols, **{CURRENT: flag, DATE_TO: date_to})
 
 
 def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") -> DataFrame:

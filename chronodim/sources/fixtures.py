@@ -18,9 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _first_per_key(df: DataFrame, keys, ts: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_last())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def _history(log: DataFrame, keys, order, cols) -> DataFrame:
+    """Rows of a log as the versions of a dimension: numbered, chained, the last one current."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    nxt = F.lead("ts").over(w)
+    return log.select(*keys, *cols, F.row_number().over(w).cast("int").alias("version"),
+                      nxt.isNull().alias("lastversion"), F.col("ts").alias("date_from"),
+                      F.coalesce(nxt, open_end()).alias("date_to"))
 
 
 # ---- FX1: one-column key (customer) -------------------------------------------------
@@ -44,7 +48,7 @@ def fx1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     seg = (F.when((k % 4) == 0, F.lit("MACHINERY"))
             .when((k % 14) == 0, F.lit(None).cast("string"))
             .otherwise(F.col("seg")))
-    s1 = c.where((k % 2) == 0).select(
+    s1 = c.where(((k % 2) == 0) | ~has_hist).select(
         k.alias("src_k"), seg.alias("src_seg"), F.col("nat").alias("src_nat"),
         ts_literal("1999-06-01 00:00:00").alias("crtupd_dt"))
     s2 = c.where(((k % 8) == 0) & has_hist).select(
@@ -53,12 +57,6 @@ def fx1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return dim, s1.unionByName(s2)
 
 
-def fx1_one_per_key(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """FX1 with the first staged row per key (close-previous / batch-clock loads)."""
-    dim, stg = fx1(spark, sf_dir)
-    return dim, _first_per_key(stg, ["src_k"], "crtupd_dt")
-
-
 # ---- FX2: two-column key, real order history ----------------------------------------
 def _ord_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
@@ -79,30 +77,13 @@ def fx2(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     staging (src_k1, src_k2, src_st, src_amt, src_created_on)."""
     log = _ord_log(spark, sf_dir)
     cut = ts_literal(CUT_1999)
-    w = Window.partitionBy("k1", "k2").orderBy("ts")
-    nxt = F.lead("ts").over(w)
-    dim = log.where(F.col("ts") < cut).select(
-        "k1", "k2", "st", "amt", F.row_number().over(w).cast("int").alias("version"),
-        nxt.isNull().alias("lastversion"), F.col("ts").alias("date_from"),
-        F.coalesce(nxt, open_end()).alias("date_to"))
+    dim = _history(log.where(F.col("ts") < cut), ["k1", "k2"], ["ts"], ["st", "amt"])
     stg = log.where(F.col("ts") >= cut).select(
         F.col("k1").alias("src_k1"), F.col("k2").alias("src_k2"), F.col("st").alias("src_st"),
         F.col("amt").alias("src_amt"), F.col("ts").alias("src_created_on"))
     return dim, stg
 
 
-def fx2_upsert(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """FX2 where a new key keeps only its first staged row (one row per new key)."""
-    dim, stg = fx2(spark, sf_dir)
-    known = dim.select(F.col("k1").alias("src_k1"), F.col("k2").alias("src_k2")).distinct().withColumn("_known", F.lit(True))
-    w = Window.partitionBy("src_k1", "src_k2").orderBy("src_created_on")
-    stg = (stg.withColumn("_rn", F.row_number().over(w))
-              .join(known, ["src_k1", "src_k2"], "left")
-              .where(F.col("_known").isNotNull() | (F.col("_rn") == 1))
-              .drop("_rn", "_known"))
-    return dim, stg
-
-
 # ---- FX3: three-column key (lineitem) -----------------------------------------------
 def fx3(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """dim (k1, k2, k3, ls, qty, version, lastversion, date_from, date_to),
@@ -113,10 +94,9 @@ def fx3(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
              .agg(F.min("l_linestatus").alias("ls"), F.max("l_quantity").alias("qty")))
     ranked = log.withColumn("rn", F.row_number().over(
         Window.partitionBy("k1", "k2", "k3").orderBy(F.col("ts").desc())))
-    dim = ranked.where((F.col("rn") == 2) & (((F.col("k1") + F.col("k2")) % 7) != 0)).select(
-        "k1", "k2", "k3", "ls", "qty", F.lit(1).alias("version"), F.lit(True).alias("lastversion"),
-        F.col("ts").alias("date_from"), open_end().alias("date_to"))
-    stg = ranked.where(F.col("rn") == 1).select("k1", "k2", "k3", "ls", "qty", F.col("ts").alias("crtupd_dt"))
+    staged = (F.col("rn") == 1) | (((F.col("k1") + F.col("k2")) % 7) == 0)
+    dim = _history(ranked.where(~staged), ["k1", "k2", "k3"], ["ts"], ["ls", "qty"])
+    stg = ranked.where(staged).select("k1", "k2", "k3", "ls", "qty", F.col("ts").alias("crtupd_dt"))
     return dim, stg
 
 
@@ -128,17 +108,16 @@ def fx4(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.col("event_type").alias("kpi_name"), F.month("ts").cast("int").alias("mon"),
         F.year("ts").cast("int").alias("yr"), F.col("user_id").alias("category"),
         F.floor(F.col("value") / 25).cast("int").alias("target"), "ts", "event_id")
-    part = Window.partitionBy("kpi_name", "mon", "yr", "category")
-    ranked = (ev.withColumn("rn", F.row_number().over(part.orderBy("ts", "event_id")))
-                .withColumn("rd", F.row_number().over(part.orderBy(F.col("ts").desc(), F.col("event_id").desc()))))
-    dim = ranked.where((F.col("rn") == 1) & ((F.col("category") % 4) != 0)).select(
-        "kpi_name", "mon", "yr", "category", "target", F.lit(1).alias("version"),
-        F.lit(True).alias("lastversion"), F.col("ts").alias("date_from"), open_end().alias("date_to"))
-    stg = ranked.where((F.col("rd") == 1) & ((F.col("category") % 3) != 0)).select(
+    keys = ["kpi_name", "mon", "yr", "category"]
+    latest = Window.partitionBy(*keys).orderBy(F.col("ts").desc(), F.col("event_id").desc())
+    ranked = ev.withColumn("rd", F.row_number().over(latest))
+    staged = ((F.col("category") % 4) == 0) | ((F.col("rd") == 1) & ((F.col("category") % 3) != 0))
+    dim = _history(ranked.where(~staged), keys, ["ts", "event_id"], ["target"])
+    stg = ranked.where(staged).select(
         F.col("kpi_name").alias("src_kpi_name"), F.col("mon").alias("src_month"), F.col("yr").alias("src_year"),
         F.col("category").alias("src_category"), F.col("target").alias("src_target"),
         F.col("ts").alias("src_created_on"))
     return dim, stg
 
 
-FIXTURES = {"fx1": fx1, "fx1_one": fx1_one_per_key, "fx2": fx2, "fx2_upsert": fx2_upsert, "fx3": fx3, "fx4": fx4}
+FIXTURES = {"fx1": fx1, "fx2": fx2, "fx3": fx3, "fx4": fx4}

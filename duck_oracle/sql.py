@@ -90,9 +90,12 @@ def next_start_sql(spec: DimSpec, src: str, scope: str) -> str:
 
 
 def _redate(spec: DimSpec, src: str, scope: str) -> str:
-    """LEAD over the scope's rows, then the UPDATE as a left join."""
+    """LEAD over the scope's rows, then the UPDATE as a left join.  Rows that share a
+    version match more than once (Q4): the earliest start is taken."""
+    keys = ", ".join(q(c) for c in spec.key_cols)
     return f"""ne AS (
-  {next_start_sql(spec, src, scope)}
+  SELECT {keys}, version, min(next_date_from) AS next_date_from FROM (
+  {next_start_sql(spec, src, scope)}) x GROUP BY {keys}, version
 ),
 fin AS (
   SELECT {_rewrite(spec, src, date_to=f"CASE WHEN ne.next_date_from IS NOT NULL THEN ne.next_date_from ELSE {src}.date_to END")}
