@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -64,6 +64,32 @@ def _scope_of(text: str):
     return lambda at: bisect_left(cuts, at + 1)
 
 
+class Intervals:
+    """Intervals (block, start, end) of one text, sorted, with the two furthest ends of different
+    intervals up to each place of a block: a lookup is one bisection, whatever the lengths."""
+
+    def __init__(self, found: list[tuple[int, int, int]]):
+        self.found = sorted(set(found))
+        self.furthest: list[tuple[tuple[int, int], tuple[int, int]]] = []
+        block, best, second = None, (-1, -1), (-1, -1)
+        for b, s, e in self.found:
+            if b != block:
+                block, best, second = b, (-1, -1), (-1, -1)
+            if (e, s) > best:
+                best, second = (e, s), best
+            elif (e, s) > second:
+                second = (e, s)
+            self.furthest.append((best, second))
+
+    def meets(self, block: int, low: int, high: int, but: tuple[int, int] | None = None) -> bool:
+        """Whether an interval of the block, other than ``but``, starts at ``high`` or before
+        and ends at ``low`` or after."""
+        at = bisect_right(self.found, (block, high, math.inf)) - 1
+        if at < 0 or self.found[at][0] != block:
+            return False
+        return any(e >= max(low, 0) and (s, e) != but for e, s in self.furthest[at])
+
+
 def linked_spans(text: str, base: list[tuple[str, int, int]], reach: int = REACH) -> list[tuple[str, int, int]]:
     """Weak parts with a complementary part in their scope; none of them overlaps a base span."""
     weak = []
@@ -74,33 +100,19 @@ def linked_spans(text: str, base: list[tuple[str, int, int]], reach: int = REACH
              if re.search(r"[0-9]", m[0]) and re.search(r"[A-Za-z]", m[0]) and entropy(m[0]) >= ENTROPY]
     if not weak:
         return []
-    taken = sorted((s, e) for _, s, e in base)
-    starts = [s for s, _ in taken]
-
-    def free(s: int, e: int) -> bool:
-        at = bisect_left(starts, e)
-        return not any(x_e > s for _, x_e in taken[max(0, at - 8):at])
-
-    weak = [x for x in weak if free(x[1], x[2])]
+    taken = Intervals([(0, s, e) for _, s, e in base])
+    weak = [x for x in weak if not taken.meets(0, x[1] + 1, x[2] - 1)]
     scope = _scope_of(text)
     parts: dict[str, list[tuple[int, int, int]]] = {"identifier": [], "secret": []}
     for kind, s, e in [*base, *weak]:
         role = {"access": "identifier", "weak_id": "identifier", "endpoint": None}.get(kind, "secret")
         if role:
             parts[role].append((scope(s), s, e))
-    by_place = {role: sorted(found) for role, found in parts.items()}
-    longest = {role: max((e - s for _, s, e in found), default=0) for role, found in parts.items()}
+    places = {role: Intervals(found) for role, found in parts.items()}
 
     def completed(kind: str, s: int, e: int) -> bool:
         block = scope(s)
-        for role in COMPLEMENT[kind]:
-            found = by_place[role]
-            at = bisect_left(found, (block, s - reach - longest[role], 0))
-            while at < len(found) and found[at][0] == block and found[at][1] <= e + reach:
-                if (found[at][1], found[at][2]) != (s, e) and found[at][2] >= s - reach:
-                    return True
-                at += 1
-        return False
+        return any(places[role].meets(block, s - reach, e + reach, (s, e)) for role in COMPLEMENT[kind])
 
     return [x for x in weak if completed(*x)]
 
