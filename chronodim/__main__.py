@@ -5,7 +5,8 @@
         [--format parquet|table] [--partition-by lastversion]
 
 ``--dim`` is a snapshot root (the newest committed snapshot is read and the
-result is published next to it) or, with ``--format table``, a catalog table
+result is published next to it), a bucketed table (``sources/buckets.py``: only the buckets
+that the batch touches are read and written) or, with ``--format table``, a catalog table
 whose result is published under ``--out``.  The session (master, shuffle
 partitions, ``spark.checkpoint.dir``) comes from ``spark-submit`` / the cluster.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from .plans.pipelines import PIPELINES
 from .plans.scd2 import apply_scd2
+from .sources.buckets import latest_manifest, load_table, manifest_path
 from .sources.io import publish, read_dim, read_staging
 
 LOADS = {name.removeprefix("pipe_"): p.spec for name, p in PIPELINES.items()}
@@ -48,7 +50,10 @@ def main(argv=None):
     spec = LOADS[a.load]
     spark = SparkSession.builder.appName(f"chronodim-{a.load}").getOrCreate()
     batch_ts = a.batch_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-    nxt = apply_scd2(read_dim(spark, a.dim, spec, a.format), read_staging(spark, a.staging, spec, a.format),
+    if a.format == "parquet" and not a.out and latest_manifest(spark, a.dim):
+        print(manifest_path(a.dim, load_table(spark, a.dim, a.staging, spec, batch_ts)))
+        return
+    nxt = apply_scd2(read_dim(spark, a.dim, spec, a.format, other_columns=True), read_staging(spark, a.staging, spec, a.format),
                      spec, batch_ts)
     out = a.out or a.dim
     print(publish(nxt, out, partition_by=a.partition_by or None))

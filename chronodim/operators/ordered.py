@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _PID, _ID = "_seq_pid", "_seq_id"
@@ -35,15 +35,25 @@ def _order_cols(order) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.  Where it is
+    unset a cluster raises; a local session gets a folder of its own."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="chronodim-ckpt-")
+        sc.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed, so that every later branch reads the same rows.  Without a
-    checkpoint directory a cluster raises; a local session gets a folder of its own."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not shared and not sc.master.startswith("local"):
-            raise ValueError("hot keys need spark.checkpoint.dir, a folder that all executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="chronodim-ckpt-"))
+    """``df`` checkpointed to the shared folder, so that every later branch reads the same rows."""
+    spark = df.sparkSession
+    root = shared_root(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
 
 

@@ -3,8 +3,8 @@ step that gathers one key into one task.
 
 * per-key facts (current version, has history, touched, base, close time,
   highest version in scope) are aggregates — partial aggregation collapses a
-  hot key's rows before the shuffle — joined back by broadcast when the
-  counted hot keys times the facts' row width fit the bound;
+  hot key's rows before the shuffle — stored, and joined back by broadcast when
+  their measured bytes fit the bound;
 * the batch match of J4 is an equi-join on ``(key, timestamp)``;
 * ``row_number`` and ``lead`` use ``operators.ordered`` (range slices, row ids,
   equi-joins), so a hot key's versions spread over many tasks.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, ts_literal
 from ..operators.ordered import lead_within, rank_within, stored
-from ..operators.partitioning import broadcast_bound
+from ..operators.partitioning import checked_broadcast
 from ..operators.versions import TS
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
@@ -25,17 +25,16 @@ DIM, NEW, CHG, SEEN = 0, 1, 2, 3
 _STG, _KIND, _CURV = "_stg", "_kind", "_cur"
 
 
-def _facts_join(u: DataFrame, facts: DataFrame, keys, n_keys: int) -> DataFrame:
-    """Join one-row-per-key facts back; broadcast when ``n_keys`` rows of this
-    width fit the broadcast bound (``n_keys`` is the counted hot-key set)."""
-    small = n_keys <= broadcast_bound(facts)
-    return u.join(F.broadcast(facts) if small else facts, list(keys), "left")
+def _facts_join(u: DataFrame, facts: DataFrame, keys) -> DataFrame:
+    """Join one-row-per-key facts back.  They are stored (one row per hot key), so their real
+    bytes are measured without a second aggregate; broadcast when these fit the bound."""
+    facts, _, _ = checked_broadcast(stored(facts))
+    return u.join(facts, list(keys), "left")
 
 
-def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFrame:
+def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
     """``u``: touched versions + staged rows of hot keys, in the union layout of
-    ``scd2._versioned`` (body columns, bookkeeping, ``_stg``, ``_ts``);
-    ``n_keys``: the number of keys among them (counted)."""
+    ``scd2._versioned`` (body columns, bookkeeping, ``_stg``, ``_ts``)."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     tracked, carry = list(spec.tracked_cols), list(spec.carry_cols)
     mode = spec.mode
@@ -50,7 +49,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
         aggs.append(F.coalesce(F.max(F.when(~stg, ver)), F.lit(0)).alias("_base"))
     if mode == "close_previous" and spec.close_at == "staging":
         aggs.append(F.max(F.col(TS)).alias("_close"))
-    u = _facts_join(u, u.groupBy(*K).agg(*aggs), K, n_keys)
+    u = _facts_join(u, u.groupBy(*K).agg(*aggs), K)
 
     # J4 batch match: an equi-join on (key, staged timestamp)
     if mode == "upsert" and "batch" in (spec.retire, spec.redate):
@@ -113,13 +112,13 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
     touched = F.col("_touched")
     if mode == "append_all":
         top = u.groupBy(*K).agg(F.max(ver).alias("_top"))
-        u = _facts_join(u, top, K, n_keys)
+        u = _facts_join(u, top, K)
         u = u.withColumn(CURRENT, F.when(touched, ver == F.col("_top")).otherwise(cur_flag))
         scope = touched
     elif mode == "upsert":
         in_scope = F.col("_inb") if spec.retire == "batch" else touched
         top = u.groupBy(*K).agg(F.max(F.when(in_scope, ver)).alias("_top"))
-        u = _facts_join(u, top, K, n_keys)
+        u = _facts_join(u, top, K)
         u = u.withColumn(CURRENT, F.when(ver < F.col("_top"), F.lit(False)).otherwise(cur_flag))
         scope = F.col("_inb") if spec.redate == "batch" else touched
     else:
@@ -132,7 +131,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
         u = chained.unionByName(u.where(~F.col("_scope")).withColumn("_next", F.lit(None).cast("timestamp_ntz")))
         if repeats:            # rows of a new key share version 1, by which the update matches
             first = u.where(kd == NEW).groupBy(*K).agg(F.min("_next").alias("_first"))
-            u = _facts_join(u, first, K, n_keys)
+            u = _facts_join(u, first, K)
             u = u.withColumn("_next", F.when(kd == NEW, F.col("_first")).otherwise(F.col("_next")))
         u = u.withColumn(DATE_TO, F.when(F.col("_next").isNotNull(), F.col("_next")).otherwise(F.col(DATE_TO)))
     else:
@@ -140,7 +139,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, n_keys: int) -> DataFra
         u = ranked.unionByName(u.where(~touched).withColumn("_rn2", F.lit(None).cast("int")))
         # every row with the version number of the second row (Q13)
         second = u.where(F.col("_rn2") == 2).groupBy(*K).agg(F.max(ver).alias("_second"))
-        u = _facts_join(u, second, K, n_keys)
+        u = _facts_join(u, second, K)
         hit = touched & (ver == F.col("_second")) & due(start_col, batch_ts, spec.due)
         if spec.reclose == "current":
             hit = hit & cur_flag

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import due
 from ..operators import flags as fl
 from ..operators import versions as vs
+from ..sources.io import read_dim, read_staging
 from ..spec import DimSpec
-from .pipelines import BATCH_TS, PIPELINES, Pipeline
+from .pipelines import BATCH_TS, PIPELINES, Pipeline, run_bucketed
 from .stepwise import insert_all, insert_changed, insert_new
 
 LONG_HISTORY = 3      # versions per key reported by long_histories
@@ -205,7 +206,29 @@ def _close(g):
     return q
 
 
+#: The orders table as a staging batch.
+ORDER_BATCH = DimSpec(name="orders", keys=(("customer", "o_custkey"), ("priority", "o_orderpriority")),
+                      tracked=(("status", "o_orderstatus"), ("price", "o_totalprice")), ts="o_orderdate")
+
+
+def q_staging_scan(spark, sf_dir):
+    return read_staging(spark, f"{sf_dir.rstrip('/')}/orders.parquet", ORDER_BATCH)
+
+
+def q_dimension_scan(spark, sf_dir):
+    p = PIPELINES["pipe_merchant"]
+    dim, _ = p.frames(spark, sf_dir)
+    return read_dim(spark, dim, p.spec)
+
+
+def q_bucketed_load(spark, sf_dir):
+    return run_bucketed(spark, sf_dir, "pipe_merchant")
+
+
 OPERATOR_QUERIES = {
+    "staging_scan": q_staging_scan,                                     # S1
+    "dimension_scan": q_dimension_scan,                                 # S2
+    "bucketed_load": q_bucketed_load,                                   # S6
     "current_version_scan": q_current_version_scan,                     # S3
     "insert_new_with_defaults": q_insert_new_with_defaults,             # S4, P3, P5, P6, J1
     "insert_new_dup_column": q_insert_new_dup_column,                   # P1, P2

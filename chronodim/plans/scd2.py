@@ -32,11 +32,14 @@ would see.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import changed, due, key_ok, open_end, ts_literal
-from ..operators.partitioning import checked_broadcast
+from ..operators.ordered import stored
+from ..operators.partitioning import checked_broadcast, measured_bytes
 from ..operators.versions import TS, dedupe_batch, map_columns
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
@@ -241,20 +244,22 @@ def hot_key_rows(df: DataFrame) -> int:
     return int(conf) if conf else DEFAULT_HOT_KEY_ROWS
 
 
-def row_counts(d: DataFrame, s: DataFrame) -> tuple[int, int]:
-    """Exact row counts of the dimension and the (non-NULL-key) batch in one
-    job: a global aggregate over a column-less scan (Parquet row counts)."""
-    tagged = d.select(F.lit(0).alias("_t")).unionByName(s.select(F.lit(1).alias("_t")))
-    r = tagged.agg(F.count(F.when(F.col("_t") == 0, 1)).alias("d"),
-                   F.count(F.when(F.col("_t") == 1, 1)).alias("s")).first()
-    return int(r["d"]), int(r["s"])
+def row_counts(d: DataFrame, s: DataFrame, keys) -> tuple[int, int, int]:
+    """Exact row counts of the dimension and the (non-NULL-key) batch, and the measured bytes
+    of the staged keys, in one job: a global aggregate over a scan of the staged keys (the
+    dimension's scan reads no column: Parquet row counts)."""
+    staged = s.select(*keys)
+    tagged = d.select(F.lit(0).alias("_t"), F.lit(0).cast("long").alias("_b")).unionByName(
+        staged.select(F.lit(1).alias("_t"), measured_bytes(staged).alias("_b")))
+    r = tagged.agg(F.count(F.when(F.col("_t") == 0, 1)).alias("d"), F.count(F.when(F.col("_t") == 1, 1)).alias("s"),
+                   F.coalesce(F.sum("_b"), F.lit(0)).alias("b")).first()
+    return int(r["d"]), int(r["s"]), int(r["b"])
 
 
 def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total: int | None = None):
     """Version partitions (the key itself, or the columns that numbering runs over) whose
-    touched versions + staged rows exceed ``hot_key_rows``: ``(values of partition_cols, number
-    of keys in them)`` (broadcast when their count allows) or ``None``.  A partition is never
-    divided between the two paths.  One aggregation over the key columns (partial counts
+    touched versions + staged rows exceed ``hot_key_rows``: values of partition_cols (broadcast
+    when their bytes allow) or ``None``.  A partition is never divided between the two paths.  One aggregation over the key columns (partial counts
     combine before the shuffle)."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     rows = touched.select(*K).unionByName(s.select(*K))
@@ -268,12 +273,11 @@ def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total:
             return None
         # one pass over the key columns; partial counts combine before the shuffle
         hot = rows.groupBy(*P).count().where(F.col("count") > limit).select(*P)
-    hot, n, _ = checked_broadcast(hot)
-    if n == 0:
-        return None
-    if P != K:
-        n = rows.join(hot, P, "left_semi").distinct().count()
-    return hot, n
+    # four joins read the set: stored once where the shared folder is named (the hot path
+    # needs it anyway), counted first where a local session would have to make one
+    named = s.sparkSession.sparkContext.getCheckpointDir()
+    hot, n, _ = checked_broadcast(stored(hot) if named else hot)
+    return hot if n else None
 
 
 DEFAULT_SPLIT_BUCKETS = 1 << 23
@@ -281,7 +285,8 @@ _BUCKETS_CONF = "chronodim.split.buckets"
 MAX_BUCKET_SHARE = 0.5
 
 
-def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_staged: int | None = None):
+def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_staged: int | None = None,
+           key_bytes: int | None = None):
     """(versions that may be touched, versions surely untouched or None).
 
     1. Staged keys within the broadcast bound: broadcast semi / anti join on the key.
@@ -297,7 +302,7 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_stage
     K = list(spec.key_cols)
     if how == "auto":
         # the staged keys, no distinct: semi / anti joins only test existence
-        keys, _, small = checked_broadcast(s.select(*K), rows=n_staged)
+        keys, _, small = checked_broadcast(s.select(*K), n_staged, key_bytes)
         if small:
             return d.join(keys, K, "left_semi"), d.join(keys, K, "left_anti")
     conf = d.sparkSession.conf.get(_BUCKETS_CONF, None)
@@ -311,6 +316,16 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_stage
             db.join(buckets, "_bucket", "left_anti").drop("_bucket"))
 
 
+def _with_other_columns(dim: DataFrame, staging: DataFrame, spec: DimSpec, more: list[str]):
+    """The load's inputs with the dimension's other columns as staged NULLs."""
+    if not more:
+        return staging, spec
+    none = {c: f"_none_{i}" for i, c in enumerate(more)}
+    staging = staging.select(*spec.staging_cols, *[F.lit(None).cast(dim.schema[c].dataType).alias(n) for c, n in none.items()])
+    columns = None if spec.columns is None else spec.columns + tuple(more)
+    return staging, replace(spec, payload=spec.payload + tuple(none.items()), columns=columns)
+
+
 def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
                split: str = "auto", skew: str = "auto") -> DataFrame:
     """The next state of ``dim`` after loading ``staging`` (both DataFrames).
@@ -318,20 +333,24 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     ``split``: ``auto`` (broadcast split on the staged keys when they are
     proven small, else on their hash buckets; see ``_split``), ``buckets``
     (the bucket split only), ``never`` (the single-shuffle path over the
-    whole dimension).
+    whole dimension).  Columns of ``dim`` that the spec does not name stay with their
+    versions and are NULL in new ones.
     ``skew``: ``auto`` (keys above ``chronodim.skew.hotKeyRows`` rows take the
     hot-key path), ``off``, ``all`` (every touched key takes it; for tests)."""
+    own = spec.dim_cols
+    more = [c for c in dim.columns if c not in own]
+    staging, spec = _with_other_columns(dim, staging, spec, more)
     s = map_columns(staging, spec)
     ok = key_ok(spec.key_cols)
     s_ok, s_null = s.where(ok), s.where(~ok)
     d = dim.select(*spec.dim_cols)
 
-    n_dim = n_staged = None
+    n_dim = n_staged = key_bytes = None
     if split == "auto" or skew == "auto":
-        n_dim, n_staged = row_counts(d, s_ok)
+        n_dim, n_staged, key_bytes = row_counts(d, s_ok, spec.key_cols)
     touched, rest = d, None
     if split in ("auto", "buckets"):
-        touched, rest = _split(d, s_ok, spec, split, n_staged)
+        touched, rest = _split(d, s_ok, spec, split, n_staged, key_bytes)
 
     def dedupe(rows, hot=False):
         return dedupe_batch(rows, spec, hot) if spec.dedupe else rows
@@ -342,15 +361,14 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
         out = _versioned(touched, dedupe(s_ok), spec, batch_ts)
     else:
         from .hotkeys import versioned_hot
-        hk, n_hot = hot
-        P = list(spec.partition_cols)
+        hk, P = hot, list(spec.partition_cols)
         out = _versioned(touched.join(hk, P, "left_anti"), dedupe(s_ok.join(hk, P, "left_anti")), spec, batch_ts)
         heavy = union_rows(touched.join(hk, P, "left_semi"), dedupe(s_ok.join(hk, P, "left_semi"), hot=True),
                            spec, batch_ts)
-        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, n_hot))
+        out = out.unionByName(versioned_hot(heavy, spec, batch_ts))
 
     if spec.null_keys == "insert":
         out = out.unionByName(_null_key_rows(dedupe(s_null, hot=skew == "all"), spec, batch_ts, skew))
     if rest is not None:
         out = out.unionByName(_bookkeeping_types(rest))
-    return out
+    return out.select(*own, *more) if more else out

@@ -37,16 +37,16 @@ def read_staging(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet
     return _read(spark, source, fmt).select(*spec.staging_cols)
 
 
-def read_dim(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet") -> DataFrame:
-    """The full history of the dimension, pruned to the spec's columns.
-    ``source`` may be a snapshot root (the newest committed snapshot is read)."""
+def read_dim(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet", other_columns: bool = False) -> DataFrame:
+    """The full history of the dimension, pruned to the spec's columns; a load that
+    publishes the table again takes its ``other_columns`` along.  ``source`` may be a snapshot root (the newest committed snapshot is read)."""
     if isinstance(source, str) and fmt == "parquet" and snapshots(spark, source):
         df = read_latest(spark, source)
     else:
         df = _read(spark, source, fmt)
     # a snapshot partitioned by the flag reads it back as a directory value
     return df.select(*[F.col(c).cast(_BOOK_TYPES[c]).alias(c) if c in _BOOK_TYPES else F.col(c)
-                       for c in spec.dim_cols])
+                       for c in [*spec.dim_cols, *[c for c in df.columns if other_columns and c not in spec.dim_cols]]])
 
 
 def _fs(spark: SparkSession, path: str):

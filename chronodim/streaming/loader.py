@@ -32,7 +32,7 @@ def load_batch(batch: DataFrame, epoch_id: int, dim_root: str, spec: DimSpec,
         return None
     snap_id = next_id(spark, dim_root)
     ts = batch_ts(epoch_id) if batch_ts else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    nxt = apply_scd2(read_dim(spark, dim_root, spec), batch.select(*spec.staging_cols), spec, ts)
+    nxt = apply_scd2(read_dim(spark, dim_root, spec, other_columns=True), batch.select(*spec.staging_cols), spec, ts)
     record_epoch(spark, dim_root, stream, epoch_id, snap_id)
     return publish(nxt, dim_root, snap_id, partition_by=partition_by)
 

@@ -4,12 +4,12 @@
 
 from __future__ import annotations
 
-from chronodim.plans.queries import DUE_TS, G, LONG_HISTORY
+from chronodim.plans.queries import DUE_TS, G, LONG_HISTORY, ORDER_BATCH
 from chronodim.plans.pipelines import PIPELINES
 from chronodim.spec import DimSpec
 
 from .sql import (_change_test, _order, _parse, _partition, _redate, _rewrite, due_sql, keys_of, next_start_sql,
-                  on, q, steps, upto, with_sql)
+                  on, pipeline_sql, q, steps, upto, with_sql)
 
 
 def _w(g: str, ctes, final: str) -> str:
@@ -111,6 +111,9 @@ def _build() -> dict[str, str]:
                                    f"WHERE ({_test(c1)}) AND d0.lastversion = true")
     batch = f"EXISTS (SELECT 1 FROM s WHERE {on(f1, 'd2')} AND d2.date_from = s.{q(f1.ts)})"
     return {
+        "staging_scan": "SELECT " + ", ".join(ORDER_BATCH.staging_cols) + " FROM orders",
+        "dimension_scan": with_sql(PIPELINES["pipe_merchant"], [], "SELECT * FROM d0"),
+        "bucketed_load": pipeline_sql(PIPELINES["pipe_merchant"]),
         "current_version_scan": _w("fx1", [], "SELECT * FROM d0 WHERE d0.lastversion = true"),
         "insert_new_with_defaults": _w("fx1", _steps("fx1", "d1"), "SELECT * FROM d1"),
         "insert_new_dup_column": _insert_new_dup_column(),

@@ -32,9 +32,9 @@ def test_threshold_routes_some_keys(spark):
     try:
         from chronodim.operators.versions import map_columns
         s = map_columns(stg, p.spec)
-        hk, n = hot_keys(dim, s, p.spec, "auto")
+        hk = hot_keys(dim, s, p.spec, "auto")
         n_hot, n_all = hk.count(), s.select(*p.spec.key_cols).distinct().count()
-        assert 0 < n_hot < n_all and n == n_hot
+        assert 0 < n_hot < n_all
         got = _bag(apply_scd2(dim, stg, p.spec, p.batch_ts))
     finally:
         spark.conf.unset("chronodim.skew.hotKeyRows")
