@@ -81,7 +81,7 @@ def test_real_skew_event_history(spark):
     try:
         from chronodim.operators.versions import map_columns
         s = map_columns(stg, spec)
-        hk, _ = hot_keys(dim, s, spec, "auto")
+        hk = hot_keys(dim, s, spec, "auto")
         assert hk.count() == 5
         got = _bag(apply_scd2(dim, stg, spec))
     finally:

@@ -77,16 +77,26 @@ def _rows(df):
                   key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
 
 
+def _as_key(rows, k):
+    """A case's rows under a key of its own; its NULL keys stay."""
+    return [(r[0] and k, *r[1:]) for r in rows]
+
+
 @pytest.mark.parametrize("runner", list(RUNNERS))
-@pytest.mark.parametrize("case", list(CASES))
 @pytest.mark.parametrize("pattern", ["A", "B"])
-def test_toy(spark, case, pattern, runner):
-    dim_rows, stg_rows, want_a, want_b = CASES[case]
-    want = want_a if pattern == "A" else want_b
-    dim = spark.createDataFrame(dim_rows, DIM_SCHEMA)
-    stg = spark.createDataFrame(stg_rows, STG_SCHEMA)
-    got = _rows(RUNNERS[runner](dim, stg, SPEC_A if pattern == "A" else SPEC_B))
-    assert got == sorted(want, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
+def test_toy(spark, pattern, runner):
+    """All cases in one load, each under its own key (T10 is the one with a NULL key)."""
+    dim, stg, want = [], [], {}
+    for k, (case, (dim_rows, stg_rows, want_a, want_b)) in enumerate(CASES.items(), 1):
+        dim += _as_key(dim_rows, k)
+        stg += _as_key(stg_rows, k)
+        rows = _as_key(want_a if pattern == "A" else want_b, k)
+        want[rows[0][0]] = (case, sorted(rows, key=repr))
+    got = _rows(RUNNERS[runner](spark.createDataFrame(dim, DIM_SCHEMA), spark.createDataFrame(stg, STG_SCHEMA),
+                                SPEC_A if pattern == "A" else SPEC_B))
+    assert {r[0] for r in got} == set(want) and len(want) == len(CASES)
+    for k, (case, rows) in want.items():
+        assert sorted((r for r in got if r[0] == k), key=repr) == rows, case
 
 
 def test_t4_new_key_numbered(spark):
