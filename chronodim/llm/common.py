@@ -67,6 +67,13 @@ def id_crc32(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0).cast("long"))
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of the text followed by a hash of all columns: rows of one digest are equal."""
+    cols = [F.col(c) for c in df.columns]
+    rest = F.xxhash64(*cols, *[c.isNull() for c in cols])
+    return F.unhex(F.concat(F.sha2(whole_text("text").cast("binary"), 256), F.lpad(F.hex(rest), 16, "0")))
+
+
 def hashed_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     """The ``n`` rows with the smallest hashes of ``key``.  Hashes are cut first, so that a
     task gives the driver its share of the sample and not ``n`` whole rows."""

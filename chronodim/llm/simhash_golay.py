@@ -21,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import written
+from .common import row_digest, written
 from .components import components
 
 SHINGLE = 4
@@ -79,17 +79,18 @@ def fingerprints(texts: list[str | None], shingle: int = SHINGLE, seed: int = HA
     return out
 
 
-def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED) -> DataFrame:
-    """doc_id (as long) and the fingerprint as a signed long."""
-    schema = "doc_id long, fp long"
+def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED, digest: Column | None = None) -> DataFrame:
+    """doc_id (as long), the fingerprint as a signed long, and ``digest`` (binary) where it is given."""
+    names = ["doc_id", "fp"] + ([] if digest is None else ["digest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = fingerprints(b.column(1).to_pylist(), shingle, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-               .mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *([] if digest is None else [digest.alias("digest")])) \
+               .mapInArrow(run, "doc_id long, fp long" + ("" if digest is None else ", digest binary"))
 
 
 def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,16 +263,36 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int
     return written(links.unionByName(more).distinct(), "all-links")
 
 
+def component_roots(distinct: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """``distinct`` (one row per ``fp``) with ``root``, one fingerprint of each component."""
+    roots = components(fingerprint_links(distinct, max_bits, bucket_rows))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id that links reach)."""
     d = written(fingerprinted(docs, shingle), "fingerprints")
     distinct = d.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     distinct = written(distinct, "distinct-fingerprints")
-    roots = components(fingerprint_links(distinct, max_bits, bucket_rows))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
+    named = component_roots(distinct, max_bits, bucket_rows)
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = written(named.join(least, "root").select("fp", "component_id"), "components")
     return d.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def survivors(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+              bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``docs`` with one row of each component: smallest doc_id (null last), then row digest.
+
+    Rows are told apart by their digest and not by the id, so ids may be null or repeated."""
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    distinct = fingerprinted(docs, shingle, digest=row_digest(docs)).groupBy("fp").agg(F.min(order).alias("first"))
+    distinct = written(distinct, "distinct-fingerprints")
+    keep = component_roots(distinct, max_bits, bucket_rows).groupBy("root").agg(F.min("first").alias("first")) \
+        .select("first.doc_id", "first.digest").alias("k")
+    d = docs.withColumn("_digest", row_digest(docs)).alias("d")
+    d = d.join(keep, F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col("d._digest") == F.col("k.digest")),
+               "left_semi")
+    return d.dropDuplicates(["doc_id", "_digest"]).drop("_digest")

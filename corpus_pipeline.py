@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chronodim.llm import line_rules, mixing, packing, secret_links, simhash_golay
 from chronodim.llm.common import table, written
@@ -22,14 +21,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays; of rows that repeat that id,
-    one; rows without an id stay only where their whole group has none (one row)."""
+    """The document with the smallest id of each group stays (rows without an id come last); of
+    rows that repeat that id in the group, the one with the smallest digest."""
     on_workers(spark)
-    groups = simhash_golay.near_duplicates(docs)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-                 .groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint")).alias("k")
-    return docs.alias("d").join(keep, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi") \
-               .dropDuplicates(["doc_id"])
+    return simhash_golay.survivors(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

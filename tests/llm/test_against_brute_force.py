@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 import __spark_entry__ as entry
+import corpus_pipeline
 from chronodim.llm import (components, cutting_stock, golay, line_rules, mixing, norm_topk, packing, queries, secret_links,
                            sharding, simhash_golay, tokens, toxic_crf, warc_zstd)
 from chronodim.llm.common import id_crc32, table
@@ -280,3 +281,22 @@ def test_clusters_of_fingerprints(spark, bucket_rows):
     pairs = set(zip(roots, mine))
     assert len(pairs) == len(set(roots)) == len(set(mine))
     assert links.count() <= 60 * len(fps)
+
+
+def test_near_duplicates_stage_keeps_one_row_of_each_group(spark):
+    """Null and repeated ids with different texts, against all pairs."""
+    rng = random.Random(11)
+    vocabulary = [f"word{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(200)) for _ in range(12)]
+    texts += [t + " tail" for t in texts[:4]] + [None, "", "short text"]
+    rows = [(rng.choice([None, None, 1, 2, 3, 40, 41]), rng.choice(texts), "en", rng.choice(["a", "b", None]), i)
+            for i in range(70)]
+    rows += [(None, t, "en", "a", 0) for t in texts[8:12]] * 2 + [(7, texts[0], "en", "a", 0), (7, texts[1], "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    roots = plain_components([plain_fingerprint(t or "") for _, t, *_ in rows])
+    group = {(i, t, s, n): r for (i, t, _, s, n), r in zip(rows, roots)}
+    assert sorted(group[i, t, s, n] for i, t, _, s, n in got) == sorted(set(roots))
+    for i, t, _, s, n in got:
+        ids = [x[0] for x, r in zip(rows, roots) if r == group[i, t, s, n]]
+        assert i == min((x for x in ids if x is not None), default=None)
