@@ -5,7 +5,8 @@ long hex strings.  Besides, a text is searched for weak parts that are common in
 text by themselves: bare high-entropy tokens, names of users or clients, and endpoints.
 A credential is useless without its other parts, so a weak part is reported only where a
 complementary part (secret for identifier, identifier or secret for endpoint) lies in the same
-scope: a block of lines without a blank line between, and at most ``REACH`` code points away.
+scope: a block of lines without a blank line between, however long.  Parts have no upper length;
+of a weak part that overlaps base findings, what lies outside them is reported.
 Parts are intervals of one text, so the interval join runs inside the row: complements are
 sorted by position and looked up by bisection; nothing is shuffled.
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REACH = 300
+REACH = math.inf            # code points between linked parts: the whole block
 MASK = "[REDACTED]"
 ENTROPY = 3.5               # bits per character of a bare token
 
@@ -39,9 +40,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex")
 
 #: Weak parts.
-BARE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/=_-])")
-IDENTIFIER = re.compile(r"""\b(?:user(?:_?name|_?id)?|login|client_?id|account(?:_?id)?|access_?key_?id)["']?\x20?[:=]\x20?["']?([A-Za-z0-9@._-]{3,64})""", re.I | re.A)
-ENDPOINT = re.compile(r"\b(?:https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>|]{4,200}", re.A)
+BARE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/=_-])")
+IDENTIFIER = re.compile(r"""\b(?:user(?:_?name|_?id)?|login|client_?id|account(?:_?id)?|access_?key_?id)["']?\x20?[:=]\x20?["']?([A-Za-z0-9@._-]{3,})""", re.I | re.A)
+ENDPOINT = re.compile(r"\b(?:https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>|]{4,}", re.A)
 #: What completes a weak part.
 COMPLEMENT = {"weak_secret": ("identifier",), "weak_id": ("secret",), "endpoint": ("identifier", "secret")}
 
@@ -90,21 +91,41 @@ class Intervals:
         return any(e >= max(low, 0) and (s, e) != but for e, s in self.furthest[at])
 
 
-def linked_spans(text: str, base: list[tuple[str, int, int]], reach: int = REACH) -> list[tuple[str, int, int]]:
-    """Weak parts with a complementary part in their scope; none of them overlaps a base span."""
+def outside(spans: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[list[tuple[str, int, int]]]:
+    """For each span, the pieces of it that lie outside all base spans."""
+    taken: list[list[int]] = []             # unions of overlapping base spans
+    for _, s, e in sorted(base, key=lambda x: x[1:]):
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    ends = [e for _, e in taken]
+    out = []
+    for kind, s, e in spans:
+        pieces, at = [], bisect_right(ends, s)
+        while at < len(taken) and taken[at][0] < e:
+            if s < taken[at][0]:
+                pieces.append((kind, s, taken[at][0]))
+            s = taken[at][1]
+            at += 1
+        out.append(pieces + [(kind, s, e)] if s < e else pieces)
+    return out
+
+
+def linked_spans(text: str, base: list[tuple[str, int, int]], reach: float = REACH) -> list[tuple[str, int, int]]:
+    """Weak parts with a complementary part in their scope; what overlaps base spans is left out."""
     weak = []
     if "://" in text:
         weak += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
     weak += [("weak_id", m.start(1), m.end(1)) for m in IDENTIFIER.finditer(text)]
     weak += [("weak_secret", m.start(), m.end()) for m in BARE.finditer(text)
              if re.search(r"[0-9]", m[0]) and re.search(r"[A-Za-z]", m[0]) and entropy(m[0]) >= ENTROPY]
-    if not weak:
+    left = {x: pieces for x, pieces in zip(weak, outside(weak, base)) if pieces}
+    if not left:
         return []
-    taken = Intervals([(0, s, e) for _, s, e in base])
-    weak = [x for x in weak if not taken.meets(0, x[1] + 1, x[2] - 1)]
     scope = _scope_of(text)
     parts: dict[str, list[tuple[int, int, int]]] = {"identifier": [], "secret": []}
-    for kind, s, e in [*base, *weak]:
+    for kind, s, e in [*base, *left]:
         role = {"access": "identifier", "weak_id": "identifier", "endpoint": None}.get(kind, "secret")
         if role:
             parts[role].append((scope(s), s, e))
@@ -114,7 +135,7 @@ def linked_spans(text: str, base: list[tuple[str, int, int]], reach: int = REACH
         block = scope(s)
         return any(places[role].meets(block, s - reach, e + reach, (s, e)) for role in COMPLEMENT[kind])
 
-    return [x for x in weak if completed(*x)]
+    return [piece for x, pieces in left.items() if completed(*x) for piece in pieces]
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:

@@ -300,3 +300,33 @@ def test_near_duplicates_stage_keeps_one_row_of_each_group(spark):
     for i, t, _, s, n in got:
         ids = [x[0] for x, r in zip(rows, roots) if r == group[i, t, s, n]]
         assert i == min((x for x in ids if x is not None), default=None)
+
+
+def test_secrets_of_any_length_and_distance():
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    long = "x7" + "".join(rng.choice(letters) for _ in range(600))
+    assert f"weak_secret:12:{12 + len(long)}" in secret_links.scan("user: alice " + long)[4]
+    url = "https://host.example.org/" + "p" * 300
+    signed = url + "?sig=" + "0123456789abcdef" * 4 + "&until=tomorrow"
+
+    def masked(text):
+        base = secret_links.base_spans(text)
+        return secret_links.mask(text, [x[1:] for x in base + secret_links.linked_spans(text, base)])
+
+    assert masked(f"user: alice at {url} end") == "user: alice at [REDACTED] end"
+    assert masked(f"at {signed} end").replace("[REDACTED]", "") == "at  end"
+    assert masked(f"login={'n.' * 50} password=hunter2abc") == "login=[REDACTED] [REDACTED]"
+    assert masked(f"login={'n.' * 40}{'0a' * 16} password=hunter2abc").replace("[REDACTED]", "") == "login= "
+    far = "user: alice " + "some words\n" * 500 + long
+    assert masked(far) == far.replace("alice", "[REDACTED]").replace(long, "[REDACTED]")
+    assert masked(far.replace("words\nsome", "words\n\nsome", 1)).endswith(long)
+
+
+def test_pieces_outside_base_spans_against_brute_force():
+    rng = random.Random(6)
+    for _ in range(300):
+        base, weak = ([("x", s, s + rng.randrange(1, 9)) for s in (rng.randrange(40) for _ in range(rng.randrange(6)))] for _ in "ab")
+        taken = {i for _, s, e in base for i in range(s, e)}
+        for (_, s, e), pieces in zip(weak, secret_links.outside(weak, base)):
+            assert [i for _, a, b in pieces for i in range(a, b)] == [i for i in range(s, e) if i not in taken]
