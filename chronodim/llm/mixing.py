@@ -9,7 +9,7 @@ first, then the documents up to the budget, the last one in part.
 
 Defined cases: null or empty texts have size 0 and are never taken; a null source is a
 source of its own, ordered last; rows with the same id share a key and are ordered by
-size, equal rows may stand for each other; an empty table gives no rows; columns of the
+size (``mixed_documents``: then by row digest), rows equal in all columns may stand for each other; an empty table gives no rows; columns of the
 input that clash with computed names are not read (``doc_id``, ``text``, ``source`` are
 selected first).
 """
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, whole_text, words, written
+from .common import WORD, row_digest, whole_text, words, written
 
 SEED = "mix-1"
 SLICE_DIGITS = 3            # 4096 ranges of the random order per source
@@ -34,14 +34,15 @@ def random_key(doc_id: Column, seed: str = SEED) -> Column:
                  .cast("binary"))
 
 
-def sized(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source as (no_source, src), size in words, random key and its range."""
+def sized(docs: DataFrame, seed: str = SEED, digest: Column | None = None) -> DataFrame:
+    """doc_id, source as (no_source, src), size in words, random key and its range, and
+    ``digest`` where it is given."""
     key = random_key(F.col("doc_id"), seed)
     return docs.select(
         "doc_id", F.col("source").isNull().alias("no_source"),
         F.coalesce("source", F.lit("")).alias("src"),
         F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long").alias("size"),
-        key.alias("key")).withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
+        key.alias("key"), *([] if digest is None else [digest.alias("digest")])).withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
 
 
 def ranked_weights(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
@@ -79,10 +80,12 @@ def targets(sources: DataFrame, share: float = SHARE, limit: float = LIMIT) -> D
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT,
-        seed: str = SEED) -> DataFrame:
+        seed: str = SEED, digest: Column | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, epochs: words of each document in
-    the mix; ``epochs`` whole copies and ``taken - epochs * size`` words of one more."""
-    docs = written(sized(docs, seed), "mix-sizes")
+    the mix; ``epochs`` whole copies and ``taken - epochs * size`` words of one more.  A
+    ``digest`` of the row orders rows of one id and size, and is returned."""
+    more = [] if digest is None else ["digest"]
+    docs = written(sized(docs, seed, digest), "mix-sizes")
     src = ["no_source", "src"]
     ranges = written(docs.groupBy(*src, "slice").agg(F.sum("size").alias("in_range")), "mix-ranges")
     plan = targets(ranked_weights(ranges.groupBy(*src).agg(F.sum("in_range").alias("source_size")),
@@ -95,36 +98,45 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = L
     earlier = Window.partitionBy(*src).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("range_start", F.coalesce(F.sum("in_range").over(earlier), F.lit(0).cast("long")))
     ranges = ranges.join(plan, src).drop("in_range")
-    inside = Window.partitionBy(*src, "slice").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*src, "slice").orderBy("key", "size", *more).rowsBetween(Window.unboundedPreceding, 0)
     out = docs.join(ranges, [*src, "slice"]).withColumn("end", F.col("range_start") + F.sum("size").over(inside))
     part = F.greatest(F.lit(0).cast("long"),
                       F.least(F.col("size"), F.col("rest") - (F.col("end") - F.col("size"))))
     return out.select("doc_id", F.when(~F.col("no_source"), F.col("src")).alias("source"), "size",
-                      "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), "epochs")
+                      "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), "epochs", *more)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: one row per whole copy, and for the
     document at the cut a row with its first words (white space kept, ``n_chars`` set).
 
-    Rows that share an id share its copies: they must be equal or have different sizes.
+    Each row gets its own copies, by its digest.  Rows equal in all columns are gathered in
+    one, which gets the copies of all of them.
     """
-    taken = (mix(docs, **options).where(F.col("taken") > 0)
-             .groupBy("doc_id", "source", "size").agg(F.max("epochs").alias("mix_epochs"),
-                                                       F.max("taken").alias("mix_taken"),
-                                                       F.sum("taken").alias("mix_sum"),
-                                                       F.count(F.lit(1)).alias("mix_rows")))
+    one = ["doc_id", "source", "digest"]
+    taken = written(mix(docs, digest=row_digest(docs), **options)
+                    .groupBy(*one).agg(F.sum("taken").alias("mix_taken"), F.count(F.lit(1)).alias("mix_rows"))
+                    .where(F.col("mix_taken") > 0), "mix-taken")
     names = docs.columns
-    d = docs.withColumn("mix_size", F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long")).alias("d")
-    t = taken.alias("t")
-    d = d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
-               & (F.col("d.mix_size") == F.col("t.size")))
-    part = F.col("mix_taken") - F.col("mix_epochs") * F.col("mix_size")
+    d = docs.withColumn("mix_size", F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long")) \
+            .withColumn("mix_digest", row_digest(docs)).alias("d")
+
+    def joined(taken: DataFrame) -> DataFrame:
+        t = taken.alias("t")
+        return d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+                      & (F.col("d.mix_digest") == F.col("t.digest"))) \
+                .select(*[F.col(f"d.{c}").alias(c) for c in names], "mix_size", "mix_digest", "mix_taken")
+
+    repeated = taken.where("mix_rows > 1")
+    if not repeated.isEmpty():
+        d = joined(taken.where("mix_rows = 1")).unionByName(joined(repeated).dropDuplicates(["doc_id", "source", "mix_digest"]))
+    else:
+        d = joined(taken)
+    whole, part = F.expr("mix_taken div mix_size"), F.col("mix_taken") % F.col("mix_size")
     # lengths of the copies: whole ones, then the part (if any)
-    copies = F.concat(F.array_repeat(F.col("mix_size"), F.col("mix_epochs").cast("int")),
+    copies = F.concat(F.array_repeat(F.col("mix_size"), whole.cast("int")),
                       F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
-    d = d.select(*[F.col(f"d.{c}").alias(c) for c in names], F.col("d.mix_size").alias("mix_size"),
-                 F.explode(copies).alias("mix_words"))
+    d = d.select(*names, "mix_size", F.explode(copies).alias("mix_words"))
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WS_AND_WORD), F.lit(0)), F.lit(1),
                                F.col("mix_words").cast("int")), "")
     text = F.when(F.col("mix_words") < F.col("mix_size"), cut).otherwise(F.col("text"))

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from chronodim.llm import (components, cutting_stock, golay, line_rules, mixing, norm_topk, packing, queries, secret_links,
                            sharding, simhash_golay, tokens, toxic_crf, warc_zstd)
-from chronodim.llm.common import id_crc32, table
+from chronodim.llm.common import id_crc32, row_digest, table
 from pyspark.sql import functions as F
 from tools.compare import compare
 
@@ -330,3 +330,28 @@ def test_pieces_outside_base_spans_against_brute_force():
         taken = {i for _, s, e in base for i in range(s, e)}
         for (_, s, e), pieces in zip(weak, secret_links.outside(weak, base)):
             assert [i for _, a, b in pieces for i in range(a, b)] == [i for i in range(s, e) if i not in taken]
+
+
+def test_mixed_documents_with_repeated_ids_keep_the_budget(spark):
+    """Null and repeated ids, equal sizes, texts told apart by their words, rows equal in all columns."""
+    rng = random.Random(8)
+    texts = [" ".join(f"t{k}w{i}" for i in range(rng.choice([5, 5, 5, 8]))) for k in range(40)]
+    rows = [(rng.choice([None, 1, 2]), rng.choice(texts), rng.choice(["a", "b", None]), 0) for _ in range(120)]
+    docs = spark.createDataFrame(rows + rows[:30], "doc_id long, text string, source string, n_chars long")
+    plan = mixing.mix(docs, digest=row_digest(docs))
+    plan = [r.asDict() for r in plan.join(docs.withColumn("digest", row_digest(docs)).select("digest", "text").distinct(), "digest").collect()]
+    want, budget, given = {}, {}, {}
+    for r in plan:
+        key = r["doc_id"], r["source"], r["text"].split()[0]
+        want[key] = want.get(key, 0) + r["taken"]
+        budget[r["source"]] = int(r["target"])
+    got = {}
+    for r in mixing.mixed_documents(docs).collect():
+        w = r["text"].split()
+        full = next(t for t in texts if t.startswith(w[0] + " "))
+        assert full.startswith(r["text"])
+        got.setdefault((r["doc_id"], r["source"], w[0]), []).append(len(w))
+        given[r["source"]] = given.get(r["source"], 0) + len(w)
+    assert {k: sum(n) for k, n in got.items()} == {k: n for k, n in want.items() if n}
+    assert given == budget
+    assert sum(n < 8 and n != 5 for x in got.values() for n in x) <= len(budget)        # one cut a source
