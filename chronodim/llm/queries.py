@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (line_rules, mixing, norm_topk, packing, periodic_runs, quality_rqda, secret_links, sharding, simhash_golay,
-               toxic_crf, warc_zstd)
+from . import (line_rules, mixing, multiset_hash, norm_topk, packing, periodic_runs, quality_rqda, secret_links, sharding,
+               simhash_golay, toxic_crf, warc_zstd)
 from .common import id_crc32, table
 
 SHARDS = 24
@@ -85,6 +85,10 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_documents(spark, sf_dir))
 
 
+def op12_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.edited_report(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", periodic_runs.planted().alias("text"))
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
@@ -98,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rqda, op2_minimax_shards, op3_secret_links, op4_cutting_stock, op5_warc_zstd, op6_toxic_crf,
     op7_source_mix, op8_line_rules, op9_norm_topk, op10_golay_simhash,
-    op13_periodic_runs, pipeline)}
+    op12_multiset_hash, op13_periodic_runs, pipeline)}
 
 _WARC_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
