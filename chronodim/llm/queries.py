@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (line_rules, mixing, multiset_hash, norm_topk, packing, periodic_runs, quality_rqda, secret_links, sharding,
-               simhash_golay, toxic_crf, warc_zstd)
+from . import (lexical_tree, line_rules, mixing, multiset_hash, norm_topk, packing, periodic_runs, quality_rqda, secret_links,
+               sharding, simhash_golay, toxic_crf, warc_zstd)
 from .common import id_crc32, table
 
 SHARDS = 24
@@ -85,6 +85,10 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(_documents(spark, sf_dir))
 
 
+def op11_lexical_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_tree.ranked(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op12_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_report(table(spark, sf_dir, "documents"))
 
@@ -102,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rqda, op2_minimax_shards, op3_secret_links, op4_cutting_stock, op5_warc_zstd, op6_toxic_crf,
     op7_source_mix, op8_line_rules, op9_norm_topk, op10_golay_simhash,
-    op12_multiset_hash, op13_periodic_runs, pipeline)}
+    op11_lexical_tree, op12_multiset_hash, op13_periodic_runs, pipeline)}
 
 _WARC_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
@@ -169,4 +173,24 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= {norm_topk.K}"""
 
-ORACLE_SQL = {"op5_warc_zstd": _WARC_SQL, "op7_source_mix": _MIX_SQL, "op8_line_rules": _RULES_SQL, "op9_norm_topk": _TOPK_SQL}
+_LEXICAL_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+n AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d),
+i AS (SELECT item_no, item_id, unnest(list_distinct(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))) AS term
+      FROM (SELECT *, row_number() OVER () AS item_no FROM benchmark)),
+f AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM d)
+      WHERE term IN (SELECT term FROM i) GROUP BY rid, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, n GROUP BY term, n_docs),
+m AS (SELECT rid, doc_id, 100 - 90 + (90 * len(t)::BIGINT * n_docs) // n_terms AS m FROM d, n WHERE len(t) > 0),
+s AS (SELECT item_no, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY item_no, item_id, rid, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM s WHERE score > 0)
+WHERE rank <= 10"""
+
+ORACLE_SQL = {"op5_warc_zstd": _WARC_SQL, "op7_source_mix": _MIX_SQL, "op8_line_rules": _RULES_SQL, "op9_norm_topk": _TOPK_SQL,
+              "op11_lexical_tree": _LEXICAL_SQL}
