@@ -253,14 +253,19 @@ def run_pipeline(spark: SparkSession, sf_dir: str, name: str, split: str = "auto
     return apply_scd2(read_dim(spark, dim, p.spec), read_staging(spark, stg, p.spec), p.spec, p.batch_ts, split=split)
 
 
-def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 64) -> DataFrame:
-    """The same load on a bucketed table in the shared folder: only touched buckets are read and written."""
+def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 512) -> DataFrame:
+    """The same load on a bucketed table in the shared folder (removed when the session ends):
+    only touched buckets are read and written."""
     import uuid
     from ..operators.ordered import shared_root
     from ..sources.buckets import create_table, load_table, read_table
     p = PIPELINES[name]
     dim, stg = p.frames(spark, sf_dir)
     root = f"{shared_root(spark)}/bucketed-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
     create_table(dim, root, p.spec.partition_cols, n_buckets)
     load_table(spark, root, stg, p.spec, p.batch_ts)
     return read_table(spark, root)

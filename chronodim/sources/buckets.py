@@ -3,7 +3,8 @@
 A bucketed table is a root folder with
 
 * ``data=<id>/_bucket=<b>/``: the rows of some key-hash buckets, written by one load;
-* ``manifest=<id>.json``: for every bucket the id of the data folder that holds it.
+* ``manifest=<id>.json``: for every bucket the id of the data folder that holds it, and the
+  stream batches that the state holds (``origins.py``).
 
 The bucket of a row is ``pmod(xxhash64(by), buckets)`` with ``by`` within the columns that
 number versions, so a numbering group is never divided.  A load collects the touched buckets
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import DimSpec
-from .io import _fs, read_staging
+from .io import _fs, create_text, read_staging, read_text
+from .origins import Origin, with_origin
 
 DEFAULT_BUCKETS = 4096
 _BUCKET = "_bucket"
@@ -51,12 +53,7 @@ def data_path(root: str, table_id: int) -> str:
 
 
 def _read_manifest(spark: SparkSession, root: str, table_id: int) -> dict | None:
-    fs, p = _fs(spark, manifest_path(root, table_id))
-    stream = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    text = read_text(spark, manifest_path(root, table_id)) or ""
     try:
         return json.loads(text) | {"id": table_id}
     except ValueError:
@@ -72,12 +69,7 @@ def latest_manifest(spark: SparkSession, root: str) -> dict | None:
 
 
 def _commit(spark: SparkSession, root: str, table_id: int, manifest: dict) -> None:
-    fs, p = _fs(spark, manifest_path(root, table_id))
-    out = fs.create(p, False)                       # fails where another load has committed this id
-    try:
-        out.write(bytearray(json.dumps(manifest).encode()))
-    finally:
-        out.close()
+    create_text(spark, manifest_path(root, table_id), json.dumps(manifest))     # fails where another load has this id
 
 
 def _bucket(types: dict[str, T.DataType], cols: dict[str, str], n: int) -> Column:
@@ -118,9 +110,11 @@ def read_table(spark: SparkSession, root: str, buckets=None, manifest: dict | No
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def load_table(spark: SparkSession, root: str, staging, spec: DimSpec, batch_ts=None, fmt: str = "parquet") -> int:
+def load_table(spark: SparkSession, root: str, staging, spec: DimSpec, batch_ts=None, fmt: str = "parquet",
+               origin: Origin | None = None) -> int:
     """One load of a bucketed table; returns the id of its state afterwards (the same one
-    where the batch is empty).  Columns that the spec does not name stay."""
+    where the batch is empty).  Columns that the spec does not name stay.  ``origin``: the stream
+    and epoch of the batch, committed with it."""
     from ..plans.scd2 import apply_scd2
     m = latest_manifest(spark, root)
     if m is None:
@@ -140,5 +134,6 @@ def load_table(spark: SparkSession, root: str, staging, spec: DimSpec, batch_ts=
     table_id = max(_ids(spark, root), default=0) + 1
     found = _write(nxt, root, table_id, _bucket(types, {c: c for c in m["by"]}, m["buckets"]))
     data = m["data"] | {str(b): table_id for b in found}
-    _commit(spark, root, table_id, {k: m[k] for k in ("buckets", "by", "schema")} | {"data": data})
+    loaded = with_origin(m.get("loaded", {}), origin)
+    _commit(spark, root, table_id, {k: m[k] for k in ("buckets", "by", "schema")} | {"data": data, "loaded": loaded})
     return table_id

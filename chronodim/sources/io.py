@@ -5,22 +5,27 @@ Parquet scan prunes columns.  S6 replaces ``BEGIN … COMMIT``: each load writes
 one new snapshot directory under the dimension's root; the write job's commit
 protocol drops ``_SUCCESS`` last, and readers only ever pick the newest
 snapshot that has it.  A crashed or half-written load is therefore invisible,
-and the previous snapshot stays the table.  All listing goes through the
+and the previous snapshot stays the table.  A snapshot's folder begins with the record of
+the stream batches that it holds (``origins.py``), so that a batch and the note of it
+are committed by the same ``_SUCCESS``.  All listing goes through the
 Hadoop FileSystem of the path, so the same code runs on HDFS / object stores.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
+from .origins import Loaded, Origin, with_origin
 
 _BOOK_TYPES = {VERSION: "int", CURRENT: "boolean", DATE_FROM: "timestamp_ntz", DATE_TO: "timestamp_ntz"}
 
 SNAPSHOT = "snapshot="
+RECORD = "_loaded.json"
 _SNAP_RE = re.compile(r"^snapshot=(\d+)$")
 
 
@@ -55,6 +60,28 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; an error where there is one already."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def snapshots(spark: SparkSession, root: str) -> list[int]:
     """Committed snapshot ids under ``root`` (directories holding ``_SUCCESS``)."""
     fs, p = _fs(spark, root)
@@ -82,40 +109,44 @@ def next_id(spark: SparkSession, root: str) -> int:
     return (ids[-1] + 1) if ids else 1
 
 
-def _epoch_name(stream: str, epoch: int) -> str:
-    return f"_stream-{stream}-{epoch:012d}-"
-
-
-def record_epoch(spark: SparkSession, root: str, stream: str, epoch: int, snap_id: int) -> None:
-    """Note, before the snapshot is written, that it holds this epoch of this stream."""
-    fs, p = _fs(spark, root)
-    fs.create(p.suffix(f"/{_epoch_name(stream, epoch)}{snap_id:012d}"), True).close()
+def snapshot_path(root: str, snap_id: int) -> str:
+    return f"{root.rstrip('/')}/{SNAPSHOT}{snap_id:012d}"
 
 
-def epoch_snapshots(spark: SparkSession, root: str, stream: str, epoch: int) -> list[int]:
-    """Snapshots noted for an epoch of a stream; it is loaded if one of them is committed."""
-    fs, p = _fs(spark, root)
-    name = _epoch_name(stream, epoch)
-    return [int(f[len(name):]) for st in (fs.listStatus(p) if fs.exists(p) else ())
-            if (f := st.getPath().getName()).startswith(name)]
+def claim(spark: SparkSession, root: str, snap_id: int, loaded: Loaded) -> str:
+    """Begin a snapshot with the record of the stream batches that it will hold; return its path.
+    An id that another load has begun gives an error."""
+    path = snapshot_path(root, snap_id)
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(f"{path} is there already")
+    create_text(spark, f"{path}/{RECORD}", json.dumps(loaded))
+    return path
 
 
-def snapshot_path(root: str, snap_id: int) -> str:
-    return f"{root.rstrip('/')}/{SNAPSHOT}{snap_id:012d}"
+def loaded_batches(spark: SparkSession, root: str) -> Loaded:
+    """The stream batches in the newest committed snapshot.  Snapshots that another writer made
+    hold no record; the one before them counts."""
+    for snap_id in reversed(snapshots(spark, root)):
+        text = read_text(spark, f"{snapshot_path(root, snap_id)}/{RECORD}")
+        if text is not None:
+            return json.loads(text)
+    return {}
 
 
 def publish(df: DataFrame, root: str, snap_id: int | None = None,
-            partition_by=None) -> str:
+            partition_by=None, origin: Origin | None = None) -> str:
     """Write ``df`` as the next snapshot of ``root``; return its path.
 
     The id defaults to one past every id present (committed or not), so a
     retried load never writes into a half-written directory.  ``partition_by``
-    (e.g. ``["lastversion"]``) lets current-version scans prune files."""
+    (e.g. ``["lastversion"]``) lets current-version scans prune files.  ``origin``: the
+    stream and epoch of the batch, which the snapshot then holds beside the batches before it."""
     spark = df.sparkSession
     if snap_id is None:
         snap_id = next_id(spark, root)
-    path = snapshot_path(root, snap_id)
-    writer = df.write.mode("errorifexists")
+    path = claim(spark, root, snap_id, with_origin(loaded_batches(spark, root), origin))
+    writer = df.write.mode("append")                    # into the folder that holds the record
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

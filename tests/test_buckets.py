@@ -100,3 +100,14 @@ def test_broadcast_bound_counts_real_bytes(spark):
         assert checked_broadcast(spark.range(100).select(F.struct(F.repeat(F.lit("x"), 1000).alias("s")).alias("k")))[2] is False
     finally:
         spark.conf.unset("chronodim.broadcast.maxBytes")
+
+
+def test_registered_load_leaves_buckets_untouched(spark, tmp_path):
+    """The batch of the query bucketed_load touches some of its buckets only."""
+    p = PIPELINES["pipe_merchant"]
+    dim, stg = p.frames(spark, SF_SMALL)
+    root = str(tmp_path / "t")
+    first = create_table(dim, root, p.spec.partition_cols, 512)
+    second = load_table(spark, root, stg, p.spec, p.batch_ts)
+    held = list(latest_manifest(spark, root)["data"].values())
+    assert first in held and second in held
