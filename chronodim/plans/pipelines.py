@@ -253,7 +253,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, name: str, split: str = "auto
     return apply_scd2(read_dim(spark, dim, p.spec), read_staging(spark, stg, p.spec), p.spec, p.batch_ts, split=split)
 
 
-def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 512) -> DataFrame:
+def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 256) -> DataFrame:
     """The same load on a bucketed table in the shared folder (removed when the session ends):
     only touched buckets are read and written."""
     import uuid

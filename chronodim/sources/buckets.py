@@ -2,7 +2,7 @@
 
 A bucketed table is a root folder with
 
-* ``data=<id>/_bucket=<b>/``: the rows of some key-hash buckets, written by one load;
+* ``_load=<id>/_bucket=<b>/``: the rows of some key-hash buckets, written by one load;
 * ``manifest=<id>.json``: for every bucket the id of the data folder that holds it, and the
   stream batches that the state holds (``origins.py``).
 
@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,8 @@ from .origins import Origin, with_origin
 
 DEFAULT_BUCKETS = 4096
 _BUCKET = "_bucket"
-_ENTRY = re.compile(r"^(data|manifest)=(\d+)(?:\.json)?$")
+_LOAD = "_load"
+_ENTRY = re.compile(r"^(_load|manifest)=(\d+)(?:\.json)?$")
 
 
 def _ids(spark: SparkSession, root: str, kind: str | None = None) -> list[int]:
@@ -49,7 +52,7 @@ def manifest_path(root: str, table_id: int) -> str:
 
 
 def data_path(root: str, table_id: int) -> str:
-    return f"{root.rstrip('/')}/data={table_id:012d}"
+    return f"{root.rstrip('/')}/{_LOAD}={table_id:012d}"
 
 
 def _read_manifest(spark: SparkSession, root: str, table_id: int) -> dict | None:
@@ -91,6 +94,8 @@ def _write(df: DataFrame, root: str, table_id: int, bucket: Column) -> list[int]
 def create_table(df: DataFrame, root: str, by, n_buckets: int = DEFAULT_BUCKETS) -> int:
     """Write ``df`` as a bucketed table by the columns ``by``; return its id."""
     spark = df.sparkSession
+    if taken := {_LOAD, _BUCKET} & {c.lower() for c in df.columns}:
+        raise ValueError(f"column names of bucketed tables: {sorted(taken)}")
     table_id = max(_ids(spark, root), default=0) + 1
     types = {f.name: f.dataType for f in df.schema.fields}
     found = _write(df, root, table_id, _bucket(types, {c: c for c in by}, n_buckets))
@@ -105,9 +110,17 @@ def read_table(spark: SparkSession, root: str, buckets=None, manifest: dict | No
     if m is None:
         raise FileNotFoundError(f"no committed manifest under {root}")
     schema = T.StructType.fromJson(json.loads(m["schema"]))
-    wanted = m["data"] if buckets is None else {b: m["data"][b] for b in map(str, buckets) if b in m["data"]}
-    paths = [f"{data_path(root, i)}/{_BUCKET}={b}" for b, i in wanted.items()]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    by_load: dict[int, list[int]] = {}
+    for b in m["data"] if buckets is None else (b for b in map(str, buckets) if b in m["data"]):
+        by_load.setdefault(m["data"][b], []).append(int(b))
+    if not by_load:
+        return spark.createDataFrame([], schema)
+    # one scan over the folders in use; the filter is on folder names, so other buckets aren't opened
+    folders = [T.StructField(_LOAD, T.LongType()), T.StructField(_BUCKET, T.IntegerType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *folders])).option("basePath", root) \
+                .parquet(*[data_path(root, i) for i in sorted(by_load)])
+    held = reduce(or_, [(F.col(_LOAD) == i) & F.col(_BUCKET).isin(b) for i, b in by_load.items()])
+    return rows.where(held).drop(_LOAD, _BUCKET)
 
 
 def load_table(spark: SparkSession, root: str, staging, spec: DimSpec, batch_ts=None, fmt: str = "parquet",

@@ -107,7 +107,7 @@ def test_registered_load_leaves_buckets_untouched(spark, tmp_path):
     p = PIPELINES["pipe_merchant"]
     dim, stg = p.frames(spark, SF_SMALL)
     root = str(tmp_path / "t")
-    first = create_table(dim, root, p.spec.partition_cols, 512)
+    first = create_table(dim, root, p.spec.partition_cols, 256)
     second = load_table(spark, root, stg, p.spec, p.batch_ts)
     held = list(latest_manifest(spark, root)["data"].values())
     assert first in held and second in held
