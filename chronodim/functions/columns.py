@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from ..spec import OPEN_END
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name (dots and backticks are part of it)."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def open_end() -> Column:
     """The open-end sentinel as TIMESTAMP_NTZ (the parquet timestamps load as NTZ)."""
     return F.lit(OPEN_END).cast("timestamp_ntz")

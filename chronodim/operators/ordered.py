@@ -48,6 +48,12 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def can_store(spark: SparkSession) -> bool:
+    """Whether there is a shared folder to store rows in (a local session makes one)."""
+    sc = spark.sparkContext
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()) or sc.master.startswith("local")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` checkpointed to the shared folder, so that every later branch reads the same rows."""
     spark = df.sparkSession

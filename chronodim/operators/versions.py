@@ -7,10 +7,11 @@ to dimension column names with ``map_columns`` (its change timestamp becomes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import changed, open_end, ts_literal
+from ..functions.columns import changed, named, open_end, ts_literal
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
 TS = "_ts"          # staged change timestamp after map_columns
@@ -20,8 +21,24 @@ CUR = "cur_"        # prefix of columns taken from the current version
 def map_columns(s: DataFrame, spec: DimSpec) -> DataFrame:
     """Staging → dimension names (one source column may feed several
     targets); carry columns hold the value a new key starts with."""
-    cols = [F.col(src).alias(dst) for dst, src in spec.keys + spec.tracked + spec.payload + spec.carry]
-    return s.select(*cols, F.col(spec.ts).cast("timestamp_ntz").alias(TS))
+    cols = [named(src).alias(dst) for dst, src in spec.keys + spec.tracked + spec.payload + spec.carry]
+    return s.select(*cols, named(spec.ts).cast("timestamp_ntz").alias(TS))
+
+
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
+def staged_order(rows: DataFrame, spec: DimSpec, first: tuple[Column, ...] = (), last: tuple[str, ...] = ()) -> list[Column]:
+    """The order of staged rows: timestamp, ``tiebreak``, the carried columns (``first`` or
+    ``last``), and the values of all others.  It is the same in every form of a load."""
+    ties = [*[F.col(c) for c in spec.tiebreak], *first,
+            *[F.col(c) for c in spec.order_cols + last if _orderable(rows.schema[c].dataType)]]
+    return [F.col(TS).asc_nulls_last(), *[c.asc_nulls_last() for c in ties]]
 
 
 def current(d: DataFrame) -> DataFrame:
@@ -94,8 +111,10 @@ def number_versions(rows: DataFrame, spec: DimSpec, base: str = "cur_version",
     ``base`` is a column (``cur_version`` after ``changed_rows``,
     ``max_version`` after ``with_max_version``); NULL counts as 0 (P9).
     ``skewed``: number with range slices instead of a window over the key."""
-    ties = spec.tiebreak + (spec.carry_cols if base == "cur_version" else ())
-    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
+    if base == "cur_version":                   # carried columns are the current version's here
+        order = staged_order(rows, spec, first=tuple(F.col(c) for c in spec.carry_cols))
+    else:
+        order = staged_order(rows, spec, last=spec.carry_cols)
     if skewed:
         from .ordered import rank_within
         rows = rank_within(rows, list(spec.partition_cols), order, "_rn")
@@ -111,11 +130,12 @@ def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:
     the staged row before them of the same key (by timestamp, then tiebreak).
     ``hot``: take the previous row with the skew-proof ordered helper instead of
     a window over the key."""
-    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
+    order = staged_order(s, spec, last=spec.carry_cols)
     prev_struct = F.struct(*[F.col(c) for c in spec.tracked_cols])
     if hot:
         from .ordered import lead_within
-        desc = [F.col(TS).desc_nulls_first(), *[F.col(c).desc_nulls_first() for c in spec.tiebreak]]
+        ties = [c for c in spec.tiebreak + spec.order_cols + spec.carry_cols if _orderable(s.schema[c].dataType)]
+        desc = [F.col(TS).desc_nulls_first(), *[F.col(c).desc_nulls_first() for c in ties]]
         s = lead_within(s.withColumn("_cmp", prev_struct), list(spec.key_cols), desc, "_cmp", "_prev").drop("_cmp")
     else:
         s = s.withColumn("_prev", F.lag(prev_struct).over(Window.partitionBy(*spec.key_cols).orderBy(*order)))
@@ -125,6 +145,34 @@ def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:
     return s.where(F.col("_prev").isNull() | ~same).drop("_prev")
 
 
+_SEEN = "_seen"     # carried values of the version-1 row that a repeated new row is compared with
+
+
+def repeated_changes(s: DataFrame, d: DataFrame, spec: DimSpec) -> DataFrame:
+    """Step 2 on step 1's rows (Q4): a new key staged more than once gives a changed row for
+    each pair of its staged rows that differ.  ``s``'s columns and ``_seen``, the other row's
+    carried values.
+
+    Rows are compared by classes of equal tracked values, of which the ones that differ are
+    joined; a class's rows count by their carried values.  So equal rows cost a count, and
+    the work beyond that is the result's rows."""
+    K = list(spec.key_cols)
+    often = s.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*K)
+    new = s.join(often, K, "left_semi").join(d.select(*K), K, "left_anti") \
+           .withColumn("_class", F.struct(*spec.tracked_cols))
+    seen = F.struct(F.lit(1).alias("v"), *spec.carry_cols).alias(_SEEN)
+    counts = new.groupBy(*K, "_class", seen).agg(F.count(F.lit(1)).alias("_n"))
+    mine = counts.select(*K, "_class").distinct()
+    other = counts.withColumnRenamed("_class", "_other")
+    test = changed([(F.col("_other")[c], F.col("_class")[c]) for c in spec.tracked_cols], spec.null_safe)
+    pairs = mine.join(other, K).where(test).drop("_other")
+    rows = new.join(pairs, [*K, "_class"])
+    block = 10_000                              # copies given out by one array
+    rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / block))))
+    inside = F.sequence(F.lit(1).cast("long"), F.least(F.lit(block).cast("long"), F.col("_n") - F.col("_block") * block))
+    return rows.withColumn("_copy", F.explode(inside)).select(*s.columns, _SEEN)
+
+
 def next_version_plus_one(rows: DataFrame) -> DataFrame:
     """P8 (close-previous form): ``version + 1`` for every changed row."""
     return rows.withColumn(VERSION, (F.col("cur_version") + F.lit(1)).cast("int"))

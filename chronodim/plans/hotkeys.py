@@ -15,14 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import changed, due, ts_literal
+from ..functions.columns import due, ts_literal
 from ..operators.ordered import lead_within, rank_within, stored
 from ..operators.partitioning import checked_broadcast
-from ..operators.versions import TS
+from ..operators.versions import _SEEN, TS, staged_order
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
-
-DIM, NEW, CHG, SEEN = 0, 1, 2, 3
-_STG, _KIND, _CURV = "_stg", "_kind", "_cur"
+from .scd2 import _CURV, _KIND, _STG, CHG, DIM, NEW, SEEN, compared_with, row_kind
 
 
 def _facts_join(u: DataFrame, facts: DataFrame, keys) -> DataFrame:
@@ -32,9 +30,9 @@ def _facts_join(u: DataFrame, facts: DataFrame, keys) -> DataFrame:
     return u.join(facts, list(keys), "left")
 
 
-def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
-    """``u``: touched versions + staged rows of hot keys, in the union layout of
-    ``scd2._versioned`` (body columns, bookkeeping, ``_stg``, ``_ts``)."""
+def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, again: bool = False) -> DataFrame:
+    """``u``: touched versions + staged rows of hot keys, in the layout of ``scd2.union_rows``;
+    ``again``: rows that ``repeated_changes`` gave are among them."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     tracked, carry = list(spec.tracked_cols), list(spec.carry_cols)
     mode = spec.mode
@@ -60,35 +58,21 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
               .drop("_mark", "_at"))
 
     # (2) row kinds
-    curv = F.col(_CURV)
-    if mode == "append_all":
-        kind = F.when(stg, F.lit(CHG)).otherwise(F.lit(DIM))
-    else:
-        test = changed([(curv[c], F.col(c)) for c in tracked], spec.null_safe)
-        kind = (F.when(~stg, F.lit(DIM)).when(~F.col("_has_dim"), F.lit(NEW))
-                 .when(curv.isNotNull() & test, F.lit(CHG)).otherwise(F.lit(SEEN)))
-    u = u.withColumn(_KIND, kind).where(F.col(_KIND) != SEEN)
+    u = u.withColumn(_KIND, row_kind(spec, again)).where(F.col(_KIND) != SEEN)
     # The rows of hot keys feed several branches below (ranked / not ranked,
     # flag aggregate, chained / not chained); cut the lineage once so none of
     # them re-reads the dimension.
     u = stored(u)
     kd = F.col(_KIND)
     repeats = mode != "append_all" and spec.new_keys == "one"
-    if repeats:
-        # step 2 sees step 1's rows (Q4): an equi-join of the new keys' staged rows
-        new = u.where(kd == NEW)
-        each = F.struct(F.lit(1).alias("v"), *[F.col(c) for c in tracked + carry])
-        seen = new.select(*K, each.alias("_seen"))
-        again = new.join(seen, K).where(changed([(F.col("_seen")[c], F.col(c)) for c in tracked], spec.null_safe))
-        again = again.withColumn(_CURV, F.col("_seen")).withColumn(_KIND, F.lit(CHG)).select(*u.columns)
-        u = stored(u.unionByName(again))
 
     # (3) numbering: ranks of staged rows within the version partition
-    order = [F.col(TS).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in spec.tiebreak]]
-    by_carry = [curv[c].asc_nulls_last() for c in carry] if repeats else []
+    cur_version, cur_carry = compared_with(spec, again)
+    order = staged_order(u, spec, last=spec.carry_cols)
+    changed_order = order if mode == "append_all" else staged_order(u, spec, first=tuple(cur_carry.values()))
     numbered = mode in ("append_all", "upsert") or spec.close_numbering == "row_number"
     if numbered:
-        ranked = rank_within(u.where(kd == CHG), P, order + by_carry, "_rn")
+        ranked = rank_within(u.where(kd == CHG), P, changed_order, "_rn")
         u = ranked.unionByName(u.where(kd != CHG).withColumn("_rn", F.lit(None).cast("int")))
     if spec.new_keys == "number":
         ranked = rank_within(u.where(kd == NEW), K, order, "_rn_new")
@@ -99,14 +83,14 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
     if mode == "append_all":
         version = F.col("_base") + F.col("_rn")
     elif numbered:
-        version = curv["v"] + F.col("_rn")
+        version = cur_version + F.col("_rn")
     else:
-        version = curv["v"] + F.lit(1)
+        version = cur_version + F.lit(1)
     u = u.withColumn(VERSION, F.when(kd == DIM, ver).when(kd == NEW, new_version)
                                 .when(kd == CHG, version).cast("int"))
     u = u.withColumn(CURRENT, F.when(kd == DIM, cur_flag).otherwise(F.lit(mode != "append_all")))
     for c in carry:
-        carried = F.coalesce(curv[c], F.col(c)) if mode == "append_all" else curv[c]
+        carried = F.coalesce(cur_carry[c], F.col(c)) if mode == "append_all" else cur_carry[c]
         u = u.withColumn(c, F.when(kd == CHG, carried).otherwise(F.col(c)))
 
     touched = F.col("_touched")

@@ -37,21 +37,17 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import changed, due, key_ok, open_end, ts_literal
-from ..operators.ordered import stored
+from ..functions.columns import changed, due, key_ok, named, open_end, ts_literal
+from ..operators.ordered import can_store, stored
 from ..operators.partitioning import checked_broadcast, measured_bytes
-from ..operators.versions import TS, dedupe_batch, map_columns
-from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
+from ..operators.versions import _SEEN, TS, dedupe_batch, map_columns, repeated_changes, staged_order
+from ..spec import CURRENT, DATE_FROM, DATE_TO, FILL, VERSION, DimSpec
 
 # row kinds inside the load
 DIM, NEW, CHG, SEEN = 0, 1, 2, 3      # SEEN: staged row that makes no version
 _STG, _KIND, _CURV = "_stg", "_kind", "_cur"
 
 
-def _nulls_last(cols) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in cols]
-
-
 def _start(spec: DimSpec, batch_ts) -> Column:
     if spec.mode == "append_all" or spec.start == "staging":
         return F.col(TS)
@@ -81,25 +77,50 @@ def _set(df: DataFrame, _keep=None, _drop=(), **cols: Column) -> DataFrame:
 
 def union_rows(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
     """Versions of touched keys and staged rows in one layout: dimension
-    columns, ``_stg`` (staged row?) and ``_ts`` (staged timestamp)."""
+    columns, ``_stg`` (staged row?), ``_ts`` (staged timestamp) and ``_seen`` (of a row that
+    ``repeated_changes`` gave)."""
     body = list(spec.key_cols + spec.attr_cols + spec.carry_cols)
+    seen = s.schema[_SEEN].dataType if _SEEN in s.columns else "int"
     dpart = d.select(*body, F.col(VERSION).cast("int").alias(VERSION), F.col(CURRENT).cast("boolean").alias(CURRENT),
                      F.col(DATE_FROM).cast("timestamp_ntz").alias(DATE_FROM),
                      F.col(DATE_TO).cast("timestamp_ntz").alias(DATE_TO),
-                     F.lit(False).alias(_STG), F.lit(None).cast("timestamp_ntz").alias(TS))
+                     F.lit(False).alias(_STG), F.lit(None).cast("timestamp_ntz").alias(TS), F.lit(None).cast(seen).alias(_SEEN))
     spart = s.select(
         *body, F.lit(None).cast("int").alias(VERSION), F.lit(None).cast("boolean").alias(CURRENT),
         _start(spec, batch_ts).alias(DATE_FROM), open_end().alias(DATE_TO),
-        F.lit(True).alias(_STG), F.col(TS))
+        F.lit(True).alias(_STG), F.col(TS), F.col(_SEEN) if _SEEN in s.columns else F.lit(None).cast(seen).alias(_SEEN))
     return dpart.unionByName(spart)
 
 
+def row_kind(spec: DimSpec, again: bool) -> Column:
+    """What each row is: an old version, a new key, a changed row, or a staged row that makes none."""
+    stg, curv = F.col(_STG), F.col(_CURV)
+    if spec.mode == "append_all":
+        return F.when(stg, F.lit(CHG)).otherwise(F.lit(DIM))
+    test = changed([(curv[c], F.col(c)) for c in spec.tracked_cols], spec.null_safe)
+    kind = F.when(~stg, F.lit(DIM))
+    if again:
+        kind = kind.when(F.col(_SEEN).isNotNull(), F.lit(CHG))
+    return (kind.when(~F.col("_has_dim"), F.lit(NEW))
+                .when(curv.isNotNull() & test, F.lit(CHG)).otherwise(F.lit(SEEN)))
+
+
+def compared_with(spec: DimSpec, again: bool) -> tuple[Column, dict[str, Column]]:
+    """Version and carried columns of the version that a changed row follows: the current one,
+    or for a repeated new row the version-1 row that it differs from."""
+    curv, seen = F.col(_CURV), F.col(_SEEN)
+
+    def of(c: str) -> Column:
+        return F.when(seen.isNotNull(), seen[c]).otherwise(curv[c]) if again else curv[c]
+    return of("v"), {c: of(c) for c in spec.carry_cols}
+
+
 def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
     """Step 2 of the module doc: versions of touched keys + staged rows with
     non-NULL keys → the new state of those keys."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     carry, tracked = list(spec.carry_cols), list(spec.tracked_cols)
-    mode = spec.mode
+    mode, again = spec.mode, _SEEN in s.columns
 
     # the load's only shuffle: every window below partitions by a superset of P
     u = union_rows(d, s, spec, batch_ts).repartition(*P)
@@ -129,38 +150,20 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
     u = _set(u, **facts)
 
     # (2) what each staged row becomes: new key, changed, or nothing (SEEN)
-    curv = F.col(_CURV)
-    if mode == "append_all":
-        kind = F.when(stg, F.lit(CHG)).otherwise(F.lit(DIM))
-    else:
-        test = changed([(curv[c], F.col(c)) for c in tracked], spec.null_safe)
-        kind = (F.when(~stg, F.lit(DIM)).when(~F.col("_has_dim"), F.lit(NEW))
-                 .when(curv.isNotNull() & test, F.lit(CHG)).otherwise(F.lit(SEEN)))
-    u = _set(u, **{_KIND: kind})
+    u = _set(u, **{_KIND: row_kind(spec, again)})
     kd = F.col(_KIND)
+    cur_version, cur_carry = compared_with(spec, again)
     repeats = mode != "append_all" and spec.new_keys == "one"
-    if repeats:
-        # step 2 sees step 1's rows (Q4): a new key staged more than once gives a changed
-        # row for each of its new versions that a staged row differs from
-        each = F.struct(F.lit(1).alias("v"), *[F.col(c) for c in tracked + carry])
-        u = _set(u, _news=F.collect_list(F.when(kd == NEW, each)).over(wk))
-        differs = F.filter("_news", lambda r: changed([(r[c], F.col(c)) for c in tracked], spec.null_safe))
-        again = F.transform(differs, lambda r: F.struct(F.lit(CHG).alias("kind"), r.alias("cur")))
-        own = F.array(F.struct(kd.alias("kind"), curv.alias("cur")))
-        u = _set(u, _drop=("_news",), _row=F.explode(F.when((kd == NEW) & (F.size("_news") > 1), F.concat(own, again))
-                                                     .otherwise(own)))
-        u = _set(u, _drop=("_row",), **{_KIND: F.col("_row.kind"), _CURV: F.col("_row.cur")})
-
     # (3) number the new versions (W1) and fill the inserted rows
-    order = [F.col(TS).asc_nulls_last(), *_nulls_last(spec.tiebreak)]
-    by_carry = [curv[c].asc_nulls_last() for c in carry] if repeats else []
-    rn_part = F.row_number().over(Window.partitionBy(*P, _KIND).orderBy(*order, *by_carry))
+    order = staged_order(u, spec, last=spec.carry_cols)
+    changed_order = order if mode == "append_all" else staged_order(u, spec, first=tuple(cur_carry.values()))
+    rn_part = F.row_number().over(Window.partitionBy(*P, _KIND).orderBy(*changed_order))
     if mode == "append_all":
         version = F.col("_base") + rn_part
     elif mode == "upsert" or spec.close_numbering == "row_number":
-        version = curv["v"] + rn_part
+        version = cur_version + rn_part
     else:
-        version = curv["v"] + F.lit(1)
+        version = cur_version + F.lit(1)
     new_version = (F.row_number().over(Window.partitionBy(*K, _KIND).orderBy(*order))
                    if spec.new_keys == "number" else F.lit(1))
     fill = {
@@ -168,9 +171,9 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         CURRENT: F.when(kd == DIM, cur_flag).otherwise(F.lit(mode != "append_all")),
     }
     for c in carry:                        # P7: carry from the current version
-        carried = F.coalesce(curv[c], F.col(c)) if mode == "append_all" else curv[c]
+        carried = F.coalesce(cur_carry[c], F.col(c)) if mode == "append_all" else cur_carry[c]
         fill[c] = F.when(kd == CHG, carried).otherwise(F.col(c))
-    u = _set(u, _drop=(_CURV,), **fill).where(kd != SEEN)   # SEEN rows have served J4 and the change test
+    u = _set(u, _drop=(_CURV, _SEEN), **fill).where(kd != SEEN)   # SEEN rows have served J4 and the change test
 
     real_touched = F.col("_touched")
     if mode == "close_previous":
@@ -219,7 +222,7 @@ def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") ->
     """Staged rows with a NULL key component: inserted as new every time (the
     anti join cannot match them); append-all numbers them like any key, which
     groups all of them under one NULL key (a hot group when they are many)."""
-    order = [F.col(TS).asc_nulls_last(), *_nulls_last(spec.tiebreak)]
+    order = staged_order(s, spec, last=spec.carry_cols)
     numbered = spec.mode == "append_all" or spec.new_keys == "number"
     if numbered and skew != "off" and s.count() > (0 if skew == "all" else hot_key_rows(s)):
         from ..operators.ordered import rank_within
@@ -316,12 +319,26 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_stage
             db.join(buckets, "_bucket", "left_anti").drop("_bucket"))
 
 
+def _with_repeats(s: DataFrame, d: DataFrame, spec: DimSpec) -> tuple[DataFrame, int | None]:
+    """The staged rows and those that ``repeated_changes`` adds (Q4), and how many these are
+    (None: not counted).  Only where some key is staged twice are new keys looked for."""
+    if s.groupBy(*spec.key_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty():
+        return s, 0
+    again, n = repeated_changes(s, d, spec), None
+    if can_store(s.sparkSession):           # branches below read it again
+        again = stored(again)
+        n = again.count()
+        if not n:
+            return s, 0
+    return s.withColumn(_SEEN, F.lit(None).cast(again.schema[_SEEN].dataType)).unionByName(again), n
+
+
 def _with_other_columns(dim: DataFrame, staging: DataFrame, spec: DimSpec, more: list[str]):
     """The load's inputs with the dimension's other columns as staged NULLs."""
     if not more:
         return staging, spec
-    none = {c: f"_none_{i}" for i, c in enumerate(more)}
-    staging = staging.select(*spec.staging_cols, *[F.lit(None).cast(dim.schema[c].dataType).alias(n) for c, n in none.items()])
+    none = {c: f"{FILL}{'_' * max(map(len, spec.staging_cols))}{i}" for i, c in enumerate(more)}
+    staging = staging.select(*[named(c) for c in spec.staging_cols], *[F.lit(None).cast(dim.schema[c].dataType).alias(n) for c, n in none.items()])
     columns = None if spec.columns is None else spec.columns + tuple(more)
     return staging, replace(spec, payload=spec.payload + tuple(none.items()), columns=columns)
 
@@ -337,6 +354,11 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     versions and are NULL in new ones.
     ``skew``: ``auto`` (keys above ``chronodim.skew.hotKeyRows`` rows take the
     hot-key path), ``off``, ``all`` (every touched key takes it; for tests)."""
+    if names := spec.plain_names(dim.columns):
+        plain = dim.select(*[named(c).alias(names.get(c, c)) for c in dim.columns])
+        users = {n: c for c, n in names.items()}
+        out = apply_scd2(plain, staging, spec.renamed(names), batch_ts, split, skew)
+        return out.select(*[F.col(c).alias(users.get(c, c)) for c in out.columns])
     own = spec.dim_cols
     more = [c for c in dim.columns if c not in own]
     staging, spec = _with_other_columns(dim, staging, spec, more)
@@ -352,23 +374,31 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     if split in ("auto", "buckets"):
         touched, rest = _split(d, s_ok, spec, split, n_staged, key_bytes)
 
-    def dedupe(rows, hot=False):
-        return dedupe_batch(rows, spec, hot) if spec.dedupe else rows
-
+    P = list(spec.partition_cols)
     total = None if n_dim is None else n_dim + n_staged
-    hot = hot_keys(touched, s_ok, spec, skew, total) if skew != "off" else None
+
+    def hot_of(staged):
+        return hot_keys(touched, staged, spec, skew, total) if skew != "off" else None
+
+    if spec.dedupe:
+        hot = hot_of(s_ok)
+        s_ok = dedupe_batch(s_ok, spec) if hot is None else \
+            dedupe_batch(s_ok.join(hot, P, "left_anti"), spec).unionByName(dedupe_batch(s_ok.join(hot, P, "left_semi"), spec, True))
+        s_null = dedupe_batch(s_null, spec, skew == "all")
+    if spec.mode != "append_all" and spec.new_keys == "one":
+        s_ok, n_again = _with_repeats(s_ok, touched, spec)
+        total = None if total is None or n_again is None else total + n_again
+    hot = hot_of(s_ok)
     if hot is None:
-        out = _versioned(touched, dedupe(s_ok), spec, batch_ts)
+        out = _versioned(touched, s_ok, spec, batch_ts)
     else:
         from .hotkeys import versioned_hot
-        hk, P = hot, list(spec.partition_cols)
-        out = _versioned(touched.join(hk, P, "left_anti"), dedupe(s_ok.join(hk, P, "left_anti")), spec, batch_ts)
-        heavy = union_rows(touched.join(hk, P, "left_semi"), dedupe(s_ok.join(hk, P, "left_semi"), hot=True),
-                           spec, batch_ts)
-        out = out.unionByName(versioned_hot(heavy, spec, batch_ts))
+        out = _versioned(touched.join(hot, P, "left_anti"), s_ok.join(hot, P, "left_anti"), spec, batch_ts)
+        heavy = union_rows(touched.join(hot, P, "left_semi"), s_ok.join(hot, P, "left_semi"), spec, batch_ts)
+        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, _SEEN in s_ok.columns))
 
     if spec.null_keys == "insert":
-        out = out.unionByName(_null_key_rows(dedupe(s_null, hot=skew == "all"), spec, batch_ts, skew))
+        out = out.unionByName(_null_key_rows(s_null, spec, batch_ts, skew))
     if rest is not None:
         out = out.unionByName(_bookkeeping_types(rest))
     return out.select(*own, *more) if more else out

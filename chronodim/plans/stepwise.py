@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import key_ok
+from ..functions.columns import key_ok, named
 from ..operators import flags as fl
 from ..operators import versions as vs
 from ..spec import VERSION, DimSpec
@@ -51,6 +51,10 @@ def insert_all(d: DataFrame, s: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def apply_stepwise(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None) -> DataFrame:
+    if names := spec.plain_names(dim.columns):
+        users = {n: c for c, n in names.items()}
+        out = apply_stepwise(dim.select(*[named(c).alias(names.get(c, c)) for c in dim.columns]), staging, spec.renamed(names), batch_ts)
+        return out.select(*[F.col(c).alias(users.get(c, c)) for c in out.columns])
     s = vs.map_columns(staging, spec)
     if spec.null_keys == "drop":
         s = s.where(key_ok(spec.key_cols))

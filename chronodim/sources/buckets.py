@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import named
 from ..spec import DimSpec
 from .io import _fs, create_text, read_staging, read_text
 from .origins import Origin, with_origin
@@ -77,7 +78,7 @@ def _commit(spark: SparkSession, root: str, table_id: int, manifest: dict) -> No
 
 def _bucket(types: dict[str, T.DataType], cols: dict[str, str], n: int) -> Column:
     """Bucket of a row; ``cols``: column by name in the table, cast to the table's type."""
-    return F.pmod(F.xxhash64(*[F.col(c).cast(types[d]) for d, c in cols.items()]), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64(*[named(c).cast(types[d]) for d, c in cols.items()]), F.lit(n)).cast("int")
 
 
 def _write(df: DataFrame, root: str, table_id: int, bucket: Column) -> list[int]:
@@ -143,7 +144,7 @@ def load_table(spark: SparkSession, root: str, staging, spec: DimSpec, batch_ts=
     if not touched:
         return m["id"]
     nxt = apply_scd2(read_table(spark, root, touched, m), s, spec, batch_ts)
-    nxt = nxt.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    nxt = nxt.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     table_id = max(_ids(spark, root), default=0) + 1
     found = _write(nxt, root, table_id, _bucket(types, {c: c for c in m["by"]}, m["buckets"]))
     data = m["data"] | {str(b): table_id for b in found}

@@ -59,14 +59,10 @@ def fx1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 # ---- FX2: two-column key, real order history ----------------------------------------
 def _ord_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    # one row per (customer, priority, day): the lowest order key wins
-    first = (o.groupBy("o_custkey", "o_orderpriority", "o_orderdate")
-              .agg(F.min(F.struct("o_orderkey", "o_orderstatus", "o_totalprice")).alias("o")))
-    return first.select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("k1"), F.col("o_orderpriority").alias("k2"),
-        F.col("o.o_orderstatus").alias("st"), F.col("o.o_totalprice").alias("amt"),
-        F.col("o_orderdate").alias("ts"))
+        F.col("o_orderstatus").alias("st"), F.col("o_totalprice").alias("amt"),
+        F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("id"))
 
 
 CUT_1999 = "1999-01-01 00:00:00"
@@ -77,7 +73,7 @@ def fx2(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     staging (src_k1, src_k2, src_st, src_amt, src_created_on)."""
     log = _ord_log(spark, sf_dir)
     cut = ts_literal(CUT_1999)
-    dim = _history(log.where(F.col("ts") < cut), ["k1", "k2"], ["ts"], ["st", "amt"])
+    dim = _history(log.where(F.col("ts") < cut), ["k1", "k2"], ["ts", "id"], ["st", "amt"])
     stg = log.where(F.col("ts") >= cut).select(
         F.col("k1").alias("src_k1"), F.col("k2").alias("src_k2"), F.col("st").alias("src_st"),
         F.col("amt").alias("src_amt"), F.col("ts").alias("src_created_on"))
@@ -89,13 +85,13 @@ def fx3(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """dim (k1, k2, k3, ls, qty, version, lastversion, date_from, date_to),
     staging (k1, k2, k3, ls, qty, crtupd_dt)."""
     li = table(spark, sf_dir, "lineitem")
-    log = (li.groupBy(F.col("l_suppkey").alias("k1"), (F.col("l_partkey") % 20).alias("k2"),
-                      F.col("l_returnflag").alias("k3"), F.col("l_shipdate").alias("ts"))
-             .agg(F.min("l_linestatus").alias("ls"), F.max("l_quantity").alias("qty")))
+    log = li.select(F.col("l_suppkey").alias("k1"), (F.col("l_partkey") % 20).alias("k2"), F.col("l_returnflag").alias("k3"),
+                    F.col("l_shipdate").alias("ts"), F.col("l_linestatus").alias("ls"), F.col("l_quantity").alias("qty"),
+                    F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"))
     ranked = log.withColumn("rn", F.row_number().over(
-        Window.partitionBy("k1", "k2", "k3").orderBy(F.col("ts").desc())))
+        Window.partitionBy("k1", "k2", "k3").orderBy(*[F.col(c).desc() for c in ("ts", "id", "line")])))
     staged = (F.col("rn") == 1) | (((F.col("k1") + F.col("k2")) % 7) == 0)
-    dim = _history(ranked.where(~staged), ["k1", "k2", "k3"], ["ts"], ["ls", "qty"])
+    dim = _history(ranked.where(~staged), ["k1", "k2", "k3"], ["ts", "id", "line"], ["ls", "qty"])
     stg = ranked.where(staged).select("k1", "k2", "k3", "ls", "qty", F.col("ts").alias("crtupd_dt"))
     return dim, stg
 

@@ -19,6 +19,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import named
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 from .origins import Loaded, Origin, with_origin
 
@@ -39,7 +40,7 @@ def _read(spark: SparkSession, source, fmt: str) -> DataFrame:
 
 def read_staging(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet") -> DataFrame:
     """The whole staging batch, pruned to the columns the spec uses."""
-    return _read(spark, source, fmt).select(*spec.staging_cols)
+    return _read(spark, source, fmt).select(*[named(c) for c in spec.staging_cols])
 
 
 def read_dim(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet", other_columns: bool = False) -> DataFrame:
@@ -50,7 +51,7 @@ def read_dim(spark: SparkSession, source, spec: DimSpec, fmt: str = "parquet", o
     else:
         df = _read(spark, source, fmt)
     # a snapshot partitioned by the flag reads it back as a directory value
-    return df.select(*[F.col(c).cast(_BOOK_TYPES[c]).alias(c) if c in _BOOK_TYPES else F.col(c)
+    return df.select(*[F.col(c).cast(_BOOK_TYPES[c]).alias(c) if c in _BOOK_TYPES else named(c)
                        for c in [*spec.dim_cols, *[c for c in df.columns if other_columns and c not in spec.dim_cols]]])
 
 

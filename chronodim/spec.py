@@ -8,13 +8,21 @@ no pipeline has code of its own.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass, field, replace
 
 # Fixed values of the data model.
 OPEN_END = "2200-01-01 00:00:00"          # date_to of a version that is still open
 VERSION, CURRENT, DATE_FROM, DATE_TO = "version", "lastversion", "date_from", "date_to"
 BOOKKEEPING = (VERSION, CURRENT, DATE_FROM, DATE_TO)
 
+#: Names that steps of a load use beside the dimension's columns; also every name with these beginnings.
+_OWN = {"v", "kind", "cur", "max_version", "next_date_from"}
+_OWN_BEGINNINGS = ("_", "cur_")
+_PLAIN = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
+#: Beginning of the names of staged NULLs for columns that a spec doesn't name.
+FILL = "_none_"
+
 MODES = ("append_all", "upsert", "close_previous")
 
 
@@ -153,6 +161,39 @@ class DimSpec:
             return self.columns
         return self.key_cols + self.attr_cols + self.carry_cols + BOOKKEEPING
 
+    @property
+    def order_cols(self) -> tuple[str, ...]:
+        """Columns that order staged rows of one timestamp, after ``tiebreak``: every other staged
+        value, so that the order is total up to rows that are equal in all of them."""
+        staged = [d for d, s in self.keys + self.tracked + self.payload if not s.startswith(FILL)]
+        return tuple(c for c in staged if c not in self.tiebreak)
+
+    def plain_names(self, columns) -> dict[str, str]:
+        """New names for those of the dimension's ``columns`` that a step of the load could take for
+        one of its own, or that aren't plain identifiers."""
+        taken = {c.lower() for c in columns}
+        names: dict[str, str] = {}
+        for c in columns:
+            if c not in BOOKKEEPING and (c.lower() in _OWN or c.lower().startswith(_OWN_BEGINNINGS) or not _PLAIN.fullmatch(c)):
+                n = len(names)
+                while f"column{n}" in taken:
+                    n += 1
+                names[c] = f"column{n}"
+                taken.add(names[c])
+        return names
+
+    def renamed(self, names: dict[str, str]) -> DimSpec:
+        """The same load on a dimension whose columns have new names (the batch keeps its own)."""
+        def one(c):
+            return names.get(c, c)
+
+        def pairs(p):
+            return tuple((one(d), s) for d, s in p)
+        return replace(self, keys=pairs(self.keys), tracked=pairs(self.tracked), payload=pairs(self.payload),
+                       carry=pairs(self.carry), tiebreak=tuple(map(one, self.tiebreak)),
+                       version_partition=self.version_partition and tuple(map(one, self.version_partition)),
+                       columns=self.columns and tuple(map(one, self.columns)))
+
     @property
     def staging_cols(self) -> tuple[str, ...]:
         seen: list[str] = []

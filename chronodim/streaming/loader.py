@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.scd2 import apply_scd2
 from ..sources.buckets import latest_manifest, load_table, manifest_path
-from ..sources.io import loaded_batches, publish, read_dim
+from ..sources.io import loaded_batches, publish, read_dim, read_staging
 from ..sources.origins import holds
 from ..spec import DimSpec
 
@@ -40,7 +40,7 @@ def load_batch(batch: DataFrame, epoch_id: int, dim_root: str, spec: DimSpec,
         return manifest_path(dim_root, load_table(spark, dim_root, batch, spec, ts, origin=origin))
     if holds(loaded_batches(spark, dim_root), origin):
         return None
-    nxt = apply_scd2(read_dim(spark, dim_root, spec, other_columns=True), batch.select(*spec.staging_cols), spec, ts)
+    nxt = apply_scd2(read_dim(spark, dim_root, spec, other_columns=True), read_staging(spark, batch, spec), spec, ts)
     return publish(nxt, dim_root, partition_by=partition_by, origin=origin)
 
 

@@ -22,42 +22,37 @@ cust_stg AS (
 )"""
 
 FX2 = """
-ord_one AS (
-  SELECT o_custkey, o_orderpriority, o_orderdate, min(o_orderkey) AS o_orderkey
-  FROM orders GROUP BY o_custkey, o_orderpriority, o_orderdate
+ord_log AS MATERIALIZED (
+  SELECT o_custkey AS k1, o_orderpriority AS k2, o_orderstatus AS st, o_totalprice AS amt, o_orderdate AS ts, o_orderkey AS id
+  FROM orders
 ),
-ord_log AS (
-  SELECT o.o_custkey AS k1, o.o_orderpriority AS k2, o.o_orderstatus AS st, o.o_totalprice AS amt, o.o_orderdate AS ts
-  FROM orders o JOIN ord_one u ON o.o_orderkey = u.o_orderkey
-),
-ord_dim AS (
+ord_dim AS MATERIALIZED (
   SELECT k1, k2, st, amt, CAST(row_number() OVER w AS INT) AS version,
          lead(ts) OVER w IS NULL AS lastversion, ts AS date_from,
          coalesce(lead(ts) OVER w, TIMESTAMP '2200-01-01 00:00:00') AS date_to
   FROM ord_log WHERE ts < TIMESTAMP '1999-01-01 00:00:00'
-  WINDOW w AS (PARTITION BY k1, k2 ORDER BY ts)
+  WINDOW w AS (PARTITION BY k1, k2 ORDER BY ts, id)
 ),
-ord_stg AS (
+ord_stg AS MATERIALIZED (
   SELECT k1 AS src_k1, k2 AS src_k2, st AS src_st, amt AS src_amt, ts AS src_created_on
   FROM ord_log WHERE ts >= TIMESTAMP '1999-01-01 00:00:00'
 )"""
 
 FX3 = """
-li_log AS (
-  SELECT l_suppkey AS k1, l_partkey % 20 AS k2, l_returnflag AS k3, l_shipdate AS ts,
-         min(l_linestatus) AS ls, max(l_quantity) AS qty
-  FROM lineitem GROUP BY l_suppkey, l_partkey % 20, l_returnflag, l_shipdate
-),
-li_rank AS (
-  SELECT *, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY ts DESC) AS rn FROM li_log
+li_rank AS MATERIALIZED (
+  SELECT l_suppkey AS k1, l_partkey % 20 AS k2, l_returnflag AS k3, l_shipdate AS ts, l_linestatus AS ls, l_quantity AS qty,
+         l_orderkey AS id, l_linenumber AS line,
+         row_number() OVER (PARTITION BY l_suppkey, l_partkey % 20, l_returnflag
+                            ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+  FROM lineitem
 ),
-li_dim AS (
+li_dim AS MATERIALIZED (
   SELECT k1, k2, k3, ls, qty, CAST(row_number() OVER w AS INT) AS version, lead(ts) OVER w IS NULL AS lastversion,
          ts AS date_from, coalesce(lead(ts) OVER w, TIMESTAMP '2200-01-01 00:00:00') AS date_to
   FROM li_rank WHERE rn > 1 AND (k1 + k2) % 7 <> 0
-  WINDOW w AS (PARTITION BY k1, k2, k3 ORDER BY ts)
+  WINDOW w AS (PARTITION BY k1, k2, k3 ORDER BY ts, id, line)
 ),
-li_stg AS (
+li_stg AS MATERIALIZED (
   SELECT k1, k2, k3, ls, qty, ts AS crtupd_dt FROM li_rank WHERE rn = 1 OR (k1 + k2) % 7 = 0
 )"""
 

@@ -52,8 +52,14 @@ def _change_test(spec: DimSpec, a: str) -> str:
     return " OR ".join(f"{a}.{q(d)} {op} s.{q(sc)}" for d, sc in spec.tracked)
 
 
-def _order(spec: DimSpec) -> str:
-    return ", ".join([f"s.{q(spec.ts)}"] + [f"s.{q(stg_name(spec, c))}" for c in spec.tiebreak])
+def _order(spec: DimSpec, first=(), last=()) -> str:
+    """Timestamp, tiebreak, then all other staged values; carried columns where the caller says."""
+    return ", ".join([f"s.{q(spec.ts)}"] + [f"s.{q(stg_name(spec, c))}" for c in spec.tiebreak] + list(first)
+                     + [f"s.{q(stg_name(spec, c))}" for c in spec.order_cols] + list(last))
+
+
+def _own_carry(spec: DimSpec) -> list[str]:
+    return [f"s.{q(sc)}" for _, sc in spec.carry]
 
 
 def _partition(spec: DimSpec) -> str:
@@ -106,8 +112,9 @@ fin AS (
 def upsert_steps(spec: DimSpec, batch_ts: str | None) -> str:
     start = f"s.{q(spec.ts)}" if spec.start == "staging" else f"TIMESTAMP '{batch_ts}'"
     k1 = spec.key_cols[0]
-    version = f"CAST(d1.version + row_number() OVER (PARTITION BY {_partition(spec)} ORDER BY {_order(spec)}) AS INTEGER)"
     carry = {d: f"d1.{q(d)}" for d in spec.carry_cols}
+    version = (f"CAST(d1.version + row_number() OVER (PARTITION BY {_partition(spec)} "
+               f"ORDER BY {_order(spec, first=carry.values())}) AS INTEGER)")
     if spec.retire == "batch":
         mv_from = f"s JOIN d2 ON {on(spec, 'd2')} AND d2.date_from = s.{q(spec.ts)}"
     else:
@@ -133,7 +140,7 @@ d3 AS (
 
 def append_steps(spec: DimSpec, batch_ts: str | None) -> str:
     version = (f"CAST(COALESCE(mx.max_version, 0) + row_number() OVER (PARTITION BY {_partition(spec)} "
-               f"ORDER BY {_order(spec)}) AS INTEGER)")
+               f"ORDER BY {_order(spec, last=_own_carry(spec))}) AS INTEGER)")
     carry = {d: f"COALESCE(cc.{q(d)}, s.{q(sc)})" for d, sc in spec.carry}
     carry_cte = (f"cc AS (SELECT {keys_of(spec, 'd0')}, {', '.join(f'd0.{q(d)}' for d in spec.carry_cols)} "
                  f"FROM d0 WHERE d0.lastversion = true),") if spec.carry else ""
@@ -232,7 +239,8 @@ def staging_where(spec: DimSpec) -> str:
         out += " WHERE " + " AND ".join(f"{q(sc)} IS NOT NULL" for _, sc in spec.keys)
     if spec.dedupe:
         keys = ", ".join(q(sc) for _, sc in spec.keys)
-        order = ", ".join([q(spec.ts)] + [q(stg_name(spec, c)) for c in spec.tiebreak])
+        order = ", ".join([q(spec.ts)] + [q(stg_name(spec, c)) for c in spec.tiebreak + spec.order_cols]
+                          + [q(sc) for _, sc in spec.carry])
         w = f"OVER (PARTITION BY {keys} ORDER BY {order})"
         same = " AND ".join(f"{q(sc)} IS NOT DISTINCT FROM lag({q(sc)}) {w}" for _, sc in spec.tracked)
         out += f" QUALIFY row_number() {w} = 1 OR NOT ({same})"
@@ -246,8 +254,8 @@ def frames_sql(p: Pipeline) -> str:
     attrs = [c for c in p.spec.dim_cols if c not in BOOKKEEPING]
     d0 = ", ".join(f"{dim_map[c]} AS {q(c)}" for c in attrs)
     s = ", ".join(f"{e} AS {q(c)}" for c, e in stg_map.items())
-    return (f"{fx_text},\nd0 AS (SELECT {d0}, CAST(version AS INTEGER) AS version, lastversion, date_from, date_to "
-            f"FROM {fdim}),\ns AS (SELECT * FROM (SELECT {s} FROM {fstg}) x{staging_where(p.spec)})")
+    return (f"{fx_text},\nd0 AS MATERIALIZED (SELECT {d0}, CAST(version AS INTEGER) AS version, lastversion, date_from, date_to "
+            f"FROM {fdim}),\ns AS MATERIALIZED (SELECT * FROM (SELECT {s} FROM {fstg}) x{staging_where(p.spec)})")
 
 
 def pipeline_sql(p: Pipeline) -> str:
