@@ -67,9 +67,29 @@ def id_crc32(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(0).cast("long"))
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name (dots and backticks are part of it)."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def as_struct(columns: list[str], name: str = "doc") -> Column:
+    """The columns held in one by their places, so that beside it names are free."""
+    return F.struct(F.lit(0).alias("none"), *[named(c).alias(f"c{i}") for i, c in enumerate(columns)]).alias(name)
+
+
+def held(columns: list[str], column: str, name: str = "doc") -> Column:
+    """A column of ``as_struct(columns)``."""
+    return F.col(name).getField(f"c{columns.index(column)}")
+
+
+def from_struct(columns: list[str], new: dict[str, Column], name: str = "doc") -> list[Column]:
+    """The columns of ``as_struct(columns)`` again, some of them with new values."""
+    return [(new[c] if c in new else held(columns, c, name)).alias(c) for c in columns]
+
+
 def row_digest(df: DataFrame) -> Column:
     """SHA-256 of the text followed by a hash of all columns: rows of one digest are equal."""
-    cols = [F.col(c) for c in df.columns]
+    cols = [named(c) for c in df.columns]
     rest = F.xxhash64(*cols, *[c.isNull() for c in cols])
     return F.unhex(F.concat(F.sha2(whole_text("text").cast("binary"), 256), F.lpad(F.hex(rest), 16, "0")))
 

@@ -8,7 +8,7 @@ document's base test (too few words, or too many in repeated five-word windows).
 
 Defined cases: a null text counts as empty (no words: rejected by the base test); rows are
 judged one by one, so ties, repeated rows and null ids change nothing; an empty table gives
-no rows; other columns are passed through only by ``clean_documents``.
+no rows; other columns are passed through, whatever their names, by ``clean_documents`` only.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WS, whole_text, words
+from .common import WORD, WS, as_struct, from_struct, whole_text, words
 
 MIN_WORDS = 10
 WINDOW = 5
@@ -111,11 +111,11 @@ def judged(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
 
 def clean_documents(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     """The kept documents with their failing lines removed; ``n_chars`` follows the text."""
-    d = judged(docs, max_loss).where("_rules.kept")
-    new = {"text": F.col("_rules.clean_text").alias("text")}
+    new = {"text": F.col("_rules.clean_text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.char_length("_rules.clean_text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return d.select(*[new.get(c, F.col(f"`{c}`")) for c in docs.columns])
+        new["n_chars"] = F.char_length("_rules.clean_text").cast(docs.schema["n_chars"].dataType)
+    d = docs.select("text", as_struct(docs.columns))
+    return judged(d, max_loss).where("_rules.kept").select(*from_struct(docs.columns, new))
 
 
 def rule_report(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:

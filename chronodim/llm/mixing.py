@@ -9,9 +9,8 @@ first, then the documents up to the budget, the last one in part.
 
 Defined cases: null or empty texts have size 0 and are never taken; a null source is a
 source of its own, ordered last; rows with the same id share a key and are ordered by
-size (``mixed_documents``: then by row digest), rows equal in all columns may stand for each other; an empty table gives no rows; columns of the
-input that clash with computed names are not read (``doc_id``, ``text``, ``source`` are
-selected first).
+size (``mixed_documents``: then by row digest), rows equal in all columns may stand for each other; an empty table gives no rows; other
+columns aren't read, and ``mixed_documents`` passes them through, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, row_digest, whole_text, words, written
+from .common import WORD, as_struct, from_struct, held, row_digest, whole_text, written
 
 SEED = "mix-1"
 SLICE_DIGITS = 3            # 4096 ranges of the random order per source
@@ -118,33 +117,34 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                     .groupBy(*one).agg(F.sum("taken").alias("mix_taken"), F.count(F.lit(1)).alias("mix_rows"))
                     .where(F.col("mix_taken") > 0), "mix-taken")
     names = docs.columns
-    d = docs.withColumn("mix_size", F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long")) \
-            .withColumn("mix_digest", row_digest(docs)).alias("d")
+    row = F.struct("doc_id", "source", F.regexp_count(whole_text("text"), F.lit(WORD)).cast("long").alias("size"),
+                   row_digest(docs).alias("digest"), as_struct(names))
+    # exploding one row binds the values, whatever expressions the columns of ``docs`` are
+    d = docs.select(F.explode(F.array(row)).alias("row")).select("row.*").alias("d")
 
     def joined(taken: DataFrame) -> DataFrame:
         t = taken.alias("t")
         return d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
-                      & (F.col("d.mix_digest") == F.col("t.digest"))) \
-                .select(*[F.col(f"d.{c}").alias(c) for c in names], "mix_size", "mix_digest", "mix_taken")
+                      & F.col("d.digest").eqNullSafe(F.col("t.digest"))).select("d.*", "mix_taken")
 
     repeated = taken.where("mix_rows > 1")
     if not repeated.isEmpty():
-        d = joined(taken.where("mix_rows = 1")).unionByName(joined(repeated).dropDuplicates(["doc_id", "source", "mix_digest"]))
+        d = joined(taken.where("mix_rows = 1")).unionByName(joined(repeated).dropDuplicates(one))
     else:
         d = joined(taken)
-    whole, part = F.expr("mix_taken div mix_size"), F.col("mix_taken") % F.col("mix_size")
+    whole, part = F.expr("mix_taken div size"), F.col("mix_taken") % F.col("size")
     # lengths of the copies: whole ones, then the part (if any)
-    copies = F.concat(F.array_repeat(F.col("mix_size"), whole.cast("int")),
+    copies = F.concat(F.array_repeat(F.col("size"), whole.cast("int")),
                       F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
-    d = d.select(*names, "mix_size", F.explode(copies).alias("mix_words"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WS_AND_WORD), F.lit(0)), F.lit(1),
-                               F.col("mix_words").cast("int")), "")
-    text = F.when(F.col("mix_words") < F.col("mix_size"), cut).otherwise(F.col("text"))
-    cols = {"text": text.alias("text")}
+    d = d.select("doc", "size", F.explode(copies).alias("n"))
+    text = held(names, "text")
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WS_AND_WORD), F.lit(0)), F.lit(1), F.col("n").cast("int")), "")
+    in_part = F.col("n") < F.col("size")
+    new = {"text": F.when(in_part, cut).otherwise(text)}
     if "n_chars" in names:
-        cols["n_chars"] = F.when(F.col("mix_words") < F.col("mix_size"), F.char_length(cut).cast(docs.schema["n_chars"].dataType)) \
-            .otherwise(F.col("n_chars")).alias("n_chars")
-    return d.select(*[cols.get(c, F.col(c)) for c in names])
+        new["n_chars"] = F.when(in_part, F.char_length(cut).cast(docs.schema["n_chars"].dataType)) \
+            .otherwise(held(names, "n_chars"))
+    return d.select(*from_struct(names, new))
 
 
 #: A word with the white space before it.

@@ -4,8 +4,8 @@ Base findings are fixed patterns: assignments of passwords and keys, access iden
 long hex strings.  Besides, a text is searched for weak parts that are common in clean
 text by themselves: bare high-entropy tokens, names of users or clients, and endpoints.
 A credential is useless without its other parts, so a weak part is reported only where a
-complementary part (secret for identifier, identifier or secret for endpoint) lies in the same
-scope: a block of lines without a blank line between, however long.  Parts have no upper length;
+complementary part lies in the same scope (of identifier, secret and endpoint any two
+complete each other): a block of lines without a blank line between, however long.  Parts have no upper length;
 of a weak part that overlaps base findings, what lies outside them is reported.
 Parts are intervals of one text, so the interval join runs inside the row: complements are
 sorted by position and looked up by bisection; nothing is shuffled.
@@ -44,7 +44,9 @@ BARE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9
 IDENTIFIER = re.compile(r"""\b(?:user(?:_?name|_?id)?|login|client_?id|account(?:_?id)?|access_?key_?id)["']?\x20?[:=]\x20?["']?([A-Za-z0-9@._-]{3,})""", re.I | re.A)
 ENDPOINT = re.compile(r"\b(?:https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>|]{4,}", re.A)
 #: What completes a weak part.
-COMPLEMENT = {"weak_secret": ("identifier",), "weak_id": ("secret",), "endpoint": ("identifier", "secret")}
+COMPLEMENT = {"weak_secret": ("identifier", "endpoint"), "weak_id": ("secret", "endpoint"), "endpoint": ("identifier", "secret")}
+#: What the kinds are; all others are secrets.
+ROLE = {"access": "identifier", "weak_id": "identifier", "endpoint": "endpoint"}
 
 
 def entropy(token: str) -> float:
@@ -124,11 +126,9 @@ def linked_spans(text: str, base: list[tuple[str, int, int]], reach: float = REA
     if not left:
         return []
     scope = _scope_of(text)
-    parts: dict[str, list[tuple[int, int, int]]] = {"identifier": [], "secret": []}
+    parts: dict[str, list[tuple[int, int, int]]] = {"identifier": [], "secret": [], "endpoint": []}
     for kind, s, e in [*base, *left]:
-        role = {"access": "identifier", "weak_id": "identifier", "endpoint": None}.get(kind, "secret")
-        if role:
-            parts[role].append((scope(s), s, e))
+        parts[ROLE.get(kind, "secret")].append((scope(s), s, e))
     places = {role: Intervals(found) for role, found in parts.items()}
 
     def completed(kind: str, s: int, e: int) -> bool:
@@ -199,6 +199,7 @@ def redacted(docs: DataFrame) -> DataFrame:
             if "n_chars" in names:
                 j = names.index("n_chars")
                 cols[j] = pa.array([n if a is b_ or a == b_ else len(b_) for n, a, b_ in zip(cols[j].to_pylist(), texts, new)], cols[j].type)
-            yield pa.RecordBatch.from_arrays(cols, names)
+            yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    by_place = docs.toDF(*[f"c{i}" for i in range(len(names))])     # names may need quotes
+    return by_place.mapInArrow(run, by_place.schema).toDF(*names)

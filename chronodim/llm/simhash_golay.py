@@ -11,7 +11,8 @@ pairs of chunks, each compared in a task of its own.
 
 Defined cases: a null, empty or blank text has fingerprint zero and is linked like any
 other; equal rows and ids share the component; a null id is never a component id unless
-all its members are null; an empty table gives no rows; other columns aren't read.
+all its members are null; an empty table gives no rows; other columns aren't read, and
+``survivors`` passes them through, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import row_digest, written
+from .common import as_struct, from_struct, row_digest, written
 from .components import components
 
 SHINGLE = 4
@@ -292,7 +293,6 @@ def survivors(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     distinct = written(distinct, "distinct-fingerprints")
     keep = component_roots(distinct, max_bits, bucket_rows).groupBy("root").agg(F.min("first").alias("first")) \
         .select("first.doc_id", "first.digest").alias("k")
-    d = docs.withColumn("_digest", row_digest(docs)).alias("d")
-    d = d.join(keep, F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col("d._digest") == F.col("k.digest")),
-               "left_semi")
-    return d.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    d = docs.select(F.col("doc_id").cast("long").alias("id"), row_digest(docs).alias("digest"), as_struct(docs.columns))
+    d = d.join(keep, F.col("id").eqNullSafe(F.col("k.doc_id")) & d["digest"].eqNullSafe(F.col("k.digest")), "left_semi")
+    return d.dropDuplicates(["id", "digest"]).select(*from_struct(docs.columns, {}))
