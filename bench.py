@@ -99,12 +99,14 @@ def skew_demo(spark, sf_dir, scratch):
     rows = dim.count() + stg.count()
     out = {"input_rows": rows, "keys": 5}
     for label, limit in (("window_path_sec", None), ("hot_path_sec", max(1, rows // 10))):
-        if limit:
+        if limit:                                 # each key in several slices
             spark.conf.set("chronodim.skew.hotKeyRows", str(limit))
+            spark.conf.set("chronodim.skew.sliceRows", str(max(1, rows // 50)))
         t0 = time.perf_counter()
         apply_scd2(dim, stg, spec).write.format("noop").mode("overwrite").save()
         out[label] = round(time.perf_counter() - t0, 3)
         spark.conf.unset("chronodim.skew.hotKeyRows")
+        spark.conf.unset("chronodim.skew.sliceRows")
     return out
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import due as due_expr
 from ..functions.columns import ts_literal
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION
+from .ordered import has_hot_group, lead_within
 from .update import update_from
-from .versions import TS, max_version
+from .versions import TS, hot_key_rows, max_version
 
 
 def staged_keys(s: DataFrame, keys) -> DataFrame:
@@ -53,21 +54,22 @@ def retire_older(d: DataFrame, s: DataFrame, keys, scope: str = "batch") -> Data
                        where=F.col(VERSION) < F.col("max_version"))
 
 
-def next_start(d: DataFrame, s: DataFrame, keys, scope: str = "touched", skewed: bool = False) -> DataFrame:
+def next_start(d: DataFrame, s: DataFrame, keys, scope: str = "touched", skewed: bool | None = None) -> DataFrame:
     """``LEAD(date_from) OVER (PARTITION BY key ORDER BY version)`` over
     all versions of touched keys or over the batch's rows.  ``skewed``: chain
-    with range slices and a row-id join instead of a window over the key."""
+    slices of the order instead of whole keys (default: if a key has more rows than the
+    hot-key limit)."""
     src = batch_rows(d, s, keys) if scope == "batch" else touched_rows(d, s, keys)
-    order = [F.col(VERSION).asc_nulls_last(), F.col(DATE_FROM).asc_nulls_last()]
+    if skewed is None:
+        skewed = has_hot_group(src.select(*keys), keys, hot_key_rows(src))
     if skewed:
-        from .ordered import lead_within
-        return lead_within(src.select(*keys, VERSION, DATE_FROM), list(keys), order, DATE_FROM,
+        return lead_within(src.select(*keys, VERSION, DATE_FROM), list(keys), [VERSION, DATE_FROM], DATE_FROM,
                            "next_date_from").select(*keys, VERSION, "next_date_from")
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(F.col(VERSION).asc_nulls_last(), F.col(DATE_FROM).asc_nulls_last())
     return src.select(*keys, VERSION, F.lead(DATE_FROM).over(w).alias("next_date_from"))
 
 
-def redate(d: DataFrame, s: DataFrame, keys, scope: str = "touched", skewed: bool = False) -> DataFrame:
+def redate(d: DataFrame, s: DataFrame, keys, scope: str = "touched", skewed: bool | None = None) -> DataFrame:
     """``date_to := next version's date_from`` where there is one."""
     nxt = next_start(d, s, keys, scope, skewed).where(F.col("next_date_from").isNotNull())
     return update_from(d, nxt, list(keys) + [VERSION], {DATE_TO: F.col("next_date_from")})

@@ -3,36 +3,34 @@
 A window partitioned by a group runs each group in one task.  For a group
 that holds a large share of the rows (a hot key) these helpers spread it:
 
-1. ``repartitionByRange(group, order)`` cuts the sorted order of every group
-   into contiguous slices spread over tasks, ``sortWithinPartitions`` orders
-   each slice, and ``monotonically_increasing_id`` numbers rows along that
-   order (partition id in the high bits, position in the low bits).  The
-   result is checkpointed to ``spark.checkpoint.dir`` so the ids are fixed
-   values: a lost executor cannot renumber rows under a later join.
-2. A per-(group, slice) summary (first id, row count, first value) has at most
-   #groups + #slices rows; a window over it gives each slice its offset and the
-   first value of the next slice of the same group.  It is broadcast when its
-   counted size allows (always for a few hot keys), else joined by shuffle.
-3. ``row_number`` = offset + position in slice; ``lead`` = the row with the
-   next id (an equi-join on the id, hash-distributed evenly), or for a slice's
-   last row the next slice's first value.
-
-Callers pass an order that is total within the group where the result must be
-deterministic.
+1. Bounds.  A sample of the order's keys (rows by a hash of the key, so a rerun takes the same
+   ones) gives each group its quantiles: an array of keys, stored once and broadcast
+   after its bytes are measured.
+2. The slice of a row is the number of its group's bounds that are not above its key: a
+   function of the row, found by binary search.  No row ids, so no wide rows need to be
+   stored and nothing can be renumbered.
+3. Windows run over (group, slice).  A summary per slice (row count, first value) gives
+   each slice the number of rows before it and the first value of the next one.
+
+The order is ascending, nulls last, over plain columns; a hash of the row is its last key, so
+that it is total up to identical rows.  Equal keys are in one slice.
 """
 
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_PID, _ID = "_seq_pid", "_seq_id"
-
-
-def _order_cols(order) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
+DEFAULT_SLICE_ROWS = 250_000
+_SLICE_CONF = "chronodim.skew.sliceRows"
+MAX_SLICES = 4096           # of all groups together, about; beyond, slices grow
+SAMPLE = 16                 # sampled keys for each slice
+_KEY, _SLICE = "_seq_key", "_seq_slice"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -63,69 +61,101 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sequenced(df: DataFrame, group, order) -> DataFrame:
-    """Rows of ``df`` range-partitioned and numbered along ``group, order``.
+def slice_rows(df: DataFrame) -> int:
+    """Rows of a group that one task orders."""
+    return int(df.sparkSession.conf.get(_SLICE_CONF, None) or DEFAULT_SLICE_ROWS)
 
-    A hash of the whole row is the last sort key, so the order is total up to
-    identical rows.  Range bounds and partition ids may differ between two
-    evaluations, so the numbered rows are always stored: see ``stored``."""
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    cols = [F.col(g) for g in group] + _order_cols(order) + [row_hash]
-    return stored(df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-                    .withColumn(_PID, F.spark_partition_id())
-                    .withColumn(_ID, F.monotonically_increasing_id()))
 
+def _hashable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_hashable(f.dataType) for f in t.fields)
+    return _hashable(t.elementType) if isinstance(t, T.ArrayType) else not isinstance(t, (T.MapType, T.VariantType))
 
-def _slices(seq: DataFrame, group, value: str | None = None) -> DataFrame:
-    aggs = [F.min(_ID).alias("_first_id"), F.max(_ID).alias("_last_id"), F.count(F.lit(1)).alias("_n")]
-    if value is not None:
-        aggs.append(F.min(F.struct(F.col(_ID), F.col(value).alias("v"))).alias("_first"))
-    sl = seq.groupBy(*group, _PID).agg(*aggs)
-    w = Window.partitionBy(*group).orderBy(_PID)
-    sl = sl.withColumn("_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                              F.lit(0)))
-    if value is not None:
-        sl = sl.withColumn("_next_first", F.lead(F.col("_first")["v"]).over(w))
-    return sl
 
+def _key(df: DataFrame, order) -> Column:
+    """One value that compares as the order does (nulls last)."""
+    cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    row_hash = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if _hashable(f.dataType)])
+    return F.struct(*[x.alias(f"k{i}") for i, x in enumerate([y for c in cols for y in (c.isNull(), c)] + [row_hash])])
 
-def _join_slices(seq: DataFrame, sl: DataFrame, group) -> DataFrame:
-    """Attach each row's slice summary; group values may be NULL (null-safe).
-    The summary has at most #groups + #slices rows: broadcast after a count
-    (few groups, e.g. hot keys), else joined by shuffle."""
+
+def _by_group(df: DataFrame, facts: DataFrame, group, more=()) -> DataFrame:
+    """Attach facts of a group (and of ``more`` columns): broadcast where their measured bytes
+    allow; group values may be NULL."""
     from .partitioning import checked_broadcast
-    sl = sl.select(*[F.col(g).alias("_sl_" + g) for g in group], F.col(_PID).alias("_sl_pid"),
-                   *[c for c in sl.columns if c not in group and c != _PID])
-    sl, _, _ = checked_broadcast(sl)
-    cond = F.col(_PID) == F.col("_sl_pid")
-    for g in group:
-        cond = cond & F.col(g).eqNullSafe(F.col("_sl_" + g))
-    return seq.join(sl, cond, "inner").drop("_sl_pid", *["_sl_" + g for g in group])
+    facts, _, _ = checked_broadcast(facts)
+    on = [*group, *more]
+    facts = facts.select(*[F.col(c).alias("_sl_" + c) for c in on], *[c for c in facts.columns if c not in on])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col("_sl_" + c)) for c in on])
+    return df.join(facts, same, "left").drop(*["_sl_" + c for c in on])
+
+
+def _sliced(df: DataFrame, group, order, rows: int) -> DataFrame:
+    """``df`` with its order's key and slice."""
+    keyed = df.withColumn(_KEY, _key(df, order))
+    every = max(1, rows // SAMPLE)
+    sample = keyed.where(F.pmod(F.xxhash64(_KEY), F.lit(every)) == 0)
+    bounds = sample.groupBy(*group).agg(F.sort_array(F.collect_list(_KEY)).alias("_all"))      # bounded by the sample
+    step = max(1, rows // every)
+    bounds = stored(bounds.select(*group, F.filter("_all", lambda x, i: i % step == step - 1).alias("_bounds")))
+    most = bounds.agg(F.coalesce(F.max(F.size("_bounds")), F.lit(0))).first()[0]
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, int(most).bit_length())))])
+    n = F.coalesce(F.size("_bounds"), F.lit(0))
+    at = F.aggregate(steps, F.lit(0), lambda p, s: F.when(
+        (p + s <= n) & (F.get("_bounds", F.least(p + s, n) - 1) <= F.col(_KEY)), p + s).otherwise(p))
+    return _by_group(keyed, bounds, group).withColumn(_SLICE, at).drop("_bounds")
+
+
+def _ordered(df: DataFrame, group, order, value: str | None = None) -> tuple[DataFrame, Window]:
+    """``df`` with ``_seq_before`` (rows of earlier slices) and the values beside its slice: ``_seq_next``,
+    the first of the next one, and ``_seq_last``, the last of the one before; and the window of a slice."""
+    group = list(group)
+    n = df.count()
+    rows = max(slice_rows(df), n // MAX_SLICES)
+    if n <= rows:                               # one slice holds everything
+        keyed = df.withColumn(_KEY, _key(df, order)).withColumn(_SLICE, F.lit(0))
+        out = keyed.withColumn("_seq_before", F.lit(0).cast("long"))
+        if value is not None:
+            none = F.lit(None).cast(df.schema[value].dataType)
+            out = out.withColumn("_seq_next", none).withColumn("_seq_last", none)
+        return out, Window.partitionBy(*group).orderBy(_KEY)
+    d = _sliced(df, group, order, rows)
+    pair = None if value is None else F.struct(F.col(_KEY).alias("k"), F.col(value).alias("v"))
+    ends = [] if value is None else [F.min(pair).alias("_low"), F.max(pair).alias("_high")]
+    slices = d.groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias("_n"), *ends)
+    w = Window.partitionBy(*group).orderBy(_SLICE)          # groups times slices: the bounds' size
+    slices = slices.withColumn("_seq_before", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if value is not None:
+        slices = slices.withColumn("_seq_next", F.lead(F.col("_low")["v"]).over(w)).withColumn("_seq_last", F.lag(F.col("_high")["v"]).over(w))
+    slices = stored(slices.drop("_n", "_low", "_high"))
+    return _by_group(d, slices, group, [_SLICE]), Window.partitionBy(*group, _SLICE).orderBy(_KEY)
 
 
 def rank_within(df: DataFrame, group, order, name: str) -> DataFrame:
     """``df`` plus ``name`` = ROW_NUMBER() OVER (PARTITION BY group ORDER BY order)."""
-    group = list(group)
-    seq = sequenced(df, group, order)
-    sl = _slices(seq, group).select(*group, _PID, "_first_id", "_before")
-    out = _join_slices(seq, sl, group)
-    out = out.withColumn(name, (F.col("_before") + F.col(_ID) - F.col("_first_id") + 1).cast("int"))
-    return out.drop(_PID, _ID, "_first_id", "_before")
+    d, w = _ordered(df, group, order)
+    return d.withColumn(name, (F.col("_seq_before") + F.row_number().over(w)).cast("int")).drop("_seq_before", _KEY, _SLICE)
+
+
+def _beside(df: DataFrame, group, order, value: str, name: str, step: int, edge: str) -> DataFrame:
+    d, w = _ordered(df, group, order, value)
+    d = d.withColumn("_seq_beside", F.lead(F.struct(F.col(value).alias("v")), step).over(w))
+    return d.withColumn(name, F.when(F.col("_seq_beside").isNotNull(), F.col("_seq_beside")["v"]).otherwise(F.col(edge))) \
+            .drop("_seq_beside", "_seq_next", "_seq_last", "_seq_before", _KEY, _SLICE)
 
 
 def lead_within(df: DataFrame, group, order, value: str, name: str) -> DataFrame:
     """``df`` plus ``name`` = LEAD(value) OVER (PARTITION BY group ORDER BY order)."""
-    group = list(group)
-    seq = sequenced(df, group, order)
-    sl = _slices(seq, group, value).select(*group, _PID, "_last_id", "_next_first")
-    # the row after each row in the same slice: an equi-join on the id
-    nxt = seq.select(*[F.col(g).alias("_nx_" + g) for g in group], (F.col(_ID) - 1).alias("_nx_id"),
-                     F.col(value).alias("_nx_value"))
-    cond = F.col(_ID) == F.col("_nx_id")
-    for g in group:
-        cond = cond & F.col(g).eqNullSafe(F.col("_nx_" + g))
-    out = seq.join(nxt, cond, "left")
-    out = _join_slices(out, sl, group)
-    out = out.withColumn(name, F.when(F.col(_ID) == F.col("_last_id"), F.col("_next_first"))
-                                  .otherwise(F.col("_nx_value")))
-    return out.drop(_PID, _ID, "_last_id", "_next_first", "_nx_value", "_nx_id", *["_nx_" + g for g in group])
+    return _beside(df, group, order, value, name, 1, "_seq_next")
+
+
+def lag_within(df: DataFrame, group, order, value: str, name: str) -> DataFrame:
+    """``df`` plus ``name`` = LAG(value) OVER (PARTITION BY group ORDER BY order)."""
+    return _beside(df, group, order, value, name, -1, "_seq_last")
+
+
+def has_hot_group(rows: DataFrame, group, limit: int) -> bool:
+    """Whether a group has more than ``limit`` rows; groups are counted only where all rows together do."""
+    if rows.count() <= limit:
+        return False
+    return not rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).isEmpty()

@@ -14,6 +14,16 @@ from pyspark.sql import types as T
 from ..functions.columns import changed, named, open_end, ts_literal
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 
+DEFAULT_HOT_KEY_ROWS = 5_000_000
+_HOT_CONF = "chronodim.skew.hotKeyRows"
+
+
+def hot_key_rows(df: DataFrame) -> int:
+    """Rows of one key above which it is ordered in slices."""
+    conf = df.sparkSession.conf.get(_HOT_CONF, None)
+    return int(conf) if conf else DEFAULT_HOT_KEY_ROWS
+
+
 TS = "_ts"          # staged change timestamp after map_columns
 CUR = "cur_"        # prefix of columns taken from the current version
 
@@ -33,12 +43,16 @@ def _orderable(t: T.DataType) -> bool:
     return not isinstance(t, (T.MapType, T.VariantType))
 
 
-def staged_order(rows: DataFrame, spec: DimSpec, first: tuple[Column, ...] = (), last: tuple[str, ...] = ()) -> list[Column]:
-    """The order of staged rows: timestamp, ``tiebreak``, the carried columns (``first`` or
+def staged_values(rows: DataFrame, spec: DimSpec, first: tuple[Column, ...] = (), last: tuple[str, ...] = ()) -> list[Column]:
+    """The columns that order staged rows: timestamp, ``tiebreak``, the carried columns (``first`` or
     ``last``), and the values of all others.  It is the same in every form of a load."""
-    ties = [*[F.col(c) for c in spec.tiebreak], *first,
+    return [F.col(TS), *[F.col(c) for c in spec.tiebreak], *first,
             *[F.col(c) for c in spec.order_cols + last if _orderable(rows.schema[c].dataType)]]
-    return [F.col(TS).asc_nulls_last(), *[c.asc_nulls_last() for c in ties]]
+
+
+def staged_order(rows: DataFrame, spec: DimSpec, first: tuple[Column, ...] = (), last: tuple[str, ...] = ()) -> list[Column]:
+    """``staged_values`` as a window's order."""
+    return [c.asc_nulls_last() for c in staged_values(rows, spec, first, last)]
 
 
 def current(d: DataFrame) -> DataFrame:
@@ -105,22 +119,25 @@ def with_max_version(s: DataFrame, d: DataFrame, keys) -> DataFrame:
 
 
 def number_versions(rows: DataFrame, spec: DimSpec, base: str = "cur_version",
-                    skewed: bool = False) -> DataFrame:
+                    skewed: bool | None = None) -> DataFrame:
     """``base + ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts)``.
 
     ``base`` is a column (``cur_version`` after ``changed_rows``,
     ``max_version`` after ``with_max_version``); NULL counts as 0 (P9).
-    ``skewed``: number with range slices instead of a window over the key."""
+    ``skewed``: number slices of the order instead of whole groups (default: if a
+    group has more rows than the hot-key limit)."""
     if base == "cur_version":                   # carried columns are the current version's here
-        order = staged_order(rows, spec, first=tuple(F.col(c) for c in spec.carry_cols))
+        order = staged_values(rows, spec, first=tuple(F.col(c) for c in spec.carry_cols))
     else:
-        order = staged_order(rows, spec, last=spec.carry_cols)
+        order = staged_values(rows, spec, last=spec.carry_cols)
+    from .ordered import has_hot_group, rank_within
+    if skewed is None:
+        skewed = has_hot_group(rows.select(*spec.partition_cols), spec.partition_cols, hot_key_rows(rows))
     if skewed:
-        from .ordered import rank_within
         rows = rank_within(rows, list(spec.partition_cols), order, "_rn")
         rn = F.col("_rn")
     else:
-        rn = F.row_number().over(Window.partitionBy(*spec.partition_cols).orderBy(*order))
+        rn = F.row_number().over(Window.partitionBy(*spec.partition_cols).orderBy(*[c.asc_nulls_last() for c in order]))
     out = rows.withColumn(VERSION, (F.coalesce(F.col(base), F.lit(0)) + rn).cast("int"))
     return out.drop("_rn") if skewed else out
 
@@ -133,10 +150,9 @@ def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:
     order = staged_order(s, spec, last=spec.carry_cols)
     prev_struct = F.struct(*[F.col(c) for c in spec.tracked_cols])
     if hot:
-        from .ordered import lead_within
-        ties = [c for c in spec.tiebreak + spec.order_cols + spec.carry_cols if _orderable(s.schema[c].dataType)]
-        desc = [F.col(TS).desc_nulls_first(), *[F.col(c).desc_nulls_first() for c in ties]]
-        s = lead_within(s.withColumn("_cmp", prev_struct), list(spec.key_cols), desc, "_cmp", "_prev").drop("_cmp")
+        from .ordered import lag_within
+        values = staged_values(s, spec, last=spec.carry_cols)
+        s = lag_within(s.withColumn("_cmp", prev_struct), list(spec.key_cols), values, "_cmp", "_prev").drop("_cmp")
     else:
         s = s.withColumn("_prev", F.lag(prev_struct).over(Window.partitionBy(*spec.key_cols).orderBy(*order)))
     same = F.lit(True)

@@ -6,8 +6,8 @@ step that gathers one key into one task.
   hot key's rows before the shuffle — stored, and joined back by broadcast when
   their measured bytes fit the bound;
 * the batch match of J4 is an equi-join on ``(key, timestamp)``;
-* ``row_number`` and ``lead`` use ``operators.ordered`` (range slices, row ids,
-  equi-joins), so a hot key's versions spread over many tasks.
+* ``row_number`` and ``lead`` use ``operators.ordered`` (windows over slices of a
+  key's order), so a hot key's versions spread over many tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import due, ts_literal
 from ..operators.ordered import lead_within, rank_within, stored
 from ..operators.partitioning import checked_broadcast
-from ..operators.versions import _SEEN, TS, staged_order
+from ..operators.versions import _SEEN, TS, staged_values
 from ..spec import CURRENT, DATE_FROM, DATE_TO, VERSION, DimSpec
 from .scd2 import _CURV, _KIND, _STG, CHG, DIM, NEW, SEEN, compared_with, row_kind
 
@@ -68,8 +68,8 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, again: bool = False) ->
 
     # (3) numbering: ranks of staged rows within the version partition
     cur_version, cur_carry = compared_with(spec, again)
-    order = staged_order(u, spec, last=spec.carry_cols)
-    changed_order = order if mode == "append_all" else staged_order(u, spec, first=tuple(cur_carry.values()))
+    order = staged_values(u, spec, last=spec.carry_cols)
+    changed_order = order if mode == "append_all" else staged_values(u, spec, first=tuple(cur_carry.values()))
     numbered = mode in ("append_all", "upsert") or spec.close_numbering == "row_number"
     if numbered:
         ranked = rank_within(u.where(kd == CHG), P, changed_order, "_rn")
@@ -110,7 +110,7 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, again: bool = False) ->
 
     if scope is not None:
         u = u.withColumn("_scope", F.coalesce(scope, F.lit(False)))
-        chained = lead_within(u.where(F.col("_scope")), K, [ver.asc_nulls_last(), start_col.asc_nulls_last()],
+        chained = lead_within(u.where(F.col("_scope")), K, [ver, start_col],
                               DATE_FROM, "_next")
         u = chained.unionByName(u.where(~F.col("_scope")).withColumn("_next", F.lit(None).cast("timestamp_ntz")))
         if repeats:            # rows of a new key share version 1, by which the update matches
@@ -119,11 +119,12 @@ def versioned_hot(u: DataFrame, spec: DimSpec, batch_ts, again: bool = False) ->
             u = u.withColumn("_next", F.when(kd == NEW, F.col("_first")).otherwise(F.col("_next")))
         u = u.withColumn(DATE_TO, F.when(F.col("_next").isNotNull(), F.col("_next")).otherwise(F.col(DATE_TO)))
     else:
-        ranked = rank_within(u.where(touched), K, [ver.desc_nulls_last(), start_col.desc_nulls_last()], "_rn2")
-        u = ranked.unionByName(u.where(~touched).withColumn("_rn2", F.lit(None).cast("int")))
-        # every row with the version number of the second row (Q13)
-        second = u.where(F.col("_rn2") == 2).groupBy(*K).agg(F.max(ver).alias("_second"))
-        u = _facts_join(u, second, K)
+        # every row with the version number of the second row (Q13): the highest version if two
+        # rows have it, else the next one
+        u = _facts_join(u, u.where(touched).groupBy(*K).agg(F.max(ver).alias("_highest")), K)
+        top = F.col("_highest")
+        second = F.when(F.count(F.when(ver == top, 1)) > 1, F.max(top)).otherwise(F.max(F.when(ver < top, ver)))
+        u = _facts_join(u, u.where(touched).groupBy(*K).agg(second.alias("_second")), K)
         hit = touched & (ver == F.col("_second")) & due(start_col, batch_ts, spec.due)
         if spec.reclose == "current":
             hit = hit & cur_flag

@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import changed, due, key_ok, named, open_end, ts_literal
 from ..operators.ordered import can_store, stored
 from ..operators.partitioning import checked_broadcast, measured_bytes
-from ..operators.versions import _SEEN, TS, dedupe_batch, map_columns, repeated_changes, staged_order
+from ..operators.versions import (_SEEN, TS, dedupe_batch, hot_key_rows, map_columns, repeated_changes, staged_order,
+                                  staged_values)
 from ..spec import CURRENT, DATE_FROM, DATE_TO, FILL, VERSION, DimSpec
 
 # row kinds inside the load
@@ -226,7 +227,7 @@ def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") ->
     numbered = spec.mode == "append_all" or spec.new_keys == "number"
     if numbered and skew != "off" and s.count() > (0 if skew == "all" else hot_key_rows(s)):
         from ..operators.ordered import rank_within
-        s = rank_within(s, list(spec.partition_cols), order, "_rn")
+        s = rank_within(s, list(spec.partition_cols), staged_values(s, spec, last=spec.carry_cols), "_rn")
         version = F.col("_rn")
     elif numbered:
         version = F.row_number().over(Window.partitionBy(*spec.partition_cols).orderBy(*order))
@@ -237,16 +238,6 @@ def _null_key_rows(s: DataFrame, spec: DimSpec, batch_ts, skew: str = "auto") ->
     return s.select(*[made[c].alias(c) if c in made else F.col(c) for c in spec.dim_cols])
 
 
-DEFAULT_HOT_KEY_ROWS = 5_000_000
-_HOT_CONF = "chronodim.skew.hotKeyRows"
-
-
-def hot_key_rows(df: DataFrame) -> int:
-    """Rows of one key above which the key leaves the window stage."""
-    conf = df.sparkSession.conf.get(_HOT_CONF, None)
-    return int(conf) if conf else DEFAULT_HOT_KEY_ROWS
-
-
 def row_counts(d: DataFrame, s: DataFrame, keys) -> tuple[int, int, int]:
     """Exact row counts of the dimension and the (non-NULL-key) batch, and the measured bytes
     of the staged keys, in one job: a global aggregate over a scan of the staged keys (the
