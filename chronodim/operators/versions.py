@@ -164,18 +164,22 @@ def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:
 _SEEN = "_seen"     # carried values of the version-1 row that a repeated new row is compared with
 
 
-def repeated_changes(s: DataFrame, d: DataFrame, spec: DimSpec) -> DataFrame:
-    """Step 2 on step 1's rows (Q4): a new key staged more than once gives a changed row for
-    each pair of its staged rows that differ.  ``s``'s columns and ``_seen``, the other row's
-    carried values.
+def repeated_new_keys(s: DataFrame, d: DataFrame, keys) -> DataFrame:
+    """Keys that are staged more than once and absent from the dimension."""
+    often = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+    return often.join(d.select(*keys), list(keys), "left_anti")
+
+
+def repeated_changes(s: DataFrame, repeated: DataFrame, spec: DimSpec) -> DataFrame:
+    """Step 2 on step 1's rows (Q4): a new key staged more than once (``repeated``) gives a changed
+    row for each pair of its staged rows that differ.  ``s``'s columns and ``_seen``, the other
+    row's carried values.
 
     Rows are compared by classes of equal tracked values, of which the ones that differ are
     joined; a class's rows count by their carried values.  So equal rows cost a count, and
     the work beyond that is the result's rows."""
     K = list(spec.key_cols)
-    often = s.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*K)
-    new = s.join(often, K, "left_semi").join(d.select(*K), K, "left_anti") \
-           .withColumn("_class", F.struct(*spec.tracked_cols))
+    new = s.join(repeated, K, "left_semi").withColumn("_class", F.struct(*spec.tracked_cols))
     seen = F.struct(F.lit(1).alias("v"), *spec.carry_cols).alias(_SEEN)
     counts = new.groupBy(*K, "_class", seen).agg(F.count(F.lit(1)).alias("_n"))
     mine = counts.select(*K, "_class").distinct()

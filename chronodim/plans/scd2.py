@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import changed, due, key_ok, named, open_end, ts_literal
 from ..operators.ordered import can_store, stored
 from ..operators.partitioning import checked_broadcast, measured_bytes
-from ..operators.versions import (_SEEN, TS, dedupe_batch, hot_key_rows, map_columns, repeated_changes, staged_order,
+from ..operators.versions import (_SEEN, TS, dedupe_batch, hot_key_rows, map_columns, repeated_changes, repeated_new_keys, staged_order,
                                   staged_values)
 from ..spec import CURRENT, DATE_FROM, DATE_TO, FILL, VERSION, DimSpec
 
@@ -312,11 +312,14 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_stage
 
 def _with_repeats(s: DataFrame, d: DataFrame, spec: DimSpec) -> tuple[DataFrame, int | None]:
     """The staged rows and those that ``repeated_changes`` adds (Q4), and how many these are
-    (None: not counted).  Only where some key is staged twice are new keys looked for."""
-    if s.groupBy(*spec.key_cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty():
+    (None: not counted).  One job finds the new keys that are staged twice; without any there is no more to do."""
+    keys = repeated_new_keys(s, d, spec.key_cols)
+    store = can_store(s.sparkSession)           # what steps below read again
+    keys, n, _ = checked_broadcast(stored(keys) if store else keys)
+    if not n:
         return s, 0
-    again, n = repeated_changes(s, d, spec), None
-    if can_store(s.sparkSession):           # branches below read it again
+    again, n = repeated_changes(s, keys, spec), None
+    if store:
         again = stored(again)
         n = again.count()
         if not n:
