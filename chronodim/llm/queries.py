@@ -32,9 +32,9 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def _scored(scores: DataFrame, held_out, threshold: float) -> DataFrame:
+def _scored(scores: DataFrame, held_out, threshold: float, *more) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score",
-                         F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"))
+                         F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int").alias("predicted"), *more)
 
 
 def op1_quality_rqda(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,8 @@ def op5_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_crc32() % 5 == 0
     scores = toxic_crf.toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels"), ~held_out)
-    return _scored(scores, held_out, toxic_crf.THRESHOLD)
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans")
+    return _scored(scores, held_out, toxic_crf.THRESHOLD, spans)
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 Labels are given for documents; words get labels first: a word of a toxic document is
 toxic if the word or one of its prefixes occurs far more often in toxic documents than in
-others.  The field has two states; a word's features (itself, prefixes, a suffix) are hashed
+others; those counts run on the executors over all labelled documents.  The field has two
+states; a word's features (itself, prefixes, a suffix) are hashed
 to weights, and transitions tie neighbours together.  It is fitted by gradient steps on a
 sample of labelled documents, ``MAX_TOXIC`` and ``MAX_CLEAN`` at most, in the order of a
-hash.  Scoring runs forward-backward over every word of every text: the recursions are
+hash, one text an id and ``SAMPLE_BYTES`` of each label at most (documents that no longer
+fit are left out of the sample).  Scoring runs forward-backward over every word of every text: the recursions are
 fractional linear maps, so many texts are scanned at once in pieces.  A document's score is
 the calibrated chance that any word is toxic; words with a marginal of a half or more are the
 offending spans.
@@ -20,7 +22,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,14 +31,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
 from .quality_rqda import _logistic
 from .tokens import blocks
 
-MAX_TOXIC, MAX_CLEAN = 2_000, 5_000
-FIT_TOXIC, FIT_CLEAN = 800, 800         # of those, documents for the gradient steps
+MAX_TOXIC, MAX_CLEAN = 2_500, 7_500
+FIT_TOXIC, FIT_CLEAN = 1_500, 1_500     # of those, documents for the gradient steps
+SAMPLE_BYTES = 64 << 20                 # texts of either label in the sample
 TABLE = 1 << 18
 PREFIXES = (4, 5, 6)
-LEAST_DOCUMENTS = 5                     # toxic documents with a word or prefix
+LEAST_DOCUMENTS = 5                     # labelled toxic documents with a word or prefix
 LEAST_RATIO = 20.0                      # of its shares in toxic and other documents
 STEPS = 60
 PIECE = 256
@@ -133,45 +136,105 @@ def any_toxic(p: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.clip(np.log(np.expm1(np.clip(none, 1e-12, 30))), -10, 10)
 
 
-class Documents:
-    """The distinct cores of one document after the other."""
+def split_words(text: str | None) -> list[str]:
+    return _WORD.findall(text or "")
 
-    def __init__(self, docs: list[np.ndarray], cores: list[str]):
-        self.docs, self.cores = docs, cores
 
-    def __iter__(self) -> Iterator[list[str]]:
-        return ([self.cores[i] for i in np.unique(d).tolist()] for d in self.docs)
+def fit_documents(labels: list[int]) -> list[int]:
+    """Places of the sample's documents that the gradient steps use: the first of each label."""
+    places = {0: [], 1: []}
+    for i, label in enumerate(labels):
+        places[label].append(i)
+    return sorted(places[1][:FIT_TOXIC] + places[0][:FIT_CLEAN])
 
 
-def toxic_stems(texts: "Documents", y: np.ndarray) -> set[str]:
-    """Cores and prefixes that mark toxic documents; ``texts`` gives the distinct cores of each,
-    once for every pass."""
-    toxic: Counter = Counter()
-    for cores, label in zip(texts, y.tolist()):
-        if label:
-            toxic.update({s for c in cores for s in stems(c)})
-    toxic = Counter({s: k for s, k in toxic.items() if k >= LEAST_DOCUMENTS})
-    clean: Counter = Counter()              # only of what may mark toxic documents
-    for cores, label in zip(texts, y.tolist()):
-        if not label:
-            clean.update({s for c in cores for s in stems(c) if s in toxic})
-    n = np.bincount(y, minlength=2)
-    return {s for s, k in toxic.items() if k / n[1] >= LEAST_RATIO * (clean[s] + 0.5) / max(n[0], 1)}
+def candidates(texts: list[str], labels: list[int]) -> list[str]:
+    """Cores and prefixes in the toxic documents of the gradient steps: only they can be marked there."""
+    cores = {core(w) for i in fit_documents(labels) if labels[i] for w in set(split_words(texts[i]))} - {""}
+    return sorted({s for c in cores for s in stems(c)})
 
 
-def fit(texts: list[str], labels: list[int]) -> Field | None:
-    """Fit on documents and their labels; None if no document is toxic."""
+class StemCounter:
+    """How many documents hold each candidate, by label; the last place counts the documents."""
+
+    def __init__(self, names: list[str]):
+        self.place = {s: i for i, s in enumerate(names)}
+        self.counts = np.zeros((2, len(names) + 1), np.int64)
+        self.cache: dict[str, list[int]] = {}
+
+    def of_word(self, w: str) -> list[int]:
+        found = self.cache.get(w)
+        if found is None:
+            if len(self.cache) > CACHE_WORDS:
+                self.cache = {}
+            c = core(w)
+            found = self.cache[w] = [self.place[s] for s in stems(c) if s in self.place] if c else []
+        return found
+
+    def add(self, texts: pa.Array, y: np.ndarray) -> None:
+        n, start = self.counts.shape[1], 0
+        self.counts[:, -1] += np.bincount(y, minlength=2)
+        for block in blocks(texts):
+            offsets, coded = words_of(block)
+            label, start = y[start:start + len(block)], start + len(block)
+            if not len(coded):
+                continue
+            lists = [self.of_word(w) for w in coded.dictionary.to_pylist()]
+            width = max(len(lists), 1)
+            pair = np.unique(np.repeat(np.arange(len(block)), np.diff(offsets)) * width + np.asarray(coded.indices))
+            doc, word = pair // width, pair % width
+            size = np.array([len(x) for x in lists])
+            begin = np.cumsum(size) - size
+            flat = np.array([p for x in lists for p in x], dtype=np.int64)
+            many = size[word]
+            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            held = np.unique(np.repeat(doc, many) * n + flat[np.repeat(begin[word], many) + inside])
+            for k in (0, 1):
+                self.counts[k] += np.bincount(held[label[held // n] == k] % n, minlength=n)
+
+    def rows(self) -> pa.RecordBatch:
+        at = np.nonzero(self.counts.any(axis=0))[0]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (at, self.counts[0, at], self.counts[1, at])],
+                                          ["place", "clean", "toxic"])
+
+
+def marked(names: list[str], clean: np.ndarray, toxic: np.ndarray) -> set[str]:
+    """Candidates that mark toxic documents; the last place of the counts holds the documents."""
+    good = (toxic[:-1] >= LEAST_DOCUMENTS) & \
+        (toxic[:-1] / max(toxic[-1], 1) >= LEAST_RATIO * (clean[:-1] + 0.5) / max(clean[-1], 1))
+    return {names[i] for i in np.nonzero(good)[0]}
+
+
+def marked_stems(labelled: DataFrame, names: list[str]) -> set[str]:
+    """``marked`` by counts over all rows of ``labelled`` (text, y): tasks add up their documents,
+    and at most one row per candidate reaches the driver."""
+    shipped = labelled.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = StemCounter(shipped.value)
+        for b in batches:
+            counter.add(b.column(0), np.asarray(b.column(1)))
+        yield counter.rows()
+
+    rows = labelled.select("text", "y").mapInArrow(run, "place long, clean long, toxic long") \
+                   .groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
+    counts = np.zeros((2, len(names) + 1), np.int64)
+    counts[:, np.asarray(rows["place"])] = np.asarray(rows["clean"]), np.asarray(rows["toxic"])
+    return marked(names, *counts)
+
+
+def fit(texts: list[str], labels: list[int], marks: set[str]) -> Field | None:
+    """Fit on documents and their labels; words with a core or prefix in ``marks`` are the toxic
+    ones of a toxic document; None if no document is toxic."""
     y = np.array(labels, dtype=np.int64)
     if not y.any():
         return None
     ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(core(w), len(ids)) for w in (t or "").split()], dtype=np.int32) for t in texts]
+    docs = [np.array([ids.setdefault(core(w), len(ids)) for w in split_words(t)], dtype=np.int32) for t in texts]
     del texts
     cores = list(ids)
-    marked = toxic_stems(Documents(docs, cores), y)
-    hot = np.array([any(s in marked for s in stems(c)) if c else False for c in cores], dtype=bool)
-    places = np.cumsum(y) * y, np.cumsum(1 - y) * (1 - y)
-    chosen = [i for i in range(len(docs)) if len(docs[i]) and (places[0][i] <= FIT_TOXIC if y[i] else places[1][i] <= FIT_CLEAN)]
+    hot = np.array([any(s in marks for s in stems(c)) if c else False for c in cores], dtype=bool)
+    chosen = [i for i in fit_documents(labels) if len(docs[i])]
     if not chosen:
         return None
     word = np.concatenate([docs[i] for i in chosen])
@@ -225,6 +288,15 @@ def fit(texts: list[str], labels: list[int]) -> Field | None:
     return m
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The words of one text after the other, coded, and where each text's begin."""
+    runs = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    offsets = np.asarray(runs.offsets).astype(np.int64)
+    flat = runs.flatten()
+    keep = np.asarray(pc.greater(pc.binary_length(flat), 0)) if len(flat) else np.zeros(0, bool)
+    return np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]], pc.dictionary_encode(flat.filter(pa.array(keep, pa.bool_())))
+
+
 class Tagger:
     """Marginals of every word of many texts; emissions are cached per worker task."""
 
@@ -245,16 +317,10 @@ class Tagger:
     def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each block of texts: marginals of all words, and where each text's begin."""
         for block in blocks(texts):
-            runs = pc.ascii_split_whitespace(pc.fill_null(block, "").cast(pa.large_string()))
-            offsets = np.asarray(runs.offsets).astype(np.int64)
-            flat = runs.flatten()
-            keep = np.asarray(pc.greater(pc.binary_length(flat), 0)) if len(flat) else np.zeros(0, bool)
-            offsets = np.concatenate([[0], np.cumsum(keep)])[offsets - offsets[0]]
-            flat = flat.filter(pa.array(keep))
-            if not len(flat):
+            offsets, coded = words_of(block)
+            if not len(coded):
                 yield np.zeros(0), offsets
                 continue
-            coded = pc.dictionary_encode(flat)
             e = self.emissions(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
             first = np.zeros(len(e), bool)
             first[offsets[:-1][np.diff(offsets) > 0]] = True
@@ -275,24 +341,44 @@ def toxic_spans(text: str, p: np.ndarray, least: float = 0.5) -> list[dict]:
     return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, label: str,
-                    max_toxic: int, max_clean: int) -> tuple[list[str], list[int]]:
-    """Texts and labels of a bounded sample, in the order of a hash of the id."""
-    y = labels.where(train & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)) \
-              .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
+def within(rows: list, most: int) -> list[int]:
+    """Ids, in the order of their hash, of texts that fit into ``most`` bytes together; rows: (hash, id, bytes)."""
+    out = []
+    for _, i, n in sorted(rows):
+        if n <= most:
+            out.append(i)
+            most -= n
+    return out
+
+
+def labelled_sample(d: DataFrame, y: DataFrame, max_toxic: int, max_clean: int) -> tuple[list[str], list[int]]:
+    """Texts and labels of a bounded sample of ``d`` (id, text), in the order of a hash of the id;
+    of rows that repeat an id the least text counts."""
     order = [F.xxhash64("id"), "id"]
     ids = y.where("y = 1").orderBy(*order).limit(max_toxic).unionByName(y.where("y = 0").orderBy(*order).limit(max_clean))
-    d = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    rows = d.join(F.broadcast(ids), "id").toArrow()      # max_toxic + max_clean documents
-    rows = rows.take(pc.sort_indices(rows, [("y", "descending"), ("id", "ascending")]))
-    return rows["text"].to_pylist(), rows["y"].to_pylist()
+    # max_toxic + max_clean ids at most
+    rows = d.join(F.broadcast(ids), "id").groupBy("id", "y").agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
+    rows = written(rows.select("id", "y", "text", F.octet_length("text").alias("n"), F.xxhash64("id").alias("h")), "toxic_sample")
+    sizes = rows.select("h", "id", "n", "y").collect()
+    kept = [i for k in (0, 1) for i in within([r[:3] for r in sizes if r[3] == k], SAMPLE_BYTES)]
+    got = rows.where(F.col("id").isin(kept)) if len(kept) < len(sizes) else rows
+    sample = got.select("id", "y", "text").toArrow()
+    sample = sample.take(pc.sort_indices(sample, [("y", "descending"), ("id", "ascending")]))
+    return sample["text"].to_pylist(), sample["y"].to_pylist()
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic",
              max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> DataFrame:
     """doc_id, score and spans of every document; learns from labels (doc_id, ``label``)
     where ``train`` (a condition on doc_id) holds."""
-    model = fit(*labelled_sample(docs, labels, train, label, max_toxic, max_clean))
+    y = labels.where(train & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)) \
+              .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
+    d = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    texts, truth = labelled_sample(d, y, max_toxic, max_clean)
+    model = None
+    if any(truth):
+        names = candidates(texts, truth)
+        model = fit(texts, truth, marked_stems(d.join(y, "id"), names))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,8 @@
 """Operators against plain versions, exact round trips, or accuracy on held-out rows."""
 
+import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -49,6 +51,57 @@ def test_scan_is_the_recursion():
 
 
 # 2
+def test_marginals_by_enumeration():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        sizes = rng.integers(1, 7, 3)
+        e = rng.normal(0, 2, sizes.sum())
+        model = toxic_crf.Field(np.zeros(1), trans=rng.normal(0, 1, (2, 2)))
+        first = np.zeros(len(e), bool)
+        first[np.cumsum(sizes) - sizes] = True
+        want = []
+        for doc in np.split(e, np.cumsum(sizes)[:-1]):
+            total, ones = 0.0, np.zeros(len(doc))
+            for states in itertools.product((0, 1), repeat=len(doc)):
+                weight = np.exp(sum(x for x, s in zip(doc, states) if s) + sum(model.trans[s] for s in zip(states, states[1:])))
+                total, ones = total + weight, ones + weight * np.array(states)
+            want += (ones / total).tolist()
+        assert np.allclose(model.marginals(e, first), want)
+
+
+def test_toxic_spans_are_runs_of_toxic_words():
+    rng = random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "é", "x\u00a0y", " ", "\t", "\n  ", "\u2003"]) for _ in range(rng.randint(0, 30)))
+        words = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        p = [rng.random() for _ in words]
+        toxic = [x >= 0.5 for x in p]
+        want = [{"start": words[i][0], "end": words[j][1]} for i in range(len(words)) for j in range(i, len(words))
+                if all(toxic[i:j + 1]) and not (i and toxic[i - 1]) and not (j + 1 < len(words) and toxic[j + 1])]
+        assert toxic_crf.toxic_spans(text, np.array(p)) == want
+
+
+def test_stem_counts_cover_all_labelled_rows(spark):
+    rng = random.Random(3)
+    vocabulary = ["Badword", "badwords!", "fine", "good", "Überfall", "x\u2003y", "--", "kindness"]
+    rows = [(" ".join(rng.choice(vocabulary[0 if y else 2:]) for _ in range(rng.randint(0, 6))) if rng.random() < 0.95 else None, y)
+            for y in (rng.randint(0, 1) for _ in range(400))]
+    names = toxic_crf.candidates([t for t, _ in rows], [y for _, y in rows])
+    counter = toxic_crf.StemCounter(names)
+    counter.add(pa.array([t for t, _ in rows], pa.string()), np.array([y for _, y in rows]))
+    held = [{s for w in toxic_crf.split_words(t) if toxic_crf.core(w) for s in toxic_crf.stems(toxic_crf.core(w))} for t, _ in rows]
+    for k in (0, 1):
+        want = [sum(s in h for h, (_, y) in zip(held, rows) if y == k) for s in names] + [sum(y == k for _, y in rows)]
+        assert counter.counts[k].tolist() == want
+    got = toxic_crf.marked_stems(spark.createDataFrame(rows, "text string, y int").repartition(5), names)
+    assert got == toxic_crf.marked(names, *counter.counts) and "badword" in got and "fine" not in got
+
+
+def test_sample_bytes_are_bounded():
+    assert toxic_crf.within([(3, 1, 5), (1, 2, 8), (2, 3, 4)], 13) == [2, 3]
+    assert toxic_crf.within([(1, 2, 80), (2, 3, 4)], 13) == [3]
+
+
 def test_minimax_capacity_is_smallest():
     rng = random.Random(1)
     for _ in range(200):
