@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -45,6 +45,7 @@ LEAST_RATIO = 20.0                      # of its shares in toxic and other docum
 STEPS = 60
 PIECE = 256
 CACHE_WORDS = 400_000
+STEP_WORDS = 300_000                    # words of a gradient's part, of one document at least
 THRESHOLD = 0.5
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -148,10 +149,19 @@ def fit_documents(labels: list[int]) -> list[int]:
     return sorted(places[1][:FIT_TOXIC] + places[0][:FIT_CLEAN])
 
 
-def candidates(texts: list[str], labels: list[int]) -> list[str]:
+class Sample:
+    """Documents as places of their words' cores, and their labels; texts are not kept."""
+
+    def __init__(self, texts: Iterable[str | None], labels: list[int]):
+        ids: dict[str, int] = {}
+        self.docs = [np.array([ids.setdefault(core(w), len(ids)) for w in split_words(t)], dtype=np.int32) for t in texts]
+        self.cores, self.labels = list(ids), labels
+
+
+def candidates(sample: Sample) -> list[str]:
     """Cores and prefixes in the toxic documents of the gradient steps: only they can be marked there."""
-    cores = {core(w) for i in fit_documents(labels) if labels[i] for w in set(split_words(texts[i]))} - {""}
-    return sorted({s for c in cores for s in stems(c)})
+    used = {c for i in fit_documents(sample.labels) if sample.labels[i] for c in np.unique(sample.docs[i]).tolist()}
+    return sorted({s for c in used if sample.cores[c] for s in stems(sample.cores[c])})
 
 
 class StemCounter:
@@ -223,45 +233,62 @@ def marked_stems(labelled: DataFrame, names: list[str]) -> set[str]:
     return marked(names, *counts)
 
 
-def fit(texts: list[str], labels: list[int], marks: set[str]) -> Field | None:
-    """Fit on documents and their labels; words with a core or prefix in ``marks`` are the toxic
-    ones of a toxic document; None if no document is toxic."""
-    y = np.array(labels, dtype=np.int64)
+def parts(docs: list[np.ndarray], chosen: list[int]) -> Iterator[list[int]]:
+    """Neighbouring documents of about ``STEP_WORDS`` words together."""
+    part, words = [], 0
+    for i in chosen:
+        if part and words + len(docs[i]) > STEP_WORDS:
+            yield part
+            part, words = [], 0
+        part.append(i)
+        words += len(docs[i])
+    if part:
+        yield part
+
+
+def fit(sample: Sample, marks: set[str]) -> Field | None:
+    """Fit on the sample; words with a core or prefix in ``marks`` are the toxic ones of a toxic
+    document; None if no document is toxic.  A step's gradient is the sum over parts of the documents, so that its
+    arrays stay small however many words the sample has."""
+    docs, cores, y = sample.docs, sample.cores, np.array(sample.labels, dtype=np.int64)
     if not y.any():
         return None
-    ids: dict[str, int] = {}
-    docs = [np.array([ids.setdefault(core(w), len(ids)) for w in split_words(t)], dtype=np.int32) for t in texts]
-    del texts
-    cores = list(ids)
     hot = np.array([any(s in marks for s in stems(c)) if c else False for c in cores], dtype=bool)
-    chosen = [i for i in fit_documents(labels) if len(docs[i])]
+    chosen = [i for i in fit_documents(sample.labels) if len(docs[i])]
     if not chosen:
         return None
-    word = np.concatenate([docs[i] for i in chosen])
-    size = np.array([len(docs[i]) for i in chosen])
-    first = np.zeros(len(word), bool)
-    first[np.cumsum(size) - size] = True
-    target = (hot[word] & np.repeat(y[chosen] == 1, size)).astype(float)
-    used, word = np.unique(word, return_inverse=True)
+    used = np.unique(np.concatenate([np.unique(docs[i]) for i in chosen]))
     lists = [features(cores[i]) if cores[i] else [] for i in used.tolist()]
     of_word = np.repeat(np.arange(len(used)), [len(x) for x in lists])
     flat = np.array([f for x in lists for f in x], dtype=np.int64)
+    del lists
     m = Field(np.zeros(TABLE))
-    inside = np.nonzero(~first)[0]
     pairs = np.zeros((2, 2))
-    np.add.at(pairs, (target[inside - 1].astype(int), target[inside].astype(int)), 1)
+    split = []
+    for part in parts(docs, chosen):
+        word = np.concatenate([docs[i] for i in part])
+        size = np.array([len(docs[i]) for i in part])
+        first = np.zeros(len(word), bool)
+        first[np.cumsum(size) - size] = True
+        target = hot[word] & np.repeat(y[part] == 1, size)
+        inside = np.nonzero(~first)[0]
+        np.add.at(pairs, (target[inside - 1].astype(int), target[inside].astype(int)), 1)
+        split.append((np.searchsorted(used, word).astype(np.int32), first, target))
     square_w, square_t, square_b = np.full(TABLE, 1e-4), np.full((2, 2), 1e-4), 1e-4
     for _ in range(STEPS):
         by_word = np.bincount(of_word, m.weights[flat], minlength=len(used)) + m.bias
-        e = by_word[word]
-        alpha, beta = m.forward_backward(e, first)
-        p = alpha * beta / (1 + alpha * beta)
-        miss = np.bincount(word, target - p, minlength=len(used))
+        miss, joined, t = np.zeros(len(used)), np.zeros(4), np.exp(m.trans)
+        for word, first, target in split:
+            e = by_word[word]
+            alpha, beta = m.forward_backward(e, first)
+            p = alpha * beta / (1 + alpha * beta)
+            miss += np.bincount(word, target - p, minlength=len(used))
+            inside = np.nonzero(~first)[0]
+            before, after = alpha[inside - 1], np.exp(np.clip(e[inside], -30, 30)) * beta[inside]
+            joint = np.stack([np.full(len(inside), t[0, 0]), t[0, 1] * after, t[1, 0] * before, t[1, 1] * before * after])
+            joined += (joint / joint.sum(axis=0)).sum(axis=1)
         grad = np.bincount(flat, miss[of_word], minlength=TABLE) - 0.05 * m.weights
-        x, t = np.exp(np.clip(e, -30, 30)), np.exp(m.trans)
-        before, after = alpha[inside - 1], x[inside] * beta[inside]
-        joint = np.stack([np.full(len(inside), t[0, 0]), t[0, 1] * after, t[1, 0] * before, t[1, 1] * before * after])
-        grad_t = pairs - (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2) - 0.05 * m.trans
+        grad_t = pairs - joined.reshape(2, 2) - 0.05 * m.trans
         grad_b = float(miss.sum())
         square_w += grad * grad
         square_t += grad_t * grad_t
@@ -351,8 +378,8 @@ def within(rows: list, most: int) -> list[int]:
     return out
 
 
-def labelled_sample(d: DataFrame, y: DataFrame, max_toxic: int, max_clean: int) -> tuple[list[str], list[int]]:
-    """Texts and labels of a bounded sample of ``d`` (id, text), in the order of a hash of the id;
+def labelled_sample(d: DataFrame, y: DataFrame, max_toxic: int, max_clean: int) -> Sample:
+    """A bounded sample of ``d`` (id, text), in the order of a hash of the id;
     of rows that repeat an id the least text counts."""
     order = [F.xxhash64("id"), "id"]
     ids = y.where("y = 1").orderBy(*order).limit(max_toxic).unionByName(y.where("y = 0").orderBy(*order).limit(max_clean))
@@ -363,8 +390,9 @@ def labelled_sample(d: DataFrame, y: DataFrame, max_toxic: int, max_clean: int)
     kept = [i for k in (0, 1) for i in within([r[:3] for r in sizes if r[3] == k], SAMPLE_BYTES)]
     got = rows.where(F.col("id").isin(kept)) if len(kept) < len(sizes) else rows
     sample = got.select("id", "y", "text").toArrow()
-    sample = sample.take(pc.sort_indices(sample, [("y", "descending"), ("id", "ascending")]))
-    return sample["text"].to_pylist(), sample["y"].to_pylist()
+    order = pc.sort_indices(sample.select(["y", "id"]), [("y", "descending"), ("id", "ascending")])
+    at = order.to_pylist()
+    return Sample((sample["text"][i].as_py() for i in at), sample["y"].take(order).to_pylist())
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic",
@@ -374,11 +402,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "to
     y = labels.where(train & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)) \
               .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
     d = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    texts, truth = labelled_sample(d, y, max_toxic, max_clean)
-    model = None
-    if any(truth):
-        names = candidates(texts, truth)
-        model = fit(texts, truth, marked_stems(d.join(y, "id"), names))
+    sample, model = labelled_sample(d, y, max_toxic, max_clean), None
+    if any(sample.labels):
+        model = fit(sample, marked_stems(d.join(y, "id"), candidates(sample)))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

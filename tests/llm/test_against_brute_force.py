@@ -86,7 +86,7 @@ def test_stem_counts_cover_all_labelled_rows(spark):
     vocabulary = ["Badword", "badwords!", "fine", "good", "Überfall", "x\u2003y", "--", "kindness"]
     rows = [(" ".join(rng.choice(vocabulary[0 if y else 2:]) for _ in range(rng.randint(0, 6))) if rng.random() < 0.95 else None, y)
             for y in (rng.randint(0, 1) for _ in range(400))]
-    names = toxic_crf.candidates([t for t, _ in rows], [y for _, y in rows])
+    names = toxic_crf.candidates(toxic_crf.Sample([t for t, _ in rows], [y for _, y in rows]))
     counter = toxic_crf.StemCounter(names)
     counter.add(pa.array([t for t, _ in rows], pa.string()), np.array([y for _, y in rows]))
     held = [{s for w in toxic_crf.split_words(t) if toxic_crf.core(w) for s in toxic_crf.stems(toxic_crf.core(w))} for t, _ in rows]
@@ -97,6 +97,16 @@ def test_stem_counts_cover_all_labelled_rows(spark):
     assert got == toxic_crf.marked(names, *counter.counts) and "badword" in got and "fine" not in got
 
 
+def test_gradients_by_parts_fit_the_same_field(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["badword", "awful", "fine", "good", "kind"][0 if i % 2 else 2:]) for _ in range(9)) for i in range(60)]
+    sample = toxic_crf.Sample(texts, [i % 2 for i in range(60)])
+    whole = toxic_crf.fit(sample, {"badword", "awful"})
+    monkeypatch.setattr(toxic_crf, "STEP_WORDS", 20)
+    some = toxic_crf.fit(sample, {"badword", "awful"})
+    assert np.allclose(whole.weights, some.weights) and np.allclose(whole.trans, some.trans) and whole.emission("badword") > whole.emission("fine")
+
+
 def test_sample_bytes_are_bounded():
     assert toxic_crf.within([(3, 1, 5), (1, 2, 8), (2, 3, 4)], 13) == [2, 3]
     assert toxic_crf.within([(1, 2, 80), (2, 3, 4)], 13) == [3]
