@@ -298,19 +298,17 @@ def fit(sample: Sample, marks: set[str]) -> Field | None:
         m.bias += 0.5 * grad_b / np.sqrt(square_b)
     m.weights[np.bincount(flat, minlength=TABLE) == 0] = 0.0
     raw, truth = [], []
-    for s in range(0, len(docs), 500):                  # calibration: all documents of the sample
-        some = [d for d in docs[s:s + 500]]
-        truth += y[s:s + 500].tolist()
-        length = np.array([len(d) for d in some])
+    by_core = np.array([m.emission(c) for c in cores], float)
+    for part in parts(docs, list(range(len(docs)))):    # calibration: all documents of the sample
+        length = np.array([len(docs[i]) for i in part])
+        truth += y[part].tolist()
         if not length.sum():
-            raw += [-10.0] * len(some)
+            raw += [-10.0] * len(part)
             continue
-        w = np.concatenate(some)
-        u, back = np.unique(w, return_inverse=True)
+        w = np.concatenate([docs[i] for i in part])
         begin = np.zeros(len(w), bool)
         begin[(np.cumsum(length) - length)[length > 0]] = True
-        p = m.marginals(np.array([m.emission(cores[i]) for i in u.tolist()])[back], begin)
-        raw += any_toxic(p, np.concatenate([[0], np.cumsum(length)])).tolist()
+        raw += any_toxic(m.marginals(by_core[w], begin), np.concatenate([[0], np.cumsum(length)])).tolist()
     m.slope, m.offset = _logistic(np.array(raw), np.array(truth, float))
     return m
 
