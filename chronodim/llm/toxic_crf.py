@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import checked_broadcast
 from .common import written
 from .quality_rqda import _logistic
 from .tokens import blocks
@@ -400,9 +401,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "to
     y = labels.where(train & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)) \
               .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
     d = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    y = written(y, "toxic_labels")
     sample, model = labelled_sample(d, y, max_toxic, max_clean), None
     if any(sample.labels):
-        model = fit(sample, marked_stems(d.join(y, "id"), candidates(sample)))
+        # labels are broadcast up to the library's bound of measured bytes; beyond it the texts are shuffled once
+        model = fit(sample, marked_stems(d.join(checked_broadcast(y)[0], "id"), candidates(sample)))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
