@@ -1,11 +1,15 @@
 """Minimax contiguous sharding of documents by size.
 
-Rows of equal text stay together.  Texts are put in the order of a 64-bit hash and the
-order is cut into ``2 ** ATOM_BITS`` ranges: the ordered atomic groups, whose sizes (at most
-that many numbers, whatever the input) go to the driver.  There the smallest feasible shard
-capacity is found by binary search with a greedy check, and the order is cut by it.  A
-group larger than that has forced the capacity (a text with very many copies) gets a shard
-of its own and the others are cut again, so that the remaining shards are near equal too.
+Rows of equal text stay together: texts are the atomic groups, in the order of a 64-bit hash.
+The smallest feasible shard capacity over them is found by binary search with a greedy check,
+on the driver, without bringing every text's size there.  The order begins as ``2 ** ATOM_BITS``
+ranges.  A capacity with cuts between ranges only is an upper bound, one with cuts anywhere
+in a range of several texts a lower bound; between them each cut stays within a short span.
+Ranges in these spans are divided, ``ROUND`` at most at a time, until they are single texts
+(or the bounds meet): then the upper bound is the smallest capacity over all texts, and the
+order is cut by it.  A text larger than that has forced the capacity (one with very many
+copies) gets a shard of its own and the others are cut again, so that the remaining shards
+are near equal too.
 
 Slots are counted without gathering a shard: rows of a shard fall into cells by a hash of
 their id, cells are counted and numbered, and only inside a cell a window numbers rows.
@@ -17,8 +21,9 @@ rows; with fewer groups than shards the last shards are empty.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +31,9 @@ from pyspark.sql import functions as F
 from .common import whole_text, written
 
 ATOM_BITS = 16
+STEP_BITS = 8               # a range is divided into 2 ** STEP_BITS at once
+ROUND = 4096                # ranges divided by one job
+LARGE = 64                  # ranges of several texts are divided beyond this part of a shard
 CELLS = 1024                # per shard, for numbering its rows
 ROW_BYTES = 8               # besides a text's bytes
 
@@ -55,26 +63,67 @@ def minimax_capacity(sizes: list[int], shards: int) -> int:
     return low
 
 
-def partition(atoms: list[tuple[int, int]], shards: int) -> dict[int, int]:
-    """Shard of each atomic group; ``atoms``: (group, size) in order."""
-    rest, out, done = list(atoms), {}, 0
+class Range(NamedTuple):
+    """Texts whose hashes begin with the same ``bits`` bits as ``start``."""
+
+    start: int
+    bits: int
+    size: int
+    whole: bool             # one text, or copies of it
+
+
+def reached(sums: list[int], whole: list[bool], shards: int, capacity: int) -> list[int]:
+    """Sums where runs of ``capacity`` end when ranges that are not ``whole`` may be cut anywhere."""
+    ends, at = [], 0
+    for _ in range(shards):
+        to = min(at + capacity, sums[-1])
+        i = bisect_right(sums, to) - 1
+        at = sums[i] if i == len(whole) or whole[i] else to
+        ends.append(at)
+    return ends
+
+
+def undecided(ranges: list[Range], shards: int) -> list[Range]:
+    """Ranges that must be divided before the smallest capacity over texts is known; ``ROUND`` at most."""
+    sums, whole = [0, *accumulate(r.size for r in ranges)], [r.whole for r in ranges]
+    most = minimax_capacity([r.size for r in ranges], shards)
+    low, high = -(-sums[-1] // shards), most
+    while low < high:
+        mid = (low + high) // 2
+        if reached(sums, whole, shards, mid)[-1] == sums[-1]:
+            high = mid
+        else:
+            low = mid + 1
+    todo = [r for r in ranges if not r.whole and r.size * LARGE > low]
+    if not todo and low < most:
+        spans = zip(reached(sums, [True] * len(whole), shards - 1, low), reached(sums, whole, shards - 1, most))
+        near = {i for a, b in spans for i in range(bisect_right(sums, a) - 1, bisect_left(sums, b))}
+        todo = [ranges[i] for i in near if not whole[i]]
+    return sorted(todo, key=lambda r: (-r.size, r.start))[:ROUND]
+
+
+def partition(ranges: list[Range], shards: int) -> tuple[dict[int, int], list[Range]]:
+    """Shard of each range by its start, or the ranges to be divided first."""
+    rest, out, done = sorted(ranges), {}, 0
     while rest and shards - done > 1:
-        capacity = minimax_capacity([s for _, s in rest], shards - done)
-        group, size = max(rest, key=lambda x: x[1])
-        # the capacity is one group's size, and the others would need less: it stands alone
-        if size < capacity or sum(s for _, s in rest) - size > (shards - done - 1) * size:
+        if todo := undecided(rest, shards - done):
+            return {}, todo
+        capacity = minimax_capacity([r.size for r in rest], shards - done)
+        top = max(rest, key=lambda r: r.size)
+        # the capacity is one text's size, and the others would need less: it stands alone
+        if top.size < capacity or sum(r.size for r in rest) - top.size > (shards - done - 1) * top.size:
             break
-        out[group] = done
+        out[top.start] = done
         done += 1
-        rest = [x for x in rest if x[0] != group]
+        rest.remove(top)
     if rest:
-        sizes = [s for _, s in rest]
+        sizes = [r.size for r in rest]
         ends = fits([0, *accumulate(sizes)], 0, shards - done, minimax_capacity(sizes, shards - done))
         start = 0
         for k, end in enumerate(ends):
-            out.update((g, done + k) for g, _ in rest[start:end])
+            out.update((r.start, done + k) for r in rest[start:end])
             start = end
-    return out
+    return out, []
 
 
 def text_group(text: str | Column) -> Column:
@@ -82,15 +131,48 @@ def text_group(text: str | Column) -> Column:
     return F.xxhash64(whole_text(text))
 
 
+def ranges_of(rows: DataFrame, bits: int) -> list[Range]:
+    """The ranges of ``bits`` bits that hold ``rows``, at most 2 ** bits."""
+    found = rows.groupBy(F.shiftright("group_hash", 64 - bits).alias("prefix")).agg(
+        F.sum("size").alias("s"), (F.min("group_hash") == F.max("group_hash")).alias("whole")).collect()
+    return [Range(r["prefix"] << (64 - bits), bits, r["s"], r["whole"]) for r in found]
+
+
+def divided(rows: DataFrame, chosen: list[Range]) -> list[Range]:
+    """Parts of ``chosen``; at most ``ROUND * 2 ** STEP_BITS`` ranges."""
+    out = []
+    for bits in sorted({r.bits for r in chosen}):
+        prefixes = rows.sparkSession.createDataFrame([(r.start >> (64 - bits),) for r in chosen if r.bits == bits], "prefix long")
+        inside = rows.withColumn("prefix", F.shiftright("group_hash", 64 - bits)) \
+                     .join(F.broadcast(prefixes), "prefix", "left_semi")            # ROUND at most
+        out += ranges_of(inside, min(bits + STEP_BITS, 64))
+    return out
+
+
 def shards_of(rows: DataFrame, n_shards: int, atom_bits: int = ATOM_BITS) -> DataFrame:
-    """``rows`` (with ``group_hash`` and ``size``) with their ``shard``; read twice, so give a
-    written table."""
-    spark = rows.sparkSession
-    rows = rows.withColumn("atom", F.shiftrightunsigned("group_hash", 64 - atom_bits).cast("int"))
-    sizes = rows.groupBy("atom").agg(F.sum("size").alias("s")).collect()      # at most 2 ** atom_bits
-    cut = partition(sorted((r["atom"], r["s"]) for r in sizes), n_shards)
-    table = spark.createDataFrame(list(cut.items()), "atom int, shard int")   # the same bound
-    return rows.join(F.broadcast(table), "atom").drop("atom")
+    """``rows`` (with ``group_hash`` and ``size``) with their ``shard``; read several times, so
+    give a written table."""
+    sizes = rows.select("group_hash", "size")
+    ranges = {r.start: r for r in ranges_of(sizes, atom_bits)}
+    shard, todo = partition(list(ranges.values()), n_shards)
+    while todo:
+        for r in todo:
+            del ranges[r.start]
+        ranges |= {r.start: r for r in divided(sizes, todo)}
+        shard, todo = partition(list(ranges.values()), n_shards)
+    # by the first bits: where runs of one shard start, and which
+    runs: dict[int, tuple[list[int], list[int]]] = {}
+    for start in sorted(shard):
+        starts, held = runs.setdefault(start >> (64 - atom_bits), ([], []))
+        if not held or held[-1] != shard[start]:
+            starts.append(start)
+            held.append(shard[start])
+    table = rows.sparkSession.createDataFrame([(atom, *x) for atom, x in runs.items()],
+                                              "atom long, starts array<long>, held array<int>")
+    # 2 ** atom_bits rows at most, with three cuts for each shard
+    place = F.size(F.filter("starts", lambda s: s <= F.col("group_hash")))
+    return rows.withColumn("atom", F.shiftright("group_hash", 64 - atom_bits)).join(F.broadcast(table), "atom") \
+               .withColumn("shard", F.element_at("held", place)).drop("atom", "starts", "held")
 
 
 def numbered(rows: DataFrame, by: str, key: Column, order: list[str], cells: int = CELLS) -> DataFrame:
