@@ -5,10 +5,12 @@ dictionary, then one frame per record, compressed with it.  Of equal payloads on
 a response and the others are revisits of it.  Files are written by Spark's own writer and
 commit protocol (each row is the bytes of one frame and the line separator is an empty
 skippable frame, which every decoder passes over), so they can go to any storage that Spark
-reaches and a lost task leaves nothing behind.
+reaches and a lost task leaves nothing behind.  Files keep the names that the writer gives
+them (``part-*``).
 
-The dictionary is trained on a bounded sample: the ``SAMPLE_ROWS`` pages with the smallest
-hash of id and html, up to ``SAMPLE_BYTES`` of each.  Every record is archived in full.
+A file's dictionary is trained by the task that writes it, on the file's own records: whole
+ones, from the first on until they have ``TRAIN_BYTES`` together, which is all of them in a
+file of the planned size.
 
 Defined cases: a null html is an empty payload; of equal payloads of ``DEDUP_BYTES`` or more
 all rows with the largest page_id are responses (also repeated rows), a null id is less than
@@ -22,20 +24,20 @@ import binascii
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, new_folder
+from .common import new_folder
 
 DEDUP_BYTES = 1000
-SAMPLE_ROWS = 1000
-SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
-FILE_BYTES = 64 << 20       # payload bytes that a file is planned for
+FILE_BYTES = 32 << 20       # payload bytes that a file is planned for
+TRAIN_BYTES = 40 << 20      # records of a file that its dictionary is trained on
 
 #: Frame magic of the skippable frame that holds a dictionary, and an empty skippable frame
 #: (fixed values of the formats).
@@ -59,6 +61,23 @@ def dictionary_frame(content: bytes) -> bytes:
     return struct.pack("<II", DICTIONARY_MAGIC, len(content)) + content
 
 
+def archive(records: Iterator[bytes], level: int = LEVEL) -> Iterator[bytes]:
+    """The frames of one file: the dictionary of its records, then a frame for each of them."""
+    ahead, size = [], 0
+    for r in records:
+        ahead.append(r)
+        size += len(r)
+        if size >= TRAIN_BYTES:
+            break
+    if not ahead:
+        return
+    content = dictionary(ahead)
+    yield dictionary_frame(content)
+    frames = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(content), write_checksum=True)
+    for r in chain(ahead, records):
+        yield frames.compress(r)
+
+
 def _record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
     sha1 = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -102,37 +121,23 @@ def with_references(pages: DataFrame, partitions: int, min_bytes: int = DEDUP_BY
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = DEDUP_BYTES, level: int = LEVEL,
                    file_bytes: int = FILE_BYTES) -> None:
-    """Write ``pages`` (page_id, url, html) to ``path`` as part-*.warc.zst files."""
-    spark = pages.sparkSession
+    """Write ``pages`` (page_id, url, html) to ``path`` as archives."""
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    sample = hashed_sample(pages.where(F.octet_length("html") > 0), SAMPLE_ROWS, "page_id", "html") \
-        .select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("x")).collect()
-    content = dictionary([bytes(r["x"]) for r in sample])
-    shipped = spark.sparkContext.broadcast(content)
 
-    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frames = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(shipped.value), write_checksum=True) \
-            if shipped.value else zstandard.ZstdCompressor(level=level, write_checksum=True)
-        first = True
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         for b in batches:
             for s in range(0, b.num_rows, 256):
-                out = [dictionary_frame(shipped.value)] if first else []
-                first = False
                 for page_id, url, html, refers_to in zip(*(b.column(i).slice(s, 256).to_pylist() for i in range(4))):
-                    payload = html.encode("utf-8", "surrogatepass")
-                    out.append(frames.compress(_record(page_id, url, payload, refers_to, refers_to is not None)))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+                    yield _record(page_id, url, html.encode("utf-8", "surrogatepass"), refers_to, refers_to is not None)
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = archive(records(batches), level)
+        while out := list(islice(frames, 256)):
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    rows = with_references(pages, max(2, 2 * -(-total // file_bytes)), min_bytes)
+    rows = with_references(pages, max(2, -(-total // file_bytes)), min_bytes)
     frames = rows.mapInArrow(compress, "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("lineSep", EMPTY_FRAME.decode("latin-1")).text(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for f in fs.listStatus(folder):
-        name = f.getPath().getName()
-        if name.startswith("part-") and name.endswith(".txt"):
-            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(folder, name[:-4] + ".warc.zst"))
 
 
 def read_frames(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -187,7 +192,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                                  _page(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, schema)], schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     return files.mapInArrow(parse, RECORDS)
 
 

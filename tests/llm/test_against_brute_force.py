@@ -127,6 +127,28 @@ def test_minimax_capacity_is_smallest():
         assert sharding.minimax_capacity(sizes, k) == best(0, k)
 
 
+@pytest.mark.parametrize("bits,hot", [(1, 0), (3, 0), (16, 0), (2, 9000)])
+def test_shards_are_minimal_over_texts(spark, bits, hot):
+    """Ranges of many texts are divided until the capacity is the smallest over the texts' own sizes."""
+    rng = random.Random(bits)
+    sizes = {rng.randrange(-2 ** 63, 2 ** 63): rng.choice([1, 3, 10, 40, 200]) for _ in range(120)}
+    if hot:
+        sizes[rng.choice(list(sizes))] = hot
+    rows = [(h, n) for h, n in sizes.items() for _ in range(1 + h % 2)]
+    got = sharding.shards_of(spark.createDataFrame(rows, "group_hash long, size long").repartition(3), 7, bits).collect()
+    shard_of = {h: {r["shard"] for r in got if r["group_hash"] == h} for h in sizes}
+    assert len(got) == len(rows) and all(len(x) == 1 for x in shard_of.values())
+    load = [sum(r["size"] for r in got if r["shard"] == k) for k in range(7)]
+    total = {h: n * (1 + h % 2) for h, n in sizes.items()}
+    alone = {h for h, n in total.items() if n * 7 >= sum(total.values())} if hot else set()
+    rest = [total[h] for h in sorted(total) if h not in alone]
+    assert sorted(load)[-1 - len(alone)] == sharding.minimax_capacity(rest, 7 - len(alone))
+    for h in alone:
+        assert load[next(iter(shard_of[h]))] == total[h]
+    cuts = [next(iter(shard_of[h])) for h in sorted(total) if h not in alone]
+    assert cuts == sorted(cuts)
+
+
 def test_shards(spark):
     rows = queries.op2_minimax_shards(spark, SF).collect()
     docs = {r["doc_id"]: r["text"] or "" for r in table(spark, SF, "documents").collect()}
@@ -250,6 +272,21 @@ def test_archive_frames_round_trip():
         list(warc_zstd.read_frames(raw[:-20]))
 
 
+def test_dictionaries_are_of_whole_records_of_their_file(monkeypatch):
+    """Only the last bytes of a record are shared, far from its start; and records after the trained ones are kept."""
+    rng = random.Random(5)
+    tail = bytes(rng.randrange(256) for _ in range(2000))
+    records = [warc_zstd._record(i, "u", bytes(rng.randrange(256) for _ in range(30_000)) + tail, None, False) for i in range(40)]
+    frames = list(warc_zstd.archive(iter(records)))
+    assert len(frames) == 41 and max(map(len, frames[1:])) < 30_000 + 1_000          # without it: 32,000
+    blocks = [b for _, b in warc_zstd.read_frames(b"".join(frames))]
+    assert blocks == [r.partition(b"\r\n\r\n")[2][:-4] for r in records]
+    monkeypatch.setattr(warc_zstd, "TRAIN_BYTES", 100_000)
+    some = list(warc_zstd.archive(iter(records)))
+    assert [b for _, b in warc_zstd.read_frames(b"".join(some))] == blocks
+    assert list(warc_zstd.archive(iter([]))) == []
+
+
 # 7
 def test_mixed_documents_are_what_the_mix_takes(spark):
     docs = table(spark, SF, "documents")
