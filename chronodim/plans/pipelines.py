@@ -253,9 +253,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, name: str, split: str = "auto
     return apply_scd2(read_dim(spark, dim, p.spec), read_staging(spark, stg, p.spec), p.spec, p.batch_ts, split=split)
 
 
-def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 256) -> DataFrame:
+def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 256, apart: bool = False) -> DataFrame:
     """The same load on a bucketed table in the shared folder (removed when the session ends):
-    only touched buckets are read and written."""
+    only touched buckets are read and written; ``apart``: of their closed versions only those that the load needs."""
     import uuid
     from ..operators.ordered import shared_root
     from ..sources.buckets import create_table, load_table, read_table
@@ -266,6 +266,6 @@ def run_bucketed(spark: SparkSession, sf_dir: str, name: str, n_buckets: int = 2
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path)
     fs.deleteOnExit(path)
-    create_table(dim, root, p.spec.partition_cols, n_buckets)
+    create_table(dim, root, p.spec.partition_cols, n_buckets, p.spec.key_cols if apart else None)
     load_table(spark, root, stg, p.spec, p.batch_ts)
     return read_table(spark, root)

@@ -225,10 +225,15 @@ def q_bucketed_load(spark, sf_dir):
     return run_bucketed(spark, sf_dir, "pipe_merchant")
 
 
+def q_closed_apart_load(spark, sf_dir):
+    return run_bucketed(spark, sf_dir, "pipe_pan_info", 32, apart=True)
+
+
 OPERATOR_QUERIES = {
     "staging_scan": q_staging_scan,                                     # S1
     "dimension_scan": q_dimension_scan,                                 # S2
     "bucketed_load": q_bucketed_load,                                   # S6
+    "closed_apart_load": q_closed_apart_load,                           # S3, S6, U3, U4b
     "current_version_scan": q_current_version_scan,                     # S3
     "insert_new_with_defaults": q_insert_new_with_defaults,             # S4, P3, P5, P6, J1
     "insert_new_dup_column": q_insert_new_dup_column,                   # P1, P2

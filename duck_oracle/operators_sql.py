@@ -114,6 +114,7 @@ def _build() -> dict[str, str]:
         "staging_scan": "SELECT " + ", ".join(ORDER_BATCH.staging_cols) + " FROM orders",
         "dimension_scan": with_sql(PIPELINES["pipe_merchant"], [], "SELECT * FROM d0"),
         "bucketed_load": pipeline_sql(PIPELINES["pipe_merchant"]),
+        "closed_apart_load": pipeline_sql(PIPELINES["pipe_pan_info"]),
         "current_version_scan": _w("fx1", [], "SELECT * FROM d0 WHERE d0.lastversion = true"),
         "insert_new_with_defaults": _w("fx1", _steps("fx1", "d1"), "SELECT * FROM d1"),
         "insert_new_dup_column": _insert_new_dup_column(),
