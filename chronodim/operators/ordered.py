@@ -19,6 +19,7 @@ that it is total up to identical rows.  Equal keys are in one slice.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -61,6 +62,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept_table(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder (removed when the session ends), so that later
+    steps scan the columns they need; as it is where there is no shared folder."""
+    spark = df.sparkSession
+    if not can_store(spark):
+        return df
+    path = f"{shared_root(spark)}/kept-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    df.write.parquet(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def slice_rows(df: DataFrame) -> int:
     """Rows of a group that one task orders."""
     return int(df.sparkSession.conf.get(_SLICE_CONF, None) or DEFAULT_SLICE_ROWS)

@@ -161,12 +161,24 @@ def dedupe_batch(s: DataFrame, spec: DimSpec, hot: bool = False) -> DataFrame:
     return s.where(F.col("_prev").isNull() | ~same).drop("_prev")
 
 
+REPEATS_IN_TASK = 2_000     # staged rows of a new key that are compared with each other in its task
+_REPEATS_CONF = "chronodim.repeats.inTask"
 _SEEN = "_seen"     # carried values of the version-1 row that a repeated new row is compared with
 
 
+def repeats_in_task(df: DataFrame) -> int:
+    conf = df.sparkSession.conf.get(_REPEATS_CONF, None)
+    return int(conf) if conf else REPEATS_IN_TASK
+
+
+def seen_values(spec: DimSpec) -> Column:
+    """What a changed row takes over from the version-1 row that it differs from."""
+    return F.struct(F.lit(1).alias("v"), *spec.carry_cols)
+
+
 def repeated_new_keys(s: DataFrame, d: DataFrame, keys) -> DataFrame:
-    """Keys that are staged more than once and absent from the dimension."""
-    often = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*keys)
+    """Keys that are staged more than once and absent from the dimension, and how often (``_n``)."""
+    often = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return often.join(d.select(*keys), list(keys), "left_anti")
 
 
@@ -179,8 +191,8 @@ def repeated_changes(s: DataFrame, repeated: DataFrame, spec: DimSpec) -> DataFr
     joined; a class's rows count by their carried values.  So equal rows cost a count, and
     the work beyond that is the result's rows."""
     K = list(spec.key_cols)
-    new = s.join(repeated, K, "left_semi").withColumn("_class", F.struct(*spec.tracked_cols))
-    seen = F.struct(F.lit(1).alias("v"), *spec.carry_cols).alias(_SEEN)
+    new = s.join(repeated.select(*K), K, "left_semi").withColumn("_class", F.struct(*spec.tracked_cols))
+    seen = seen_values(spec).alias(_SEEN)
     counts = new.groupBy(*K, "_class", seen).agg(F.count(F.lit(1)).alias("_n"))
     mine = counts.select(*K, "_class").distinct()
     other = counts.withColumnRenamed("_class", "_other")

@@ -16,10 +16,11 @@ Plan shape (any mode):
    are unioned and hash-partitioned once on the key (on ``version_partition``
    when the version numbering is coarser than the key).  Every later step is a
    window whose partition columns contain that key, so no further exchange is
-   planned, ordered so that consecutive windows share sorts:
+   planned, ordered so that consecutive windows share sorts.  Its partitions follow
+   the rows that are known to come (``ROWS_A_TASK``), those of repeated new keys too:
      * the batch match (J4) and the current version of each key (one
-       ``max(struct)``), the change test against it, ``row_number`` for new
-       versions;
+       ``max(struct)``), the change test against it, the pairs of a repeated new
+       key's rows (made here, after the shuffle), ``row_number`` for new versions;
      * ``date_to`` chained with ``lead``, flags moved with ``max``, or the
        second-latest version closed with ``row_number`` descending.
 4. Staged rows with a NULL key component never match a dimension row; they
@@ -40,13 +41,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import changed, due, key_ok, named, open_end, ts_literal
 from ..operators.ordered import can_store, stored
 from ..operators.partitioning import checked_broadcast, measured_bytes
-from ..operators.versions import (_SEEN, TS, dedupe_batch, hot_key_rows, map_columns, repeated_changes, repeated_new_keys, staged_order,
-                                  staged_values)
+from ..operators.versions import (_SEEN, TS, dedupe_batch, hot_key_rows, map_columns, repeated_changes, repeated_new_keys, repeats_in_task,
+                                  seen_values, staged_order, staged_values)
 from ..spec import CURRENT, DATE_FROM, DATE_TO, FILL, VERSION, DimSpec
 
 # row kinds inside the load
 DIM, NEW, CHG, SEEN = 0, 1, 2, 3      # SEEN: staged row that makes no version
 _STG, _KIND, _CURV = "_stg", "_kind", "_cur"
+ROWS_A_TASK = 250_000                 # of the load's windows
 
 
 def _start(spec: DimSpec, batch_ts) -> Column:
@@ -116,15 +118,39 @@ def compared_with(spec: DimSpec, again: bool) -> tuple[Column, dict[str, Column]
     return of("v"), {c: of(c) for c in spec.carry_cols}
 
 
-def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame:
+def _with_repeats_in_task(u: DataFrame, spec: DimSpec, most: int) -> DataFrame:
+    """``repeated_changes`` of new keys with ``most`` staged rows at most, inside the windows' tasks:
+    each staged row is followed by a copy for every row of its key that differs from it."""
+    wk = Window.partitionBy(*spec.key_cols)
+    tracked = list(spec.tracked_cols)
+    n = F.count(F.when(F.col(_STG) & F.col(_SEEN).isNull(), 1)).over(wk)
+    u = _set(u, _staged_rows=n)
+    mine = F.col(_STG) & ~F.col("_has_dim") & F.col(_SEEN).isNull() & F.col("_staged_rows").between(2, most)
+    row = F.struct(*[F.col(c).alias(f"t{i}") for i, c in enumerate(tracked)], seen_values(spec).alias("seen"))
+    u = _set(u, _others=F.collect_list(F.when(mine, row)).over(wk))
+    itself = F.lit(None).cast(u.schema["_others"].dataType.elementType)
+    u = u.select(*[c for c in u.columns if c not in ("_others", "_staged_rows")],
+                 F.explode(F.concat(F.array(itself), F.col("_others"))).alias("_other"))
+    other = F.col("_other")
+    u = u.where(other.isNull() | changed([(other[f"t{i}"], F.col(c)) for i, c in enumerate(tracked)], spec.null_safe))
+    seen = u.schema[_SEEN].dataType
+    return _set(u, _drop=("_other",), **{_SEEN: F.coalesce(other["seen"].cast(seen), F.col(_SEEN))})
+
+
+def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts, rows: int | None = None, in_task: int = 0) -> DataFrame:
     """Step 2 of the module doc: versions of touched keys + staged rows with
-    non-NULL keys → the new state of those keys."""
+    non-NULL keys → the new state of those keys.  ``rows``: how many there will be at most;
+    ``in_task``: new keys that are staged so many times at most are compared here."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     carry, tracked = list(spec.carry_cols), list(spec.tracked_cols)
-    mode, again = spec.mode, _SEEN in s.columns
+    mode, again = spec.mode, _SEEN in s.columns or in_task > 1
+    if in_task > 1 and _SEEN not in s.columns:
+        s = s.withColumn(_SEEN, F.lit(None).cast(s.select(seen_values(spec).alias(_SEEN)).schema[_SEEN].dataType))
 
     # the load's only shuffle: every window below partitions by a superset of P
-    u = union_rows(d, s, spec, batch_ts).repartition(*P)
+    u = union_rows(d, s, spec, batch_ts)
+    n = -(-(rows or 0) // ROWS_A_TASK)
+    u = u.repartition(n, *P) if n > u.sparkSession.sparkContext.defaultParallelism else u.repartition(*P)
 
     stg, ver, cur_flag, start_col = F.col(_STG), F.col(VERSION), F.col(CURRENT), F.col(DATE_FROM)
     wk = Window.partitionBy(*K)
@@ -150,8 +176,13 @@ def _versioned(d: DataFrame, s: DataFrame, spec: DimSpec, batch_ts) -> DataFrame
         u = _set(u, _inb=(F.max(stg.cast("int")).over(Window.partitionBy(*K, at)) == 1) & at.isNotNull())
     u = _set(u, **facts)
 
-    # (2) what each staged row becomes: new key, changed, or nothing (SEEN)
-    u = _set(u, **{_KIND: row_kind(spec, again)})
+    if in_task > 1:
+        u = _with_repeats_in_task(u, spec, in_task)
+
+    # (2) what each staged row becomes: new key, changed, or nothing (SEEN); of the current
+    # version, what changed rows take over stays
+    left = F.struct(*[F.col(_CURV)[c].alias(c) for c in ("v", *carry)])
+    u = _set(u, **{_KIND: row_kind(spec, again), _CURV: left})
     kd = F.col(_KIND)
     cur_version, cur_carry = compared_with(spec, again)
     repeats = mode != "append_all" and spec.new_keys == "one"
@@ -250,23 +281,26 @@ def row_counts(d: DataFrame, s: DataFrame, keys) -> tuple[int, int, int]:
     return int(r["d"]), int(r["s"]), int(r["b"])
 
 
-def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total: int | None = None):
+def hot_keys(touched: DataFrame, s: DataFrame, spec: DimSpec, skew: str, total: int | None = None, repeats: DataFrame | None = None):
     """Version partitions (the key itself, or the columns that numbering runs over) whose
     touched versions + staged rows exceed ``hot_key_rows``: values of partition_cols (broadcast
     when their bytes allow) or ``None``.  A partition is never divided between the two paths.  One aggregation over the key columns (partial counts
-    combine before the shuffle)."""
+    combine before the shuffle).  ``repeats``: keys and ``_more``, the rows that they get beside their own."""
     K, P = list(spec.key_cols), list(spec.partition_cols)
     rows = touched.select(*K).unionByName(s.select(*K))
+    if repeats is not None:
+        rows = rows.withColumn("_more", F.lit(1).cast("long")).unionByName(repeats.select(*K, "_more"))
     if skew == "all":
         hot = s.select(*P).distinct()
     else:
         limit = hot_key_rows(s)
         # exact necessary condition first: no key can pass the limit when all
         # rows together do not (the load's row counts, or a one-stage count)
-        if (total if total is not None else rows.count()) <= limit:
+        n_rows = F.count(F.lit(1)) if repeats is None else F.sum("_more")
+        if (total if total is not None else rows.agg(n_rows).first()[0] or 0) <= limit:
             return None
         # one pass over the key columns; partial counts combine before the shuffle
-        hot = rows.groupBy(*P).count().where(F.col("count") > limit).select(*P)
+        hot = rows.groupBy(*P).agg(n_rows.alias("_n")).where(F.col("_n") > limit).select(*P)
     # four joins read the set: stored once where the shared folder is named (the hot path
     # needs it anyway), counted first where a local session would have to make one
     named = s.sparkSession.sparkContext.getCheckpointDir()
@@ -310,21 +344,24 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_stage
             db.join(buckets, "_bucket", "left_anti").drop("_bucket"))
 
 
-def _with_repeats(s: DataFrame, d: DataFrame, spec: DimSpec) -> tuple[DataFrame, int | None]:
-    """The staged rows and those that ``repeated_changes`` adds (Q4), and how many these are
-    (None: not counted).  One job finds the new keys that are staged twice; without any there is no more to do."""
-    keys = repeated_new_keys(s, d, spec.key_cols)
-    store = can_store(s.sparkSession)           # what steps below read again
-    keys, n, _ = checked_broadcast(stored(keys) if store else keys)
-    if not n:
-        return s, 0
-    again, n = repeated_changes(s, keys, spec), None
-    if store:
+def _repeats(s: DataFrame, d: DataFrame, spec: DimSpec) -> tuple[DataFrame | None, int, int]:
+    """The new keys that are staged more than once, with ``_n`` and ``_more``, the rows that
+    comparing them (Q4) makes at most; how many such rows there are, and the largest ``_n``."""
+    n = F.col("_n")
+    keys = repeated_new_keys(s, d, spec.key_cols).withColumn("_more", n * (n - 1))
+    if can_store(s.sparkSession):               # steps below read them again
+        keys = stored(keys)
+    r = keys.agg(F.sum("_more").alias("more"), F.max("_n").alias("most")).first()
+    return (None, 0, 0) if r["most"] is None else (keys, int(r["more"]), int(r["most"]))
+
+
+def _with_repeats(s: DataFrame, repeats: DataFrame, spec: DimSpec) -> DataFrame:
+    """The staged rows and those that ``repeated_changes`` adds for the given keys."""
+    repeats, _, _ = checked_broadcast(repeats)
+    again = repeated_changes(s, repeats, spec)
+    if can_store(s.sparkSession):
         again = stored(again)
-        n = again.count()
-        if not n:
-            return s, 0
-    return s.withColumn(_SEEN, F.lit(None).cast(again.schema[_SEEN].dataType)).unionByName(again), n
+    return s.withColumn(_SEEN, F.lit(None).cast(again.schema[_SEEN].dataType)).unionByName(again)
 
 
 def _with_other_columns(dim: DataFrame, staging: DataFrame, spec: DimSpec, more: list[str]):
@@ -371,25 +408,36 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
     P = list(spec.partition_cols)
     total = None if n_dim is None else n_dim + n_staged
 
-    def hot_of(staged):
-        return hot_keys(touched, staged, spec, skew, total) if skew != "off" else None
+    def hot_of(staged, repeats=None):
+        return hot_keys(touched, staged, spec, skew, total, repeats) if skew != "off" else None
 
     if spec.dedupe:
         hot = hot_of(s_ok)
         s_ok = dedupe_batch(s_ok, spec) if hot is None else \
             dedupe_batch(s_ok.join(hot, P, "left_anti"), spec).unionByName(dedupe_batch(s_ok.join(hot, P, "left_semi"), spec, True))
         s_null = dedupe_batch(s_null, spec, skew == "all")
+    repeats, most = None, 0
     if spec.mode != "append_all" and spec.new_keys == "one":
-        s_ok, n_again = _with_repeats(s_ok, touched, spec)
-        total = None if total is None or n_again is None else total + n_again
-    hot = hot_of(s_ok)
-    if hot is None:
-        out = _versioned(touched, s_ok, spec, batch_ts)
-    else:
+        repeats, n_again, most = _repeats(s_ok, touched, spec)
+        total = None if total is None else total + n_again
+    hot = hot_of(s_ok, repeats)
+    # new keys that are staged often, and all repeated ones of hot partitions, take joins of classes
+    in_task = min(most, repeats_in_task(s_ok))
+    often = None if most <= in_task else repeats.where(F.col("_n") > in_task)
+    cool_d, cool_s = touched, s_ok
+    if hot is not None:
+        cool_d, cool_s = touched.join(hot, P, "left_anti"), s_ok.join(hot, P, "left_anti")
+        often = None if often is None else often.join(hot, P, "left_anti")
+    if often is not None and not often.isEmpty():
+        cool_s = _with_repeats(cool_s, often, spec)
+    out = _versioned(cool_d, cool_s, spec, batch_ts, total, in_task)
+    if hot is not None:
         from .hotkeys import versioned_hot
-        out = _versioned(touched.join(hot, P, "left_anti"), s_ok.join(hot, P, "left_anti"), spec, batch_ts)
-        heavy = union_rows(touched.join(hot, P, "left_semi"), s_ok.join(hot, P, "left_semi"), spec, batch_ts)
-        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, _SEEN in s_ok.columns))
+        hot_s = s_ok.join(hot, P, "left_semi")
+        if repeats is not None:
+            hot_s = _with_repeats(hot_s, repeats.join(hot, P, "left_semi"), spec)
+        heavy = union_rows(touched.join(hot, P, "left_semi"), hot_s, spec, batch_ts)
+        out = out.unionByName(versioned_hot(heavy, spec, batch_ts, _SEEN in hot_s.columns))
 
     if spec.null_keys == "insert":
         out = out.unionByName(_null_key_rows(s_null, spec, batch_ts, skew))
