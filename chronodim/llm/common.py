@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = 2_000          # rows of a batch that are Python objects at once
+
+
+def in_batches(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow`` over slices of the batches.  A worker stays for the tasks of later
+    stages, so Arrow's unused memory is given back when a task's rows have ended."""
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in range(0, b.num_rows, BATCH_ROWS):
+                yield b.slice(s, BATCH_ROWS)
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(sliced(batches))
+        pa.default_memory_pool().release_unused()
+
+    return every
+
+
 def whole_text(col: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

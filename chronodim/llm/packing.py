@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_batches, written
 from .cutting_stock import cutting_plan
 from .sharding import numbered
 from .tokens import cache_for, encoded
@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-               .mapInArrow(run, PIECES + (", ids array<long>" if keep_ids else ""))
+               .mapInArrow(in_batches(run), PIECES + (", ids array<long>" if keep_ids else ""))
 
 
 def places(plan: list[tuple[dict[int, int], int]], bundles: list[int]) -> tuple[list[tuple[int, int, int, int, int]], dict[int, int], int]:
@@ -192,7 +192,7 @@ def _cut_pieces(docs: DataFrame, tokenizer_path: str, cut: list[tuple], end_id:
     ids = spark.createDataFrame([(x,) for x in {c[0] for c in cut}], "left_id long")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     d = d.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("left_id")), "left_semi")
-    found = d.mapInArrow(run, schema + (", ids array<long>" if keep_ids else ""))
+    found = d.mapInArrow(in_batches(run), schema + (", ids array<long>" if keep_ids else ""))
     return found.dropDuplicates(["sequence_id", "offset"])
 
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_batches
+
 REACH = math.inf            # code points between linked parts: the whole block
 MASK = "[REDACTED]"
 ENTROPY = 3.5               # bits per character of a bare token
@@ -168,7 +170,7 @@ def scanned(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, {FOUND}")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(in_batches(run), f"doc_id {kind}, {FOUND}")
 
 
 def mask(text: str, spans: list[tuple[int, int]]) -> str:
@@ -202,4 +204,4 @@ def redacted(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
     by_place = docs.toDF(*[f"c{i}" for i in range(len(names))])     # names may need quotes
-    return by_place.mapInArrow(run, by_place.schema).toDF(*names)
+    return by_place.mapInArrow(in_batches(run), by_place.schema).toDF(*names)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import as_struct, from_struct, row_digest, written
+from .common import as_struct, from_struct, in_batches, row_digest, written
 from .components import components
 
 SHINGLE = 4
@@ -35,7 +35,7 @@ HASH_SEED = 42
 SEGMENTS = (22, 21, 21)     # from the lowest bit
 BUCKET_ROWS = 50_000        # rows of a bucket compared in one task
 SMALL = 48                  # buckets up to this size are compared by shifted arrays
-BLOCK_SHINGLES = 200_000
+BLOCK_SHINGLES = 50_000
 
 
 def fingerprints(texts: list[str | None], shingle: int = SHINGLE, seed: int = HASH_SEED) -> np.ndarray:
@@ -91,7 +91,7 @@ def fingerprinted(docs: DataFrame, shingle: int = SHINGLE, seed: int = HASH_SEED
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        *([] if digest is None else [digest.alias("digest")])) \
-               .mapInArrow(run, "doc_id long, fp long" + ("" if digest is None else ", digest binary"))
+               .mapInArrow(in_batches(run), "doc_id long, fp long" + ("" if digest is None else ", digest binary"))
 
 
 def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,11 +242,10 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False)
-            for s in range(0, len(fp), 4096):
-                key, row = bucket_keys(fp[s:s + 4096])
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[s:s + 4096][row])], ["key", "fp"])
+            key, row = bucket_keys(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row])], ["key", "fp"])
 
-    rows = fps.select("fp").mapInArrow(spread, "key long, fp long")
+    rows = fps.select("fp").mapInArrow(in_batches(spread), "key long, fp long")
     sorted_rows = rows.repartition("key").sortWithinPartitions("key", "fp")
     found = written(sorted_rows.mapInArrow(_linker(1, max_bits, bucket_rows), "a long, b long, over boolean"), "links")
     links = found.where("not over").select("a", "b")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_RUNS = 400_000        # per generation; two generations are kept
+CACHE_RUNS = 250_000        # per generation; two generations are kept
 BLOCK_BYTES = 4 << 20
 
 _WORKERS: dict[str, "RunCache"] = {}
