@@ -344,15 +344,18 @@ def _split(d: DataFrame, s: DataFrame, spec: DimSpec, how: str = "auto", n_stage
             db.join(buckets, "_bucket", "left_anti").drop("_bucket"))
 
 
-def _repeats(s: DataFrame, d: DataFrame, spec: DimSpec) -> tuple[DataFrame | None, int, int]:
+def _repeats(s: DataFrame, d: DataFrame, spec: DimSpec) -> tuple[DataFrame | None, int, int, int]:
     """The new keys that are staged more than once, with ``_n`` and ``_more``, the rows that
-    comparing them (Q4) makes at most; how many such rows there are, and the largest ``_n``."""
+    comparing them (Q4) makes at most; how many such rows there are, how many of them the
+    windows' tasks make, and the largest ``_n``."""
     n = F.col("_n")
-    keys = repeated_new_keys(s, d, spec.key_cols).withColumn("_more", n * (n - 1))
+    more = F.when(n < 1 << 18, n * (n - 1)).otherwise(F.lit(1 << 36))       # beyond any limit, and sums fit
+    keys = repeated_new_keys(s, d, spec.key_cols).withColumn("_more", more)
     if can_store(s.sparkSession):               # steps below read them again
         keys = stored(keys)
-    r = keys.agg(F.sum("_more").alias("more"), F.max("_n").alias("most")).first()
-    return (None, 0, 0) if r["most"] is None else (keys, int(r["more"]), int(r["most"]))
+    in_windows = F.when(n <= repeats_in_task(s), F.col("_more")).otherwise(F.lit(0))
+    r = keys.agg(F.sum("_more").alias("more"), F.sum(in_windows).alias("tasks"), F.max("_n").alias("most")).first()
+    return (None, 0, 0, 0) if r["most"] is None else (keys, int(r["more"]), int(r["tasks"]), int(r["most"]))
 
 
 def _with_repeats(s: DataFrame, repeats: DataFrame, spec: DimSpec) -> DataFrame:
@@ -416,9 +419,10 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
         s_ok = dedupe_batch(s_ok, spec) if hot is None else \
             dedupe_batch(s_ok.join(hot, P, "left_anti"), spec).unionByName(dedupe_batch(s_ok.join(hot, P, "left_semi"), spec, True))
         s_null = dedupe_batch(s_null, spec, skew == "all")
-    repeats, most = None, 0
+    repeats, most, rows = None, 0, total
     if spec.mode != "append_all" and spec.new_keys == "one":
-        repeats, n_again, most = _repeats(s_ok, touched, spec)
+        repeats, n_again, n_made, most = _repeats(s_ok, touched, spec)
+        rows = None if total is None else total + n_made
         total = None if total is None else total + n_again
     hot = hot_of(s_ok, repeats)
     # new keys that are staged often, and all repeated ones of hot partitions, take joins of classes
@@ -430,7 +434,7 @@ def apply_scd2(dim: DataFrame, staging: DataFrame, spec: DimSpec, batch_ts=None,
         often = None if often is None else often.join(hot, P, "left_anti")
     if often is not None and not often.isEmpty():
         cool_s = _with_repeats(cool_s, often, spec)
-    out = _versioned(cool_d, cool_s, spec, batch_ts, total, in_task)
+    out = _versioned(cool_d, cool_s, spec, batch_ts, rows, in_task)
     if hot is not None:
         from .hotkeys import versioned_hot
         hot_s = s_ok.join(hot, P, "left_semi")
