@@ -2,13 +2,16 @@
 
 For tokenizers that drop white space, a text's ids are the ids of its runs between ASCII white
 space, one after the other.  Distinct runs of a batch are looked up once and their ids
-are gathered by position; a new run goes through the tokenizer itself or, if it is letters
-(perhaps with a mark at its end) of the Latin blocks, straight to the tokenizer's model.
+are gathered by position; runs of Latin-1 letters with marks at their end are looked up as their
+lower-case letters and their marks, so that they share those.  A new run goes through the tokenizer
+itself or, if it is letters (perhaps with marks at its end) of the Latin blocks, straight to the
+tokenizer's model, many words at once where the model marks the end of a word.
 """
 
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
 from collections.abc import Iterator
 
@@ -18,6 +21,9 @@ import pyarrow.compute as pc
 
 CACHE_RUNS = 250_000        # per generation; two generations are kept
 BLOCK_BYTES = 4 << 20
+JOINED_WORDS = 2_000        # words given to the model at once
+MARKS = string.punctuation
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())      # of Latin-1: one code point each in lower case
 
 _WORKERS: dict[str, "RunCache"] = {}
 
@@ -35,27 +41,50 @@ class RunCache:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.special = "<|"
+        self.many, self.last = None, np.zeros(0, bool)
+        suffix = getattr(self.model, "end_of_word_suffix", None) or ""
+        if set(suffix) & set(MARKS) and set(suffix) - set(MARKS):       # is in no word of letters only or marks only
+            self.many = Tokenizer(self.model)
+            self.many.pre_tokenizer = CharDelimiterSplit(" ")
+            vocab = self.many.get_vocab()
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         # the short way is taken only where it agrees with the tokenizer
-        probe = "Straße élan, Ünder. don't x1! <|endoftext|> ñandú?!"
-        self.short = all(self._short(r) in (None, self._full(r)) for r in probe.split()) and \
-            b"".join(map(self._full, probe.split())) == self._full(probe)
+        probe = "Straße élan, Ünder. don't x1! <|endoftext|> ñandú?! " + " ".join(f"Ab{m} é{m}{m}" for m in MARKS) + " y" + MARKS
+        full = list(map(self._full, probe.split()))
+        self.short = all(w is None or b"".join(self._words(w)) == f for w, f in zip(map(self._short, probe.split()), full)) and \
+            b"".join(full) == self._full(probe)
 
     def _full(self, run: str) -> bytes:
         return np.array(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
         return np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
 
-    def _short(self, run: str) -> bytes | None:
-        """Letters, or letters and one mark."""
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are byte letters only or marks only."""
+        if self.many is None:
+            return list(map(self._word, words))
+        out: list[bytes] = []
+        for s in range(0, len(words), JOINED_WORDS):
+            some = words[s:s + JOINED_WORDS]
+            ids = np.array(self.many.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(ends) == len(some):          # a word has one such id at most, its last
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+            else:
+                out += map(self._word, some)
+        return out
+
+    def _short(self, run: str) -> tuple[str, ...] | None:
+        """The words (in byte letters) of a run of letters, or letters and marks."""
         if not run.isascii():
             if max(run) >= "ɐ":
                 return None
@@ -63,28 +92,39 @@ class RunCache:
             run = "".join([c.lower() for c in run])
         else:
             run = run.lower()
-        if run.isalpha():
-            return self._word(run)
-        if run[:-1].isalpha() and run[-1] in ".,;:!?":
-            return self._word(run[:-1]) + self._word(run[-1])
-        return None
+        word = run.rstrip(MARKS)
+        if not word.isalpha():
+            return None
+        marks = run[len(word):]
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return (word, marks) if marks else (word,)
+
+    def _new(self, runs: list[str]) -> list[bytes]:
+        words = [self._short(r) if r and self.short else None for r in runs]
+        ids = iter(self._words([w for x in words if x for w in x]))
+        return [self._full(r) if x is None else b"".join([next(ids) for _ in x]) for r, x in zip(runs, words)]
 
     def __call__(self, runs: list[str]) -> list[bytes]:
-        out = []
-        for r in runs:
-            ids = self.young.get(r)
-            if ids is None:
-                ids = self.old.get(r)
-                if ids is None:
-                    ids = self._short(r) if self.short else None
-                    if ids is None:
-                        ids = self._full(r)
-                self.young[r] = ids
-                if len(self.young) >= CACHE_RUNS:
-                    self.old, self.young = self.young, {}
-            out.append(ids)
+        old = self.old
+        out = [self.young.get(r) for r in runs]
+        away = [i for i, ids in enumerate(out) if ids is None]
+        new = [r for r in [runs[i] for i in away] if r not in old]
+        made = dict(zip(new, self._new(new)))
+        for i in away:
+            r = runs[i]
+            out[i] = self.young[r] = made[r] if r in made else old[r]
+            if len(self.young) >= CACHE_RUNS:
+                self.old, self.young = self.young, {}
         return out
 
+    def parts(self, runs: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """For each run two texts whose ids follow each other (the second may be empty)."""
+        word = pc.ascii_rtrim(runs, characters=MARKS)
+        cut = pc.and_(pc.match_substring_regex(word, f"^[{LETTERS}]+$"), self.short)
+        marks = pc.utf8_ltrim(runs, characters=LETTERS)
+        return pc.if_else(cut, pc.utf8_lower(word), runs), pc.if_else(cut, marks, "")
+
 
 def cache_for(path: str) -> RunCache:
     if path not in _WORKERS:
@@ -105,26 +145,37 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[pa.Array]:
         yield texts.slice(start)
 
 
+def _gathered(pool: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries ``at`` of a pool (``n`` ids each), and where each ends."""
+    first = np.cumsum(n) - n
+    length = n[at]
+    ends = np.cumsum(length)
+    where = np.repeat(first[at] - (ends - length), length)
+    where += np.arange(len(where))
+    return pool[where], ends
+
+
+def _runs(block: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The runs of all texts, and where each text begins and the last ends."""
+    runs = pc.ascii_split_whitespace(pc.fill_null(block, "").cast(pa.large_string()))
+    offsets = np.asarray(runs.offsets).astype(np.int64)
+    flat = runs.flatten()
+    keep = np.asarray(pc.greater(pc.binary_length(flat), 0)) if len(flat) else np.zeros(0, bool)
+    before = np.concatenate([[0], np.cumsum(keep)])
+    return pc.dictionary_encode(flat.filter(pa.array(keep))), before[offsets - offsets[0]]
+
+
 def encoded(texts: pa.Array, cache: RunCache) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each block of texts: all ids (uint32), and where each text begins and the last ends."""
     for block in blocks(texts):
-        runs = pc.ascii_split_whitespace(pc.fill_null(block, "").cast(pa.large_string()))
-        offsets = np.asarray(runs.offsets).astype(np.int64)
-        flat = runs.flatten()
-        keep = np.asarray(pc.greater(pc.binary_length(flat), 0)) if len(flat) else np.zeros(0, bool)
-        before = np.concatenate([[0], np.cumsum(keep)])
-        offsets = before[offsets - offsets[0]]
-        flat = flat.filter(pa.array(keep))
-        if not len(flat):
+        coded, offsets = _runs(block)
+        if not len(coded):
             yield np.zeros(0, np.uint32), np.zeros(len(block) + 1, np.int64)
             continue
-        coded = pc.dictionary_encode(flat)
-        ids = cache(coded.dictionary.to_pylist())
+        words = pc.dictionary_encode(pa.concat_arrays(cache.parts(coded.dictionary)))
+        ids = cache(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        first = np.cumsum(n) - n
-        at = np.asarray(coded.indices)
-        length = n[at]
-        ends = np.cumsum(length)
-        where = np.repeat(first[at] - (ends - length), length) + np.arange(int(ends[-1]))
-        yield pool[where], np.concatenate([[0], ends])[offsets]
+        pairs = np.asarray(words.indices).reshape(2, -1).T.ravel()
+        pool, ends = _gathered(np.frombuffer(b"".join(ids), "<u4"), n, pairs)
+        found, ends = _gathered(pool, np.diff(ends[1::2], prepend=0), np.asarray(coded.indices))
+        yield found, np.concatenate([[0], ends])[offsets]
